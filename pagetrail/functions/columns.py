@@ -44,11 +44,6 @@ def percent(part: Column, whole: Column) -> Column:
     return F.try_divide(F.lit(100.0) * part, whole)
 
 
-def minutes(seconds: Column) -> Column:
-    """Seconds as minutes, double."""
-    return seconds / F.lit(60.0)
-
-
 def is_missing(names: list[str]) -> Column:
     """True where any of the columns is null; never null itself."""
     missing = F.lit(False)

@@ -4,38 +4,37 @@ A window over one user's events runs in one task. That is the cheapest plan
 for ordinary users and the wrong one for a user that owns a large share of the
 table, so the two kinds take different plans (see ``sessions``).
 
-The split is exact and repeatable: it depends on row counts alone, so both
-halves agree even when a lost executor makes Spark compute one of them again.
+The busy users are found once, by exact counts, and are a fixed list from then
+on: both plans agree on it even if a lost executor makes Spark run one again.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pagetrail.functions.columns import quoted
 
 MAX_USER_ROWS = 5_000_000
-# The list of busy users is broadcast, so its length must not grow with the data:
-# a user is busy only above 1/MAX_BUSY_USERS of all rows, whatever the row limit is.
+# Length of the list, which is collected and broadcast. Users beyond it are not lost:
+# they stay with the quiet ones, whose plan is right for any number of events.
 MAX_BUSY_USERS = 100_000
 
 
-def busy_users(events: DataFrame, user: str, max_rows: int) -> DataFrame:
-    """Users with more than ``max_rows`` events; at most ``MAX_BUSY_USERS`` rows."""
-    share = events.agg((F.count(F.lit(1)) / F.lit(MAX_BUSY_USERS)).alias("share")).scalar()
-    counts = events.groupBy(user).agg(F.count(F.lit(1)).alias("user_rows"))
-    limit = F.greatest(F.lit(float(max_rows)), share)
-    return counts.filter(F.col("user_rows") > limit).select(quoted(user))
+def busy_users(events: DataFrame, user: str, max_rows: int = MAX_USER_ROWS) -> list:
+    """Users with more than ``max_rows`` events, the busiest first.
 
+    Runs one job that reads the user column and counts it before the shuffle.
+    """
+    counts = events.groupBy(quoted(user).alias("user")).agg(F.count(F.lit(1)).alias("rows"))
+    busy = counts.filter((F.col("rows") > max_rows) & F.col("user").isNotNull())
+    return [r.user for r in busy.orderBy(F.desc("rows")).limit(MAX_BUSY_USERS).collect()]
 
-def split_by_user_rows(
-    events: DataFrame, counted: DataFrame, user: str, max_rows: int
-) -> tuple[DataFrame, DataFrame]:
-    """``events`` as (quiet, busy) by the number of rows each user has in ``counted``.
 
-    When nobody is busy, adaptive execution sees the empty broadcast and drops the
-    join and the whole busy half before their scans start.
-    """
-    busy = F.broadcast(busy_users(counted, user, max_rows))
-    return events.join(busy, user, "left_anti"), events.join(busy, user, "left_semi")
+def split_users(events: DataFrame, user: str, busy: list) -> tuple[DataFrame, DataFrame]:
+    """The events of all other users, and those of the busy ones."""
+    schema = T.StructType([T.StructField(user, events.schema[user].dataType)])
+    known = events.sparkSession.createDataFrame([(b,) for b in busy], schema)
+    listed = F.broadcast(known)  # at most MAX_BUSY_USERS keys
+    return events.join(listed, user, "left_anti"), events.join(listed, user, "left_semi")

@@ -1,25 +1,24 @@
 """Distribution of session durations: histogram and density curve.
 
-Both start from the number of sessions per distinct duration. That aggregate is
-combined before its shuffle and its size depends on the longest session, not on
-the number of sessions.
+Both need the range of the durations before they can place any of them, so they
+pass over the data twice. The first pass writes the number of sessions per
+distinct duration to a scratch table. That aggregate is combined before its
+shuffle, its size depends on the longest session and not on the number of
+sessions, and it is all the second pass reads.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
-from pagetrail.functions.columns import minutes
 from pagetrail.schema import DENSITY_POINTS, HISTOGRAM_BINS
+from pagetrail.sources.scratch import scratch_table
 
-
-def _unit(seconds: Column, unit: str) -> Column:
-    if unit not in ("seconds", "minutes"):
-        raise ValueError("unit must be 'seconds' or 'minutes'")
-    return minutes(seconds) if unit == "minutes" else seconds.cast("double")
+# Seconds per unit.
+UNITS = {"seconds": 1.0, "minutes": 60.0}
 
 
 def duration_counts(gold: DataFrame) -> DataFrame:
@@ -31,46 +30,43 @@ def duration_counts(gold: DataFrame) -> DataFrame:
     )
 
 
+def _ends(counts: DataFrame) -> Row:
+    """Shortest and longest duration, null if there are no sessions."""
+    d = F.col("duration_seconds")
+    return counts.agg(F.min(d).alias("lo"), F.max(d).alias("hi")).first()
+
+
 def duration_histogram(
     gold: DataFrame, bins: int = HISTOGRAM_BINS, unit: str = "seconds"
 ) -> DataFrame:
     """Sessions per equal-width bin over [min, max]; the last bin includes its upper edge.
 
     Bins are found in whole seconds, so no rounding moves a session. When all
-    durations are equal the range is half a second (or minute) to either side; with
-    no sessions it is [0, 1]. Empty bins are rows too.
+    durations are equal the range is half a unit to either side; with no sessions it
+    is [0, 1]. Empty bins are rows too.
     """
-    counts = duration_counts(gold)
-    ends = counts.agg(
-        F.struct(F.min("duration_seconds").alias("lo"), F.max("duration_seconds").alias("hi"))
-    ).scalar()
-    d, lo, hi = F.col("duration_seconds"), ends.getField("lo"), ends.getField("hi")
-    step = F.expr(f"least(((duration_seconds - lo) * {bins}) div (hi - lo), {bins - 1})")
-    filled = (
-        counts.select(d, "sessions", lo.alias("lo"), hi.alias("hi"))
-        .select(
-            F.when(F.col("lo") == F.col("hi"), F.lit(bins // 2)).otherwise(step).alias("bin"),
-            "sessions",
-        )
-        .groupBy("bin")
-        .agg(F.sum("sessions").alias("sessions"))
-    )
-    low, high = _unit(lo, unit), _unit(hi, unit)
-    flat = lo == hi
-    low, high = (
-        F.when(lo.isNull(), 0.0).when(flat, low - 0.5).otherwise(low),
-        F.when(lo.isNull(), 1.0).when(flat, high + 0.5).otherwise(high),
+    per = UNITS[unit]
+    counts = scratch_table(duration_counts(gold), "durations")
+    lo, hi = _ends(counts)
+    if lo is None:
+        low, high, bin_no = 0.0, 1.0, F.lit(0)
+    elif lo == hi:
+        low, high, bin_no = lo / per - 0.5, hi / per + 0.5, F.lit(bins // 2)
+    else:
+        low, high = lo / per, hi / per
+        bin_no = F.expr(f"least((duration_seconds - {lo}) * {bins} div {hi - lo}, {bins - 1})")
+    filled = counts.groupBy(bin_no.cast("bigint").alias("bin")).agg(
+        F.sum("sessions").alias("sessions")
     )
-    bin_no = F.col("bin")
+    width = F.lit((high - low) / bins)
     return (
-        gold.sparkSession.range(bins, numPartitions=1)
+        counts.sparkSession.range(bins, numPartitions=1)
         .select(F.col("id").alias("bin"))
         .join(F.broadcast(filled), "bin", "left")  # at most one row per bin
-        .withColumns({"low": low, "width": (high - low) / F.lit(float(bins))})
         .select(
             "bin",
-            (F.col("low") + bin_no * F.col("width")).alias("lo"),
-            (F.col("low") + (bin_no + 1) * F.col("width")).alias("hi"),
+            (F.lit(low) + F.col("bin") * width).alias("lo"),
+            (F.lit(low) + (F.col("bin") + 1) * width).alias("hi"),
             F.coalesce("sessions", F.lit(0).cast("bigint")).alias("sessions"),
         )
         .orderBy("bin")
@@ -88,33 +84,24 @@ def duration_density(
     Bandwidth by Scott's rule, ``points`` places over [min, max]. No rows when fewer
     than two distinct durations exist, as the bandwidth is then 0.
     """
-    counts = duration_counts(gold).select(
-        _unit(F.col("duration_seconds"), unit).alias("d"), "sessions"
-    )
-    n, d = F.col("sessions").cast("double"), F.col("d")
-    moments = counts.agg(
-        F.struct(
-            F.sum(n).alias("n"),
-            (F.sum(n * d) / F.sum(n)).alias("mean"),
-            F.min(d).alias("lo"),
-            F.max(d).alias("hi"),
-        )
-    ).scalar()
-    squares = counts.agg(
-        F.sum(n * (d - moments.getField("mean")) * (d - moments.getField("mean")))
-    ).scalar()
-    total, lo, hi = (moments.getField(f) for f in ("n", "lo", "hi"))
-    bandwidth = F.sqrt(F.try_divide(squares, total - 1.0)) * F.pow(total, F.lit(-0.2))
-    x = F.col("lo") + F.col("point") * ((F.col("hi") - F.col("lo")) / F.lit(points - 1.0))
-    z = (F.col("x") - F.col("d")) / F.col("h")
-    scale = (F.col("hi") - F.col("lo")) / F.lit(float(bins)) / F.lit(math.sqrt(2 * math.pi))
+    per = UNITS[unit]
+    counts = scratch_table(duration_counts(gold), "durations")
+    lo, hi = _ends(counts)
+    if lo is None or lo == hi:
+        return counts.sparkSession.createDataFrame([], "x double, density double")
+    d, n = F.col("duration_seconds") / F.lit(per), F.col("sessions").cast("double")
+    total, mean = counts.agg(F.sum(n), F.sum(n * d) / F.sum(n)).first()
+    squares = counts.agg(F.sum(n * (d - mean) * (d - mean))).first()[0]
+    h = math.sqrt(squares / (total - 1)) * total**-0.2
+    low, high = lo / per, hi / per
+    scale = (high - low) / bins / (h * math.sqrt(2 * math.pi))
+    x = F.lit(low) + F.col("point") * F.lit((high - low) / (points - 1))
+    z = (F.col("x") - d) / F.lit(h)
     return (
-        counts.filter(lo < hi)
-        .withColumns({"lo": lo, "hi": hi, "h": bandwidth})
-        .withColumn("point", F.explode(F.sequence(F.lit(0), F.lit(points - 1))))
+        counts.withColumn("point", F.explode(F.sequence(F.lit(0), F.lit(points - 1))))
         .withColumn("x", x)
         .groupBy("point", "x")
-        .agg(F.sum(n * F.exp(-0.5 * z * z) * scale / F.col("h")).alias("density"))
+        .agg(F.sum(n * F.exp(F.lit(-0.5) * z * z) * F.lit(scale)).alias("density"))
         .orderBy("point")
         .select("x", "density")
     )

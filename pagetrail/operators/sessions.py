@@ -13,7 +13,7 @@ from pagetrail.functions.columns import (
     seconds_between,
     session_key,
 )
-from pagetrail.operators.busy_users import MAX_USER_ROWS, split_by_user_rows
+from pagetrail.operators.busy_users import MAX_USER_ROWS, busy_users, split_users
 from pagetrail.schema import GAP_SECONDS, METRIC_COLUMNS
 
 # Width of the time slices a busy user's instants are spread over.
@@ -51,20 +51,22 @@ def sessionise(
     opens a session, and all of them carry the last of those numbers.
 
     Users with more than ``max_user_rows`` events take a plan that spreads one
-    user over many tasks; None turns that off. With ``tie_is_unique`` no two
-    events of one user and instant share a ``tie`` value, and even the events of
-    a single instant need not meet in one task.
+    user over many tasks. Finding them runs a job that counts the user column; None
+    turns both off. With ``tie_is_unique`` no two events of one user and instant
+    share a ``tie`` value, and even the events of a single instant need not meet in
+    one task.
     """
     if gap_seconds < 0:
         raise ValueError("gap_seconds must not be negative")
     timed = with_event_timestamp(events, time)
-    if max_user_rows is None:
-        numbered = _number_in_order(timed, gap_seconds, user, tie, keep_null_times)
-    else:
-        quiet, busy = split_by_user_rows(timed, events, user, max_user_rows)
+    busy = busy_users(events, user, max_user_rows) if max_user_rows is not None else []
+    if busy:
+        quiet, crowded = split_users(timed, user, busy)
         numbered = _number_in_order(quiet, gap_seconds, user, tie, keep_null_times).unionByName(
-            _number_by_instant(busy, gap_seconds, user, tie, tie_is_unique, keep_null_times)
+            _number_by_instant(crowded, gap_seconds, user, tie, tie_is_unique, keep_null_times)
         )
+    else:
+        numbered = _number_in_order(timed, gap_seconds, user, tie, keep_null_times)
     key = session_key(quoted(user), F.col("session_id"))
     return numbered.withColumn("unique_session_id", key)
 

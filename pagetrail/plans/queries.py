@@ -56,7 +56,7 @@ def _sessionised(spark: SparkSession, sf_dir: str, gap: int = WIDE_GAP, **option
 
 
 def _gold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gold(_sessionised(spark, sf_dir), FUNNEL_STAGES)
+    return gold_from_events(click_events(spark, sf_dir), FUNNEL_STAGES, WIDE_GAP)
 
 
 def _sessionise(gap: int, **options) -> Query:
@@ -183,12 +183,10 @@ QUERIES: dict[str, Query] = {
         _sessionised(s, d, LEGACY_GAP_SECONDS), counters={}
     ),
     "funnel_matrix": lambda s, d: funnel_matrix(_sessionised(s, d), FUNNEL_STAGES),
-    "gold": _gold,
+    "gold": lambda s, d: gold(_sessionised(s, d), FUNNEL_STAGES),
     "gold_discovered_stages": lambda s, d: gold(_sessionised(s, d)),
     "gold_pivot_join": lambda s, d: gold_pivot_join(_sessionised(s, d), FUNNEL_STAGES),
-    "gold_from_events": lambda s, d: gold_from_events(
-        click_events(s, d), FUNNEL_STAGES, WIDE_GAP
-    ),
+    "gold_from_events": _gold,
     "gold_busy_users": lambda s, d: gold(_busy(s, d, unique=True), FUNNEL_STAGES),
     # Reports.
     "total_sessions": lambda s, d: total_sessions(_gold(s, d)),

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
 
@@ -23,3 +23,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
         folder = tempfile.mkdtemp(prefix="pagetrail-")
         spark.conf.set(SETTING, folder)
     return f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def scratch_table(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` to a new scratch path and read it back, so it is computed once."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
