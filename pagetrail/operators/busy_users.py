@@ -37,4 +37,6 @@ def split_users(events: DataFrame, user: str, busy: list) -> tuple[DataFrame, Da
     schema = T.StructType([T.StructField(user, events.schema[user].dataType)])
     known = events.sparkSession.createDataFrame([(b,) for b in busy], schema)
     listed = F.broadcast(known)  # at most MAX_BUSY_USERS keys
-    return events.join(listed, user, "left_anti"), events.join(listed, user, "left_semi")
+    columns = [quoted(c) for c in events.columns]  # a join by name puts the key first
+    quiet, crowded = (events.join(listed, user, how) for how in ("left_anti", "left_semi"))
+    return quiet.select(*columns), crowded.select(*columns)

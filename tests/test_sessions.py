@@ -1,0 +1,174 @@
+"""Sessions on hand-written events: limits, ties, fractions, missing times, busy users."""
+
+from __future__ import annotations
+
+import datetime as dt
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from pagetrail.operators.busy_users import busy_users
+from pagetrail.operators.sessions import session_metrics, sessionise, unparsed_times
+from pagetrail.schema import GAP_SECONDS, LEGACY_GAP_SECONDS, METRIC_COLUMNS, SESSION_COLUMNS
+
+DAY = dt.datetime(2024, 1, 1)
+# Plans under test: all in order, all by instant with and without a unique tie-break.
+PLANS = [
+    {"max_user_rows": None},
+    {"max_user_rows": 0, "tie_is_unique": True},
+    {"max_user_rows": 0},
+    {"max_user_rows": 0, "tie": None},
+]
+
+
+def events(spark, rows):
+    """(event_id, user, seconds since midnight or None) as click events."""
+    data = [(i, u, None if s is None else DAY + dt.timedelta(seconds=s)) for i, u, s in rows]
+    return spark.createDataFrame(data, "event_id bigint, user_id string, at timestamp")
+
+
+def numbers(spark, seconds, gap=GAP_SECONDS, **options):
+    df = events(spark, [(i, "u", s) for i, s in enumerate(seconds)])
+    out = sessionise(df, gap, time="at", **options)
+    return [r.session_id for r in out.orderBy("event_id").collect()]
+
+
+@pytest.mark.parametrize("options", PLANS)
+@pytest.mark.parametrize(
+    "seconds, gap, expected",
+    [
+        ([0, 900], 900, [1, 1]),
+        ([0, 901], 900, [1, 2]),
+        ([0, 900, 1801], 900, [1, 1, 2]),
+        ([10, 10, 5000, 5000, 5000], 900, [1, 1, 2, 2, 2]),
+        ([0.9, 901.1], 900, [1, 2]),
+        ([0.1, 900.9], 900, [1, 1]),
+        ([0, 1800], LEGACY_GAP_SECONDS, [1, 1]),
+        ([0, 1801], LEGACY_GAP_SECONDS, [1, 2]),
+        ([0, 0, 1], 0, [1, 1, 2]),
+        ([7], 900, [1]),
+        ([0, 50_000, 50_001, 200_000], 21_600, [1, 2, 2, 3]),
+    ],
+)
+def test_session_numbers(spark, options, seconds, gap, expected):
+    assert numbers(spark, seconds, gap, **options) == expected
+
+
+@pytest.mark.parametrize("options", PLANS)
+def test_null_times_open_a_session_each_and_share_the_last_number(spark, options):
+    assert numbers(spark, [None, None, 10], keep_null_times=True, **options) == [2, 2, 3]
+
+
+@pytest.mark.parametrize("options", PLANS)
+def test_null_times_are_left_out_by_default(spark, options):
+    df = events(spark, [(1, "u", None), (2, "u", 10), (3, "u", 20)])
+    out = sessionise(df, time="at", **options).orderBy("event_id").collect()
+    assert [(r.event_id, r.session_id) for r in out] == [(2, 1), (3, 1)]
+    assert out[0].prev_time is None
+    assert [r.event_id for r in unparsed_times(df, "at").collect()] == [1]
+
+
+@pytest.mark.parametrize("options", PLANS)
+def test_each_user_starts_at_one(spark, options):
+    df = events(spark, [(1, "a", 0), (2, "b", 0), (3, "a", 5000), (4, "b", 5000)])
+    keys = sessionise(df, time="at", **options).orderBy("event_id").collect()
+    assert [r.unique_session_id for r in keys] == ["a_1", "b_1", "a_2", "b_2"]
+
+
+def test_columns_and_types(spark):
+    df = spark.createDataFrame(
+        [("u", "2024-01-01 00:00:00", "home"), ("u", "2024-01-01", "search")],
+        "user_id string, event_time string, current_page string",
+    )
+    out = sessionise(df, tie=None)
+    assert out.columns == df.columns + SESSION_COLUMNS
+    assert dict(out.dtypes) == {
+        "user_id": "string",
+        "event_time": "string",
+        "current_page": "string",
+        "event_timestamp": "timestamp",
+        "prev_time": "timestamp",
+        "time_diff_seconds": "bigint",
+        "is_new_session": "int",
+        "session_id": "bigint",
+        "unique_session_id": "string",
+    }
+    assert session_metrics(out).columns == METRIC_COLUMNS
+    assert out.agg(F.sum("is_new_session")).first()[0] == 1
+
+
+def test_all_plans_give_the_same_columns(spark):
+    df = events(spark, [(1, "a", 0), (2, "b", 0)])
+    schemas = {str(sessionise(df, time="at", **o).dtypes) for o in PLANS}
+    assert len(schemas) == 1
+
+
+def test_unparsable_text_is_a_null_time(spark):
+    df = spark.createDataFrame(
+        [(1, "u", "garbage"), (2, "u", "2024-01-01"), (3, "u", "")],
+        "event_id bigint, user_id string, event_time string",
+    )
+    kept = sessionise(df).collect()
+    assert [(r.event_id, r.event_timestamp) for r in kept] == [(2, DAY)]
+    assert sorted(r.event_id for r in unparsed_times(df).collect()) == [1, 3]
+
+
+def test_gap_must_not_be_negative(spark):
+    with pytest.raises(ValueError):
+        sessionise(events(spark, [(1, "u", 0)]), -1, time="at")
+
+
+def test_busy_users_are_the_ones_above_the_limit(spark):
+    df = events(spark, [(i, "abbcccdddd"[i], i) for i in range(10)] + [(99, None, 0)])
+    assert busy_users(df, "user_id", 2) == ["d", "c"]
+    assert busy_users(df, "user_id", 4) == []
+
+
+def brute_force(rows, gap):
+    """(event_id -> prev, diff, flag, number) by one pass over each user's events in order."""
+    out, last, number = {}, {}, {}
+    for i, u, s in sorted(rows, key=lambda r: (r[1], r[2], r[0])):
+        prev = last.get(u)
+        diff = None if prev is None else int(s // 1) - int(prev // 1)
+        new = int(diff is None or diff > gap)
+        number[u] = number.get(u, 0) + new
+        out[i] = (prev, diff, new, number[u])
+        last[u] = s
+    return out
+
+
+@pytest.mark.parametrize("options", [o for o in PLANS if o.get("tie", "") is not None])
+@pytest.mark.parametrize("limit", [0, 40])
+def test_one_user_with_a_third_of_all_events(spark, options, limit):
+    """Skewed users, many copies of one instant, fractions, slices without events."""
+    rng = random.Random(5)
+    rows = []
+    for i in range(900):
+        user = "hot" if i % 3 == 0 else f"u{rng.randrange(30)}"
+        second = 4000.0 if i % 12 == 0 else rng.randrange(0, 400_000) / 4
+        rows.append((i, user, second))
+    if options["max_user_rows"] is not None:
+        options = {**options, "max_user_rows": limit}
+    want = brute_force(rows, 300)
+    for r in sessionise(events(spark, rows), 300, time="at", **options).collect():
+        prev = None if r.prev_time is None else (r.prev_time - DAY).total_seconds()
+        assert (prev, r.time_diff_seconds, r.is_new_session, r.session_id) == want[r.event_id]
+
+
+def test_copies_with_one_tie_value_are_counted_once(spark):
+    """Events delivered twice, with the same id, in the plan for busy users."""
+    df = events(spark, [(1, "u", 0), (1, "u", 0), (2, "u", 5000), (2, "u", 5000)])
+    out = sessionise(df, time="at", max_user_rows=0)
+    assert out.count() == 4
+    assert out.agg(F.sum("is_new_session")).first()[0] == 2
+
+
+def test_flags_add_up_to_the_session_number(spark):
+    rng = random.Random(7)
+    rows = [(i, f"u{rng.randrange(5)}", rng.randrange(100_000)) for i in range(300)]
+    out = sessionise(events(spark, rows), time="at", max_user_rows=60)
+    per_user = out.groupBy("user_id").agg(
+        F.sum("is_new_session").alias("flags"), F.max("session_id").alias("last")
+    )
+    assert per_user.filter("flags != last").count() == 0
