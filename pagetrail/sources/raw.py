@@ -29,7 +29,7 @@ def read_raw_json(spark: SparkSession, path: str) -> DataFrame:
 
 def valid_events(raw: DataFrame) -> DataFrame:
     """Rows with every required field, in the raw schema."""
-    return raw.dropna(subset=REQUIRED_COLUMNS).select(*RAW_COLUMNS)
+    return raw.filter(~is_missing(REQUIRED_COLUMNS)).select(*RAW_COLUMNS)
 
 
 def rejected_events(raw: DataFrame) -> DataFrame:
