@@ -167,7 +167,11 @@ def _numbered_instants(
         )
         .withColumn("slice", slice_no)
     )
-    in_slice = Window.partitionBy("at_user", "slice").orderBy("at_instant")
+    # Instants are distinct, so ``at_first`` orders nothing; with it both uses of
+    # ``marked`` need the same columns and Spark runs their common shuffle once.
+    in_slice = Window.partitionBy("at_user", "slice").orderBy(
+        "at_instant", *(["at_first"] if tie else [])
+    )
     before = F.lag("at_instant").over(in_slice)
     # Events without a time open one session each; the first instant of a slice is
     # judged below, once the slice before it is known.
