@@ -22,6 +22,7 @@ def main(argv: list[str] | None = None) -> int:
     run.add_argument("--gap-seconds", type=int, default=GAP_SECONDS)
     run.add_argument("--stages", nargs="*", help="Gold stage columns; default: every page found")
     run.add_argument("--keep-null-times", action="store_true")
+    run.add_argument("--no-event-export", action="store_true", help="no CSV of bronze and silver")
     report = commands.add_parser("report", help="print the funnel and durations of a run")
     report.add_argument("root")
     report.add_argument("--run-id", type=int, help="as of this run; default: the last one")
@@ -38,6 +39,7 @@ def main(argv: list[str] | None = None) -> int:
         gap_seconds=args.gap_seconds,
         stages=args.stages,
         keep_null_times=args.keep_null_times,
+        export_events=not args.no_event_export,
     )
     print(f"{counts.events} events read, {counts.rejected} rejected")
     for layer in ("bronze", "silver", "gold"):

@@ -178,14 +178,26 @@ def gold_from_events(
     concerns ``session_window`` alone and changes no result. Events without a usable
     time are left out.
     """
-    events.sparkSession.conf.set(MERGE_LOCALLY, "true")
     stages = _resolve(events, stages, extras, counters)
-    timed = with_event_timestamp(events, time).withColumn(
-        "second", F.timestamp_seconds(epoch_seconds(F.col("event_timestamp")))
-    )
-    sessions = timed.groupBy(
-        "user_id", F.session_window("second", f"{gap_seconds} seconds").alias("span")
-    ).agg(*_stat_columns(counters), *_stage_columns(stages))
+    timed = with_event_timestamp(events, time).withColumn("second", event_second())
+    sessions = merged_sessions(timed, stages, gap_seconds, counters)
     in_order = Window.partitionBy("user_id").orderBy("span")
     numbered = sessions.withColumn("session_id", F.row_number().over(in_order))
     return _session_rows(numbered, counters, stages)
+
+
+def event_second() -> Column:
+    """``event_timestamp`` rounded down to the second, as gaps are measured."""
+    return F.timestamp_seconds(epoch_seconds(F.col("event_timestamp")))
+
+
+def merged_sessions(
+    timed: DataFrame,
+    stages: Sequence[str],
+    gap_seconds: int,
+    counters: Mapping[str, tuple[str, str]],
+) -> DataFrame:
+    """One row per ``user_id`` and session window ``span`` over column ``second``."""
+    timed.sparkSession.conf.set(MERGE_LOCALLY, "true")
+    span = F.session_window("second", f"{gap_seconds} seconds").alias("span")
+    return timed.groupBy("user_id", span).agg(*_stat_columns(counters), *_stage_columns(stages))

@@ -55,6 +55,16 @@ def _stage_row(no: int, stage: str, present: bool) -> Column:
     )
 
 
+def funnel_lines(report: DataFrame) -> DataFrame:
+    """The report as text, ``home: 1774 (31.0%)``; rounded for display only."""
+    return report.select(
+        "stage_no",
+        F.format_string("%s: %d (%.1f%%)", "stage", "sessions", F.coalesce("pct", F.lit(0.0))).alias(
+            "line"
+        ),
+    )
+
+
 def conversion_by(sessionised: DataFrame, dim: str, target: str = TARGET_STAGE) -> DataFrame:
     """Sessions, sessions that reached ``target`` and their percentage, per value of ``dim``.
 

@@ -18,6 +18,7 @@ from pagetrail.operators.gold import gold
 from pagetrail.operators.reports import (
     conversion_by,
     conversion_by_hour,
+    funnel_lines,
     funnel_report,
     present_stages,
     total_sessions,
@@ -108,13 +109,15 @@ def run_layers(
     report_stages: Sequence[str] = REPORT_STAGES,
     target: str = TARGET_STAGE,
     keep_null_times: bool = False,
+    export_events: bool = True,
     fmt: str = DEFAULT_FORMAT,
 ) -> IngestCounts:
     """Run everything once and mark the run complete.
 
     Layers: bronze, bad_records, bad_times, silver, session_metrics, gold and one per
     report. Exports: ``<run>/export=<name>`` as CSV for bronze, silver, gold and the
-    reports, as Parquet for gold. ``bad_records`` and ``bad_times`` exist only if they
+    reports, as Parquet for gold; those of bronze and silver, as large as the log, can be
+    left out with ``export_events=False``. ``bad_records`` and ``bad_times`` exist only if they
     have rows. Gold has a column for each page found, or for the given ``stages`` and
     those the reports need. ``fmt`` is the format of the layers after Bronze.
     """
@@ -127,7 +130,8 @@ def run_layers(
 
     counts = ingest(spark, source, root, run_id)
     bronze = read_bronze(spark, root, run_id)
-    export_csv(bronze, export("bronze_csv"))
+    if export_events:
+        export_csv(bronze, export("bronze_csv"))
 
     if not keep_null_times:
         bad_times = unparsed_times(bronze)
@@ -142,7 +146,8 @@ def run_layers(
     )
     silver = read_layer(spark, path("silver"), fmt)
     write_layer(session_metrics(silver), path("session_metrics"), fmt)
-    export_csv(silver, export("silver_csv"))
+    if export_events:
+        export_csv(silver, export("silver_csv"))
 
     extras = EXTRA_STAGES if stages is None else [*EXTRA_STAGES, *report_stages, target]
     write_layer(gold(silver, stages, extras), path("gold"), fmt, replace_schema=True)
@@ -184,6 +189,8 @@ def show_reports(spark: SparkSession, root: str, run_id: int | None = None) -> b
     if sessions is None:
         print(f"run {found} in {root} has no Gold table")
         return False
-    funnel_report(sessions, FUNNEL_STAGES).show(truncate=False)
+    print(f"Total sessions: {total_sessions(sessions).first().total_sessions}")
+    for row in funnel_lines(funnel_report(sessions, FUNNEL_STAGES)).orderBy("stage_no").collect():
+        print(row.line)
     duration_histogram(sessions, unit="minutes").show(100)
     return True

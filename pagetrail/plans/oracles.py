@@ -196,6 +196,9 @@ SELECT unique_session_id, {_hits(GOLD_STAGES)} FROM silver GROUP BY unique_sessi
         [s for s in REPORT_STAGES if s in FOUND_STAGES], pct=False
     ),
     "funnel_conversion": _funnel(FUNNEL_STAGES, pct=True),
+    "funnel_lines": f"""SELECT stage_no,
+  stage || ': ' || sessions || ' (' || printf('%.1f', pct) || '%)' AS line
+FROM ({_funnel(FUNNEL_STAGES, pct=True)})""",
     "conversion_by_device": _conversion("device"),
     "conversion_by_browser": _conversion("browser"),
     "conversion_by_hour": f"""{_gold_ctes()}
@@ -224,6 +227,13 @@ SELECT {_stats()}, {_hits(["confirmation", "home", "product_view", "search"])},
   SELECT {_stats()}, {_hits(GOLD_STAGES)} FROM silver GROUP BY unique_session_id
 )""",
     ),
+    "stream_sessions": f"""WITH {LOG}, kept AS (SELECT * FROM log WHERE {VALID}),
+{_silver(WIDE_GAP, "kept")}, gold AS (
+  SELECT user_id, {_stats()}, {_hits(FUNNEL_STAGES)} FROM silver
+  GROUP BY user_id, unique_session_id
+)
+SELECT * EXCLUDE (unique_session_id) FROM gold
+WHERE epoch(end_time) + {WIDE_GAP} <= (SELECT max(epoch(end_time)) - 3600 FROM gold)""",
     "layer_as_of": _sessions(900),
     "gold_csv_roundtrip": _gold(),
     "gold_parquet_roundtrip": _gold(),

@@ -16,9 +16,11 @@ from pagetrail.operators.gold import (
     gold_pivot_join,
     session_stats,
 )
+from pagetrail.operators.model import conversion_scores, train_conversion_model
 from pagetrail.operators.reports import (
     conversion_by,
     conversion_by_hour,
+    funnel_lines,
     funnel_report,
     total_sessions,
 )
@@ -37,7 +39,8 @@ from pagetrail.sources.layers import (
 )
 from pagetrail.sources.raw import read_raw_json, rejected_count, rejected_events, valid_events
 from pagetrail.sources.runs import layer_path, mark_complete, read_as_of
-from pagetrail.sources.scratch import scratch_path
+from pagetrail.sources.scratch import scratch_path, scratch_table
+from pagetrail.streaming.sessions import append_sessions, read_raw_stream, session_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -160,6 +163,20 @@ def density_rounded(spark: SparkSession, sf_dir: str) -> DataFrame:
     return curve.select(F.round("x", 4).alias("x"), F.round("density", 4).alias("density"))
 
 
+def stream_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw log read as a stream: the sessions the watermark has closed."""
+    raw = read_raw_stream(spark, write_click_log(spark, sf_dir))
+    sessions = session_stream(valid_events(raw), FUNNEL_STAGES, WIDE_GAP, lateness="1 hour")
+    path = scratch_path(spark, "stream-sessions")
+    append_sessions(sessions, path).awaitTermination()
+    return read_layer(spark, path)
+
+
+def model_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sessions = scratch_table(_gold(spark, sf_dir), "gold")
+    return conversion_scores(train_conversion_model(sessions), sessions)
+
+
 QUERIES: dict[str, Query] = {
     # Silver: events with their sessions.
     "sessionise_900": _sessionise(GAP_SECONDS),
@@ -195,6 +212,7 @@ QUERIES: dict[str, Query] = {
         gold(_sessionised(s, d)), missing="skip"
     ).drop("pct"),
     "funnel_conversion": lambda s, d: funnel_report(_gold(s, d), FUNNEL_STAGES),
+    "funnel_lines": lambda s, d: funnel_lines(funnel_report(_gold(s, d), FUNNEL_STAGES)),
     "conversion_by_device": lambda s, d: conversion_by(_sessionised(s, d), "device"),
     "conversion_by_browser": lambda s, d: conversion_by(_sessionised(s, d), "browser"),
     "conversion_by_hour": lambda s, d: conversion_by_hour(_gold(s, d)),
@@ -212,6 +230,8 @@ QUERIES: dict[str, Query] = {
     "layer_as_of": layer_as_of,
     "gold_csv_roundtrip": gold_csv_roundtrip,
     "gold_parquet_roundtrip": gold_parquet_roundtrip,
+    "stream_sessions": stream_sessions,
+    "model_scores": model_scores,
     "preview_gold": lambda s, d: preview(_gold(s, d)),
 }
 

@@ -16,12 +16,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     Where the setting is missing, a local session gets a temporary folder; on a
     cluster that would be a different folder on every machine, so it is an error.
     """
-    folder = spark.conf.get(SETTING, None)
+    context = spark.sparkContext
+    folder = spark.conf.get(SETTING, None) or context.getCheckpointDir()
     if not folder:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise RuntimeError(f"set {SETTING} to a folder all machines share")
-        folder = tempfile.mkdtemp(prefix="pagetrail-")
-        spark.conf.set(SETTING, folder)
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="pagetrail-"))
+        folder = context.getCheckpointDir()
     return f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 

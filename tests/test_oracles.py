@@ -22,9 +22,11 @@ def test_query_equals_sql(spark, con, name):
     assert difference(queries()[name](spark, SF_DIR), con, oracle_sql()[name]) is None
 
 
-def test_only_the_preview_has_no_sql(spark):
-    assert set(queries()) - set(oracle_sql()) == {"preview_gold"}
-    assert queries()["preview_gold"](spark, SF_DIR).count() == 5
+def test_queries_without_sql(spark):
+    found = queries()
+    assert set(found) - set(oracle_sql()) == {"preview_gold", "model_scores"}
+    assert found["preview_gold"](spark, SF_DIR).count() == 5
+    assert found["model_scores"](spark, SF_DIR).count() == found["gold"](spark, SF_DIR).count()
 
 
 def test_entry(spark):

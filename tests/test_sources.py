@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import json
+from pathlib import Path
+from types import SimpleNamespace
 
 import pytest
 
@@ -27,7 +29,7 @@ from pagetrail.sources.runs import (
     run_as_of,
     run_path,
 )
-from pagetrail.sources.scratch import SETTING, scratch_path, scratch_table
+from pagetrail.sources.scratch import scratch_path, scratch_table
 
 
 def click(user="u", time="2024-01-01 10:00:00", page="home", **more):
@@ -189,11 +191,39 @@ def test_a_missing_layer_is_none_and_other_errors_are_raised(spark, tmp_path):
         read_layer_if_present(spark, str(tmp_path), "no-such-format")
 
 
+class Context:
+    """Just enough of a Spark context for a session without the setting."""
+
+    def __init__(self, master):
+        self.master, self.folder = master, None
+
+    def getCheckpointDir(self):
+        return self.folder
+
+    def setCheckpointDir(self, folder):
+        self.folder = folder
+
+
+def session(master, setting=None):
+    return SimpleNamespace(
+        conf=SimpleNamespace(get=lambda key, default: setting or default),
+        sparkContext=Context(master),
+    )
+
+
 def test_scratch_is_in_the_shared_folder(spark):
-    assert scratch_path(spark, "x").startswith(spark.conf.get(SETTING))
+    assert scratch_path(session("spark://host", "/shared/"), "x").startswith("/shared/x-")
     assert scratch_table(spark.range(4), "x").count() == 4
 
 
+def test_scratch_without_the_setting():
+    local = session("local[2]")
+    first, second = scratch_path(local, "x"), scratch_path(local, "x")
+    assert first != second and Path(first).parent == Path(second).parent
+    with pytest.raises(RuntimeError):
+        scratch_path(session("spark://host"), "x")
+
+
 def test_command_line(spark, log, tmp_path, capsys):
     root = str(tmp_path / "out")
     assert main(["report", root]) == 1

@@ -1,0 +1,67 @@
+"""The stream form against the batch form, and the model on Gold."""
+
+from __future__ import annotations
+
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from pagetrail.operators.gold import gold_from_events
+from pagetrail.operators.model import conversion_scores, feature_columns, train_conversion_model
+from pagetrail.plans.queries import WIDE_GAP
+from pagetrail.schema import FUNNEL_STAGES
+from pagetrail.sources.events_table import click_events
+from pagetrail.sources.raw import read_raw_json, valid_events
+from pagetrail.streaming.sessions import append_sessions, read_raw_stream, session_stream
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+def write_log(spark, folder):
+    """The test events in several files, in time order, then one event far in the future."""
+    rows = click_events(spark, SF_DIR).orderBy("event_time", "event_id").collect()
+    folder.mkdir()
+    step = len(rows) // 3 + 1
+    for part in range(3):
+        lines = [json.dumps(r.asDict()) for r in rows[part * step : (part + 1) * step]]
+        (folder / f"{part}.json").write_text("\n".join(lines + ["{broken"]))
+    last = {"user_id": "end", "event_time": "2030-01-01 00:00:00", "current_page": "home"}
+    (folder / "9.json").write_text(json.dumps(last))
+
+
+def test_stream_equals_batch_for_all_finished_sessions(spark, tmp_path):
+    write_log(spark, tmp_path / "log")
+    log, out = str(tmp_path / "log"), str(tmp_path / "out")
+    # Files are read in any order here, so allow events of the whole month.
+    raw = read_raw_stream(spark, log, files_per_batch=1)
+    rows = session_stream(valid_events(raw), gap_seconds=WIDE_GAP, lateness="40 days")
+    query = append_sessions(rows, out, str(tmp_path / "progress"))
+    query.awaitTermination(120)
+    assert query.exception() is None
+    batch = gold_from_events(
+        valid_events(read_raw_json(spark, log)), FUNNEL_STAGES, WIDE_GAP, extras=[]
+    ).filter("start_time < '2030-01-01'")
+    want = batch.withColumn("user_id", F.substring_index("unique_session_id", "_", 1))
+    got = spark.read.parquet(out)
+    assert got.count() == want.count() > 100
+    assert got.exceptAll(want.select(got.columns)).count() == 0
+    # Going on from the same progress writes nothing twice.
+    append_sessions(rows, out, str(tmp_path / "progress")).awaitTermination(120)
+    assert spark.read.parquet(out).count() == want.count()
+
+
+@pytest.fixture(scope="module")
+def sessions(spark):
+    rows = [(f"u_{i}", i % 2, i % 7, (i % 2) * 2) for i in range(60)]
+    return spark.createDataFrame(
+        rows, "unique_session_id string, checkout bigint, page_views bigint, confirmation bigint"
+    )
+
+
+def test_the_model_learns_a_plain_rule(sessions):
+    assert feature_columns(sessions) == ["checkout", "page_views"]
+    model = train_conversion_model(sessions)
+    scores = conversion_scores(model, sessions).join(sessions, "unique_session_id")
+    assert scores.count() == 60
+    assert scores.filter("converts != checkout").count() == 0
