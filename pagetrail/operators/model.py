@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from pagetrail.functions.columns import quoted
 from pagetrail.schema import TARGET_STAGE
+from pagetrail.sources.scratch import scratch_path
 
 NOT_FEATURES = {"unique_session_id", "start_time", "end_time"}
 
@@ -22,17 +23,26 @@ def feature_columns(gold: DataFrame, target: str = TARGET_STAGE) -> list[str]:
 
 
 def train_conversion_model(
-    gold: DataFrame, target: str = TARGET_STAGE, features: Sequence[str] | None = None
+    gold: DataFrame,
+    target: str = TARGET_STAGE,
+    features: Sequence[str] | None = None,
+    path: str | None = None,
 ) -> PipelineModel:
-    """Logistic regression of ``target > 0`` on ``features``. Give it a written table:
-    training passes over the rows many times."""
+    """Logistic regression of ``target > 0`` on ``features``, saved at ``path``.
+
+    Give it a written table, as training passes over the rows many times. The model
+    returned is the saved one: a freshly trained one holds its session, which cannot be
+    sent to executors once the session has observed counts.
+    """
     names = list(features or feature_columns(gold, target))
     rows = gold.select(
         *[quoted(n).cast("double").alias(n) for n in names],
         (quoted(target) > 0).cast("double").alias("label"),
     )
     steps = [VectorAssembler(inputCols=names, outputCol="features"), LogisticRegression()]
-    return Pipeline(stages=steps).fit(rows)
+    path = path or scratch_path(gold.sparkSession, "model")
+    Pipeline(stages=steps).fit(rows).write().overwrite().save(path)
+    return PipelineModel.load(path)
 
 
 def conversion_scores(model: PipelineModel, gold: DataFrame) -> DataFrame:
