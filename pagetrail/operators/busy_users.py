@@ -23,20 +23,19 @@ MAX_BUSY_USERS = 100_000
 
 
 def busy_users(events: DataFrame, user: str, max_rows: int = MAX_USER_ROWS) -> list:
-    """Users with more than ``max_rows`` events, the busiest first.
+    """Users with more than ``max_rows`` events, the busiest first; None is a user too.
 
     Runs one job that reads the user column and counts it before the shuffle.
     """
     counts = events.groupBy(quoted(user).alias("user")).agg(F.count(F.lit(1)).alias("rows"))
-    busy = counts.filter((F.col("rows") > max_rows) & F.col("user").isNotNull())
-    return [r.user for r in busy.orderBy(F.desc("rows")).limit(MAX_BUSY_USERS).collect()]
+    busy = counts.filter(F.col("rows") > max_rows).orderBy(F.desc("rows"))
+    return [r.user for r in busy.limit(MAX_BUSY_USERS).collect()]
 
 
 def split_users(events: DataFrame, user: str, busy: list) -> tuple[DataFrame, DataFrame]:
     """The events of all other users, and those of the busy ones."""
-    schema = T.StructType([T.StructField(user, events.schema[user].dataType)])
+    schema = T.StructType([T.StructField("busy_user", events.schema[user].dataType)])
     known = events.sparkSession.createDataFrame([(b,) for b in busy], schema)
     listed = F.broadcast(known)  # at most MAX_BUSY_USERS keys
-    columns = [quoted(c) for c in events.columns]  # a join by name puts the key first
-    quiet, crowded = (events.join(listed, user, how) for how in ("left_anti", "left_semi"))
-    return quiet.select(*columns), crowded.select(*columns)
+    same = quoted(user).eqNullSafe(F.col("busy_user"))
+    return events.join(listed, same, "left_anti"), events.join(listed, same, "left_semi")

@@ -31,7 +31,8 @@ def discover_stages(events: DataFrame, page: str = "current_page") -> list[str]:
 def check_stages(stages: Sequence[str], counters: Mapping[str, tuple[str, str]]) -> list[str]:
     """The stages as a list; raises if one would share a name with another Gold column."""
     taken = {"unique_session_id", "end_time", "start_time", "page_views", "duration_seconds"}
-    taken |= {"user_id", "session_id"} | {name.lower() for name in counters}
+    taken |= {"user_id", "session_id", "hits_user", "hits_session"}
+    taken |= {name.lower() for name in counters}
     for stage in stages:
         if stage.lower() in taken:
             raise ValueError(f"stage {stage!r} has the name of another Gold column")
@@ -159,7 +160,13 @@ def _gold_by_pivot(
     sessionised: DataFrame, stages: Sequence[str], counters: Mapping[str, tuple[str, str]]
 ) -> DataFrame:
     stats = sessionised.groupBy(*SESSION).agg(*_stat_columns(counters))
-    return _session_rows(stats.join(_pivot(sessionised, stages), SESSION), counters, stages)
+    hits = _pivot(sessionised, stages).withColumnsRenamed(
+        {"user_id": "hits_user", "session_id": "hits_session"}
+    )
+    same = F.col("user_id").eqNullSafe(F.col("hits_user")) & (
+        F.col("session_id") == F.col("hits_session")
+    )
+    return _session_rows(stats.join(hits, same), counters, stages)
 
 
 def gold_from_events(
@@ -178,6 +185,8 @@ def gold_from_events(
     concerns ``session_window`` alone and changes no result. Events without a usable
     time are left out.
     """
+    if gap_seconds < 1:
+        raise ValueError("session windows need a timeout of at least one second")
     stages = _resolve(events, stages, extras, counters)
     timed = with_event_timestamp(events, time).withColumn("second", event_second())
     sessions = merged_sessions(timed, stages, gap_seconds, counters)

@@ -121,7 +121,7 @@ def _number_by_instant(
     instants = _numbered_instants(timed, gap_seconds, user, tie)
     joined = timed.join(
         instants,
-        (quoted(user) == F.col("at_user"))
+        quoted(user).eqNullSafe(F.col("at_user"))
         & F.col("event_timestamp").eqNullSafe(F.col("at_instant")),
     )
     if tie and tie_is_unique:
@@ -218,7 +218,8 @@ def _numbered_instants(
         marked.withColumn("opened", F.sum("opened").over(in_slice))
         .join(
             slices,
-            (F.col("at_user") == F.col("slice_user")) & (F.col("slice") == F.col("slice_no")),
+            F.col("at_user").eqNullSafe(F.col("slice_user"))
+            & (F.col("slice") == F.col("slice_no")),
         )
         .select(
             "at_user",

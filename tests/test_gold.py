@@ -102,6 +102,19 @@ def test_gold_variants_are_equal(clicks, silver, stages):
         assert table(other) == table(want)
 
 
+def test_gold_variants_keep_events_without_a_user(spark):
+    rows = [(1, None, "2024-01-01", "home", None, None), (2, "u", "2024-01-01", "home", None, None)]
+    clicks = spark.createDataFrame(rows, SCHEMA)
+    silver = sessionise(clicks)
+    for df in (gold(silver), gold_pivot_join(silver), gold_from_events(clicks)):
+        assert set(table(df)) == {"1", "u_1"}
+
+
+def test_session_windows_need_a_positive_timeout(clicks):
+    with pytest.raises(ValueError):
+        gold_from_events(clicks, STAGES, gap_seconds=0)
+
+
 def test_an_extra_stage_is_counted_when_events_have_it(silver):
     rows = table(gold(silver, STAGES))
     assert rows["b_1"]["payment_failed"] == 1 and rows["b_1"]["order_placed"] == 0

@@ -120,11 +120,18 @@ def test_gap_must_not_be_negative(spark):
 
 
 def test_busy_users_are_the_ones_above_the_limit(spark):
-    df = events(spark, [(i, "abbcccdddd"[i], i) for i in range(10)] + [(99, None, 0)])
+    df = events(spark, [(i, "abbcccdddd"[i], i) for i in range(10)])
     assert busy_users(df, "user_id", 2) == ["d", "c"]
     assert busy_users(df, "user_id", 4) == []
 
 
+@pytest.mark.parametrize("options", PLANS)
+def test_events_without_a_user_are_one_user(spark, options):
+    df = events(spark, [(1, None, 0), (2, None, 5), (3, None, 5000), (4, "u", 7)])
+    out = sessionise(df, time="at", **options).orderBy("event_id").collect()
+    assert [r.unique_session_id for r in out] == ["1", "1", "2", "u_1"]
+
+
 def brute_force(rows, gap):
     """(event_id -> prev, diff, flag, number) by one pass over each user's events in order."""
     out, last, number = {}, {}, {}
