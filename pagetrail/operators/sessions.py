@@ -16,6 +16,7 @@ from pagetrail.functions.columns import (
 from pagetrail.operators.busy_users import MAX_USER_ROWS, busy_users, split_users
 from pagetrail.schema import GAP_SECONDS, METRIC_COLUMNS
 
+EVENT_ID = "event_id"
 # Width of the time slices a busy user's instants are spread over.
 SLICE_SECONDS = 900
 # Slice of the instants without a time; sorts before every real slice.
@@ -38,15 +39,15 @@ def sessionise(
     *,
     user: str = "user_id",
     time: str = "event_time",
-    tie: str | None = "event_id",
+    tie: str | None = EVENT_ID,
     tie_is_unique: bool = False,
     keep_null_times: bool = False,
     max_user_rows: int | None = MAX_USER_ROWS,
 ) -> DataFrame:
     """Every event with its gap to the user's previous event and its session.
 
-    ``tie`` orders a user's events of the same instant; pass None if there is no
-    such column. Events without a usable time are left out (``unparsed_times``
+    ``tie`` orders a user's events of the same instant, by default by ``event_id`` where
+    there is one; None leaves their order open. Events without a usable time are left out (``unparsed_times``
     returns them) unless ``keep_null_times`` is set; then they sort first, each
     opens a session, and all of them carry the last of those numbers.
 
@@ -58,6 +59,8 @@ def sessionise(
     """
     if gap_seconds < 0:
         raise ValueError("gap_seconds must not be negative")
+    if tie == EVENT_ID and EVENT_ID not in events.columns:
+        tie = None
     timed = with_event_timestamp(events, time)
     busy = busy_users(events, user, max_user_rows) if max_user_rows is not None else []
     if busy:

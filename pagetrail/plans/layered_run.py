@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from pagetrail.functions.columns import is_missing
+from pagetrail.operators.busy_users import MAX_USER_ROWS
 from pagetrail.operators.durations import duration_density, duration_histogram
 from pagetrail.operators.gold import gold
 from pagetrail.operators.reports import (
@@ -42,7 +43,7 @@ from pagetrail.sources.layers import (
     write_layer,
 )
 from pagetrail.sources.raw import read_raw_json
-from pagetrail.sources.runs import layer_path, mark_complete, run_as_of, run_path
+from pagetrail.sources.runs import layer_path, mark_complete, mark_started, run_as_of, run_path
 
 BRONZE_COLUMNS = RAW_COLUMNS + ["event_id"]
 
@@ -110,6 +111,7 @@ def run_layers(
     target: str = TARGET_STAGE,
     keep_null_times: bool = False,
     export_events: bool = True,
+    max_user_rows: int | None = MAX_USER_ROWS,
     fmt: str = DEFAULT_FORMAT,
 ) -> IngestCounts:
     """Run everything once and mark the run complete.
@@ -128,6 +130,7 @@ def run_layers(
     def export(name: str) -> str:
         return f"{run_path(root, run_id)}/export={name}"
 
+    mark_started(spark, root, run_id)
     counts = ingest(spark, source, root, run_id)
     bronze = read_bronze(spark, root, run_id)
     if export_events:
@@ -139,7 +142,11 @@ def run_layers(
             write_layer(bad_times, path("bad_times"), fmt)
     write_layer(
         sessionise(
-            bronze, gap_seconds, tie_is_unique=True, keep_null_times=keep_null_times
+            bronze,
+            gap_seconds,
+            tie_is_unique=True,
+            keep_null_times=keep_null_times,
+            max_user_rows=max_user_rows,
         ),
         path("silver"),
         fmt,

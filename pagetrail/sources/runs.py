@@ -1,7 +1,7 @@
 """Versioned layers: every run has its own directory, and a list tells which are complete.
 
     <root>/run_id=<n>/layer=<name>/     the tables of run n
-    <root>/_runs/run_id=<n>/            one row, written when run n is complete
+    <root>/_runs/run_id=<n>/            one row while run n is complete, else none
 
 A run becomes visible with its row in the list, so one that was lost half way is
 never read. Going back means reading as of an earlier run.
@@ -30,7 +30,16 @@ def _list_path(root: str) -> str:
 
 def mark_complete(spark: SparkSession, root: str, run_id: int) -> None:
     """Make run ``run_id`` visible to readers."""
-    done = spark.range(1, numPartitions=1).select(F.current_timestamp().alias("completed_at"))
+    _mark(spark, root, run_id, 1)
+
+
+def mark_started(spark: SparkSession, root: str, run_id: int) -> None:
+    """Hide run ``run_id`` while its tables are being replaced."""
+    _mark(spark, root, run_id, 0)
+
+
+def _mark(spark: SparkSession, root: str, run_id: int, rows: int) -> None:
+    done = spark.range(0, rows, 1, 1).select(F.current_timestamp().alias("completed_at"))
     done.write.mode("overwrite").parquet(f"{_list_path(root)}/run_id={int(run_id)}")
 
 

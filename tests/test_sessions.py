@@ -81,7 +81,7 @@ def test_columns_and_types(spark):
         [("u", "2024-01-01 00:00:00", "home"), ("u", "2024-01-01", "search")],
         "user_id string, event_time string, current_page string",
     )
-    out = sessionise(df, tie=None)
+    out = sessionise(df)
     assert out.columns == df.columns + SESSION_COLUMNS
     assert dict(out.dtypes) == {
         "user_id": "string",

@@ -145,6 +145,27 @@ def test_a_repeated_run_replaces_the_first(spark, tmp_path, log):
     assert read_layer_if_present(spark, layer_path(root, 1, "bad_times")) is None
 
 
+def test_a_run_that_breaks_off_is_not_visible(spark, tmp_path, log, monkeypatch):
+    root = str(tmp_path / "out")
+    run_layers(spark, log, root)
+    assert run_as_of(spark, root) == 1
+    monkeypatch.setattr("pagetrail.plans.layered_run.gold", None)
+    with pytest.raises(TypeError):
+        run_layers(spark, log, root)
+    with pytest.raises(LookupError):
+        run_as_of(spark, root)
+
+
+def test_busy_users_change_no_layer(spark, tmp_path, log):
+    plain, busy = str(tmp_path / "plain"), str(tmp_path / "busy")
+    run_layers(spark, log, plain, max_user_rows=None, export_events=False)
+    run_layers(spark, log, busy, max_user_rows=0, export_events=False)
+    for layer in ("silver", "gold", "funnel"):
+        a, b = read_as_of(spark, plain, layer), read_as_of(spark, busy, layer)
+        a, b = (d.drop("event_id") for d in (a, b))
+        assert a.count() == b.count() and a.exceptAll(b).count() == 0
+
+
 def test_null_times_can_be_kept(spark, tmp_path, log):
     root = str(tmp_path / "out")
     run_layers(spark, log, root, keep_null_times=True)
