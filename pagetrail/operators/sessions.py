@@ -61,15 +61,21 @@ def sessionise(
         raise ValueError("gap_seconds must not be negative")
     if tie == EVENT_ID and EVENT_ID not in events.columns:
         tie = None
-    timed = with_event_timestamp(events, time)
     busy = busy_users(events, user, max_user_rows) if max_user_rows is not None else []
-    if busy:
-        quiet, crowded = split_users(timed, user, busy)
-        numbered = _number_in_order(quiet, gap_seconds, user, tie, keep_null_times).unionByName(
-            _number_by_instant(crowded, gap_seconds, user, tie, tie_is_unique, keep_null_times)
+    quiet, crowded = split_users(events, user, busy) if busy else (events, None)
+    numbered = _number_in_order(
+        with_event_timestamp(quiet, time), gap_seconds, user, tie, keep_null_times
+    )
+    if crowded is not None:
+        by_instant = _number_by_instant(
+            with_event_timestamp(crowded, time),
+            gap_seconds,
+            user,
+            tie,
+            tie_is_unique,
+            keep_null_times,
         )
-    else:
-        numbered = _number_in_order(timed, gap_seconds, user, tie, keep_null_times)
+        numbered = numbered.unionByName(by_instant)
     key = session_key(quoted(user), F.col("session_id"))
     return numbered.withColumn("unique_session_id", key)
 
@@ -119,9 +125,7 @@ def _number_by_instant(
     Only the first event of an instant can open a session, so sessions are found
     on the distinct instants and joined back to the events by (user, instant).
     """
-    if not keep_null_times:
-        timed = timed.filter(F.col("event_timestamp").isNotNull())
-    instants = _numbered_instants(timed, gap_seconds, user, tie)
+    instants = _numbered_instants(timed, gap_seconds, user, tie, keep_null_times)
     joined = timed.join(
         instants,
         quoted(user).eqNullSafe(F.col("at_user"))
@@ -135,7 +139,8 @@ def _number_by_instant(
         is_first = F.col("at_row") == 1
     previous = F.when(is_first, F.col("at_previous")).otherwise(F.col("event_timestamp"))
     return (
-        joined.withColumn("prev_time", previous)
+        joined.filter("at_session > 0")  # 0 for events without a time unless they are kept
+        .withColumn("prev_time", previous)
         .withColumns(_gap_columns(gap_seconds))
         .select(
             *[quoted(c) for c in timed.columns],
@@ -148,7 +153,7 @@ def _number_by_instant(
 
 
 def _numbered_instants(
-    timed: DataFrame, gap_seconds: int, user: str, tie: str | None
+    timed: DataFrame, gap_seconds: int, user: str, tie: str | None, keep_null_times: bool
 ) -> DataFrame:
     """Previous instant and session number of each distinct (user, instant).
 
@@ -176,10 +181,10 @@ def _numbered_instants(
         "at_instant", *(["at_first"] if tie else [])
     )
     before = F.lag("at_instant").over(in_slice)
-    # Events without a time open one session each; the first instant of a slice is
-    # judged below, once the slice before it is known.
+    # Events without a time open one session each, or none if they are left out; the
+    # first instant of a slice is judged below, once the slice before it is known.
     opened = (
-        F.when(F.col("at_instant").isNull(), F.col("copies"))
+        F.when(F.col("at_instant").isNull(), F.col("copies") if keep_null_times else F.lit(0))
         .when(F.col("at_previous").isNull(), F.lit(0))
         .otherwise(
             opens_session(

@@ -218,7 +218,7 @@ FROM gold GROUP BY 1""",
     "layered_gold": f"""WITH {LOG}, kept AS (SELECT * FROM log WHERE {VALID}),
 {_silver(WIDE_GAP, "kept")}
 SELECT {_stats()}, {_hits(["confirmation", "home", "product_view", "search"])},
-  0 AS payment_failed, 0 AS order_placed FROM silver GROUP BY unique_session_id""",
+  0::BIGINT AS payment_failed, 0::BIGINT AS order_placed FROM silver GROUP BY unique_session_id""",
     "layered_funnel": _funnel(
         REPORT_STAGES,
         pct=True,
