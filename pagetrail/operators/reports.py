@@ -41,9 +41,10 @@ def funnel_report(
         F.count(F.lit(1)).alias("total"),
         F.array(*[_stage_row(no, s, s in present) for no, s in enumerate(shown, 1)]).alias("rows"),
     )
+    share = percent(F.col("sessions"), F.col("total")).alias("pct")
     return (
         counts.select("total", F.inline("rows"))
-        .select("stage_no", "stage", "sessions", percent(F.col("sessions"), F.col("total")).alias("pct"))
+        .select("stage_no", "stage", "sessions", share)
         .orderBy("stage_no")
     )
 
@@ -57,12 +58,9 @@ def _stage_row(no: int, stage: str, present: bool) -> Column:
 
 def funnel_lines(report: DataFrame) -> DataFrame:
     """The report as text, ``home: 1774 (31.0%)``; rounded for display only."""
-    return report.select(
-        "stage_no",
-        F.format_string("%s: %d (%.1f%%)", "stage", "sessions", F.coalesce("pct", F.lit(0.0))).alias(
-            "line"
-        ),
-    )
+    pct = F.coalesce("pct", F.lit(0.0))
+    line = F.format_string("%s: %d (%.1f%%)", "stage", "sessions", pct)
+    return report.select("stage_no", line.alias("line"))
 
 
 def conversion_by(sessionised: DataFrame, dim: str, target: str = TARGET_STAGE) -> DataFrame:

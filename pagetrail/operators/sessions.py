@@ -46,16 +46,17 @@ def sessionise(
 ) -> DataFrame:
     """Every event with its gap to the user's previous event and its session.
 
-    ``tie`` orders a user's events of the same instant, by default by ``event_id`` where
-    there is one; None leaves their order open. Events without a usable time are left out (``unparsed_times``
-    returns them) unless ``keep_null_times`` is set; then they sort first, each
-    opens a session, and all of them carry the last of those numbers.
-
-    Users with more than ``max_user_rows`` events take a plan that spreads one
-    user over many tasks. Finding them runs a job that counts the user column; None
-    turns both off. With ``tie_is_unique`` no two events of one user and instant
-    share a ``tie`` value, and even the events of a single instant need not meet in
-    one task.
+    ``tie`` orders a user's events of the same instant, by default by ``event_id``
+    where there is one; None leaves their order open. Events without a usable time are
+    left out (``unparsed_times`` returns them) unless ``keep_null_times`` is set; then
+    they sort first, each opens a session, and all of them carry the last of those
+    numbers.
+
+    Users with more than ``max_user_rows`` events take a plan that spreads one user
+    over many tasks. Finding them runs a job that counts the user column, so give it a
+    written table rather than raw text; None turns both off. With ``tie_is_unique`` no
+    two events of one user and instant share a ``tie`` value, and even the events of a
+    single instant need not meet in one task.
     """
     if gap_seconds < 0:
         raise ValueError("gap_seconds must not be negative")

@@ -189,7 +189,8 @@ def test_reports_without_sessions(silver):
 
 
 def test_a_session_counts_under_every_value_it_has(silver):
-    rows = {r.device: (r.sessions, r.converted, r.rate) for r in conversion_by(silver, "device").collect()}
+    found = conversion_by(silver, "device").collect()
+    rows = {r.device: (r.sessions, r.converted, r.rate) for r in found}
     assert rows == {
         "Mobile": (2, 1, 50.0),
         "Desktop": (1, 1, 100.0),

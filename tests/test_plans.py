@@ -65,7 +65,8 @@ def test_one_sort_for_both_windows(silver):
 
 def test_only_needed_columns_are_read(clicks):
     rows = gold(sessionise(clicks, max_user_rows=None), FUNNEL_STAGES)
-    read = re.search(r"ReadSchema: struct<([^>]*)>", plan(rows.select("unique_session_id"))).group(1)
+    text = plan(rows.select("unique_session_id"))
+    read = re.search(r"ReadSchema: struct<([^>]*)>", text).group(1)
     assert "props" not in read and "event_type" not in read
 
 

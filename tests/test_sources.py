@@ -181,7 +181,8 @@ def test_versions(spark, tmp_path):
         write_layer(spark.range(run_id), layer_path(root, run_id, "gold"))
         if run_id != 6:  # run 6 never finishes
             mark_complete(spark, root, run_id)
-    assert [read_as_of(spark, root, "gold", n).count() for n in (1, 3, 4, 9, None)] == [1, 1, 4, 4, 4]
+    found = [read_as_of(spark, root, "gold", n).count() for n in (1, 3, 4, 9, None)]
+    assert found == [1, 1, 4, 4, 4]
     assert sorted(r.run_id for r in completed_runs(spark, root).collect()) == [1, 4]
     with pytest.raises(LookupError):
         run_as_of(spark, root, 0)
