@@ -105,6 +105,44 @@ def test_busy_users_are_spread_by_instant(clicks):
     assert "CartesianProduct" not in plan(rows) and "NestedLoop" not in plan(rows)
 
 
+@pytest.fixture
+def no_small_data_shortcuts(spark):
+    """Plans as for large tables: no broadcast joins by size, no joining of partitions."""
+    settings = {
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    }
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    yield
+    for key, value in before.items():
+        if value is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, value)
+
+
+@pytest.mark.parametrize("limit, spread", [(None, False), (1000, True)])
+def test_no_task_gets_all_events_of_a_busy_user(spark, no_small_data_shortcuts, limit, spread):
+    i = F.col("id")
+    user = F.when(i % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("u"), i % 300))
+    events = spark.range(9000).select(
+        i.alias("event_id"), user.alias("user_id"), F.timestamp_seconds(i * 70).alias("at")
+    )
+    rows = sessionise(events, time="at", tie_is_unique=True, max_user_rows=limit)
+    per_task = (
+        rows.withColumn("task", F.spark_partition_id())
+        .groupBy("task")
+        # The session column is used, or its windows would not run at all.
+        .agg(F.count_if((F.col("user_id") == "hot") & (F.col("session_id") > 0)).alias("hot"))
+    )
+    counts = [r.hot for r in per_task.collect()]
+    assert sum(counts) == 3000
+    assert (max(counts) < 1000) == spread
+
+
 def test_a_hot_user_leaves_the_map_side_as_few_rows(spark, tmp_path):
     """Partial sessions are merged before the shuffle, whatever the order of events."""
     path = str(tmp_path / "hot")
