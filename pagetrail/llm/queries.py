@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from pagetrail.llm import quality_rules
+from pagetrail.llm import bpe, quality_rules
 from pagetrail.llm.text import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +28,19 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = bpe.decode(bpe.encode(docs, path), path)
+    return coded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op6_quality_rules": op6_quality_rules,
+    "op9_bpe": op9_bpe,
 }
