@@ -65,6 +65,45 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM based
 """
 
+CONTAMINATION = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents
+),
+b AS (
+  SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark
+),
+starts AS (
+  SELECT item, ws, least(13, len(ws)) AS n,
+    unnest(range(1, greatest(len(ws) - 12, 1) + 1)) AS i FROM b WHERE len(ws) > 0
+),
+windows AS (
+  SELECT DISTINCT item, n, array_to_string(ws[i:i + n - 1], ' ') AS gram FROM starts
+),
+places AS (SELECT doc_id, ws, unnest(range(1, len(ws) + 1)) AS i FROM d),
+grams AS (
+  SELECT doc_id, i, n, array_to_string(ws[i:i + n - 1], ' ') AS gram
+  FROM places, (SELECT DISTINCT n FROM windows) WHERE i + n - 1 <= len(ws)
+),
+found AS (SELECT doc_id, item, i, n FROM grams JOIN windows USING (n, gram)),
+hit AS (
+  SELECT doc_id, count(DISTINCT i + k) AS n_hit FROM found, range(13) AS r(k)
+  WHERE k < n GROUP BY doc_id
+),
+owned AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT doc_id, item FROM found) GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+  coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(ws) AS contaminated
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN owned USING (doc_id)
+"""
+
 ORACLES: dict[str, str] = {
+    "op1_decontaminate": CONTAMINATION,
     "op6_quality_rules": QUALITY,
 }

@@ -8,12 +8,25 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagetrail.llm import bpe, quality_rules
+from pagetrail.llm import bpe, decontaminate, quality_rules
 from pagetrail.llm.text import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    judged = decontaminate.contaminated_documents(docs, table(spark, sf_dir, "benchmark"))
+    return judged.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        "n_items",
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return quality_rules.judge(docs).select(
@@ -41,6 +54,7 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_decontaminate": op1_decontaminate,
     "op6_quality_rules": op6_quality_rules,
     "op9_bpe": op9_bpe,
 }
