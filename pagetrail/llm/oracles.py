@@ -103,7 +103,41 @@ SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
 FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN owned USING (doc_id)
 """
 
+NEAR_DUPLICATES = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS ws FROM documents
+),
+starts AS (
+  SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 4, 1) + 1)) AS i
+  FROM d WHERE len(ws) > 0
+),
+shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(ws[i:i + 4], ' ') AS s FROM starts
+),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+common AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS m
+  FROM shingles a JOIN shingles b USING (s) WHERE a.doc_id <> b.doc_id GROUP BY ALL
+),
+links AS (
+  SELECT x, y FROM common JOIN sizes p ON x = p.doc_id JOIN sizes q ON y = q.doc_id
+  WHERE 100 * m >= 85 * (p.n + q.n - m)
+),
+reach AS (
+  SELECT doc_id AS x, doc_id AS y FROM d
+  UNION
+  SELECT reach.x, links.y FROM reach JOIN links ON reach.y = links.x
+)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, min(y) AS component_id,
+  d.doc_id = min(y) AS kept
+FROM d JOIN reach ON d.doc_id = reach.x LEFT JOIN sizes ON d.doc_id = sizes.doc_id
+GROUP BY d.doc_id, n
+"""
+
 ORACLES: dict[str, str] = {
+    "op2_near_dedup": NEAR_DUPLICATES,
     "op1_decontaminate": CONTAMINATION,
     "op6_quality_rules": QUALITY,
 }

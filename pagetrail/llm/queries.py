@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagetrail.llm import bpe, decontaminate, quality_rules
+from pagetrail.llm import bpe, decontaminate, near_dedup, quality_rules
 from pagetrail.llm.text import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,6 +27,11 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return near_dedup.near_duplicates(docs, percent=85)
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return quality_rules.judge(docs).select(
@@ -55,6 +60,7 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_decontaminate": op1_decontaminate,
+    "op2_near_dedup": op2_near_dedup,
     "op6_quality_rules": op6_quality_rules,
     "op9_bpe": op9_bpe,
 }
