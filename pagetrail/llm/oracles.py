@@ -136,7 +136,49 @@ FROM d JOIN reach ON d.doc_id = reach.x LEFT JOIN sizes ON d.doc_id = sizes.doc_
 GROUP BY d.doc_id, n
 """
 
+LINES = r"""
+WITH all_lines AS (
+  SELECT doc_id, unnest(ls) AS line, generate_subscripts(ls, 1) - 1 AS i
+  FROM (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents)
+),
+lines AS (
+  SELECT doc_id, i, line, sum(words) OVER (PARTITION BY doc_id ORDER BY i) AS upto, words
+  FROM (SELECT *, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS words FROM all_lines)
+  WHERE words > 0
+),
+runs AS (
+  SELECT a.doc_id, a.i AS a, min(b.i) AS b FROM lines a JOIN lines b
+  ON a.doc_id = b.doc_id AND b.i >= a.i AND b.upto - a.upto + a.words >= 50
+  GROUP BY a.doc_id, a.i
+  UNION
+  SELECT b.doc_id, max(a.i) AS a, b.i AS b FROM lines a JOIN lines b
+  ON a.doc_id = b.doc_id AND b.i >= a.i AND b.upto - a.upto + a.words >= 50
+  GROUP BY b.doc_id, b.i
+),
+contents AS (
+  SELECT r.doc_id, a, b, string_agg(line, chr(10) ORDER BY i) AS content
+  FROM runs r JOIN lines l ON l.doc_id = r.doc_id AND i BETWEEN a AND b GROUP BY r.doc_id, a, b
+),
+firsts AS (
+  SELECT content, min({'doc_id': doc_id, 'a': a, 'b': b}) AS f FROM contents GROUP BY content
+),
+gone AS (
+  SELECT DISTINCT l.doc_id, l.i FROM contents c JOIN firsts USING (content)
+  JOIN all_lines l ON l.doc_id = c.doc_id AND l.i BETWEEN a AND b
+  WHERE c.doc_id <> f.doc_id OR a > f.b
+),
+left_over AS (
+  SELECT l.doc_id, string_agg(line, chr(10) ORDER BY l.i) FILTER (gone.i IS NULL) AS text,
+    count(*) AS n_lines, count(gone.i) AS n_removed
+  FROM all_lines l LEFT JOIN gone ON gone.doc_id = l.doc_id AND gone.i = l.i GROUP BY l.doc_id
+)
+SELECT d.doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(l.text, '') END AS text,
+  coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed
+FROM documents d LEFT JOIN left_over l USING (doc_id)
+"""
+
 ORACLES: dict[str, str] = {
+    "op8_line_dedup": LINES,
     "op2_near_dedup": NEAR_DUPLICATES,
     "op1_decontaminate": CONTAMINATION,
     "op6_quality_rules": QUALITY,

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagetrail.llm import bpe, decontaminate, near_dedup, quality_rules
+from pagetrail.llm import bpe, decontaminate, line_dedup, near_dedup, quality_rules
 from pagetrail.llm.text import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -46,6 +46,11 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.remove_repeated_lines(docs)
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -62,5 +67,6 @@ QUERIES: dict[str, Query] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_near_dedup": op2_near_dedup,
     "op6_quality_rules": op6_quality_rules,
+    "op8_line_dedup": op8_line_dedup,
     "op9_bpe": op9_bpe,
 }
