@@ -9,8 +9,8 @@ from __future__ import annotations
 import codecs
 import json
 import unicodedata
-from collections.abc import Iterable, Iterator
-from functools import lru_cache
+from collections.abc import Callable, Iterable, Iterator
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -42,8 +42,9 @@ NEWER_CAPITALS = {
     "a7dc": -42561, "10d50-10d65": 32, "16ea0-16eb8": 27,
 }
 
-CACHED_PIECES = 400_000  # of each worker; the cache starts anew beyond
-LONG_PIECE = 64  # characters beyond which a piece is streamed and not cached
+CACHED_PIECES = 400_000  # entries of each worker's caches
+CACHED_WORDS = 600_000
+LONG_PIECE = 64  # characters beyond which a result is not cached
 
 
 def byte_alphabet() -> list[str]:
@@ -82,8 +83,18 @@ class Merges:
         self.ranks = {tuple(pair): rank for rank, pair in enumerate(merges)}
         self._pairs: dict[tuple[str, str], bool] = {}
         self.tokens = {t for t in ids if self.merge(self.symbols(t)) == [t]}
+        lengths = {t: len(self.symbols(t)) for t in self.tokens}
         #: A later token starts at most so many symbols back: the sufficient lookahead.
-        self.lookahead = max(len(self.symbols(t)) for t in self.tokens)
+        self.lookahead = max(lengths.values())
+        sizes: dict[str, set[int]] = {}
+        for token, n in lengths.items():
+            if n > 2:
+                sizes.setdefault(self._tail(token), set()).add(n)
+        #: By the last three symbols, how long tokens are that end with them.
+        self.sizes = {t: (*sorted(found, reverse=True), 2, 1) for t, found in sizes.items()}
+
+    def _tail(self, token: str) -> str:
+        return token[-3 - len(self.end) if token.endswith(self.end) else -3 :]
 
     def symbols(self, token: str) -> list[str]:
         """A token's single symbols, of which the last may carry the end mark."""
@@ -108,15 +119,26 @@ class Merges:
 
     def adjacent(self, left: str, right: str) -> bool:
         """Whether BPE of the two joined gives just these two."""
-        pair = (left, right)
-        known = self._pairs.get(pair)
-        if known is None:
-            if len(self._pairs) >= 2_000_000:
-                self._pairs.clear()
-            known = self.merge(self.symbols(left) + self.symbols(right)) == [left, right]
-            self._pairs[pair] = known
+        if len(self._pairs) >= 2_000_000:
+            self._pairs.clear()
+        known = self.merge(self.symbols(left) + self.symbols(right)) == [left, right]
+        self._pairs[left, right] = known
         return known
 
+    def ending(self, text: str, ends: list[str | None], final: str = "") -> str:
+        """The token that ends the encoding of all of ``text``, whose prefixes end in ``ends``."""
+        n, tokens, pairs = len(text), self.tokens, self._pairs
+        for size in self.sizes.get(text[-3:] + final, (2, 1)):
+            token = text[n - size :] + final
+            if size <= n and token in tokens:
+                before = ends[n - size]
+                if before is None:
+                    return token
+                known = pairs.get((before, token))
+                if known or (known is None and self.adjacent(before, token)):
+                    return token
+        raise ValueError(f"no token of the vocabulary ends {text[-1:]!r}")
+
 
 class Transducer:
     """Encodes one word symbol by symbol and emits tokens as soon as they are stable.
@@ -133,31 +155,21 @@ class Transducer:
         self.text = ""  # symbols after the last stable token
         self.ends: list[str | None] = [None]  # the last token of each prefix
 
-    def _ending(self, text: str, final: str = "") -> str:
-        """The token that ends the encoding of everything up to the end of ``text``."""
-        merges, ends, n = self.merges, self.ends, len(text)
-        for size in range(min(merges.lookahead, n), 0, -1):
-            token = text[n - size :] + final
-            if token in merges.tokens:
-                before = ends[n - size]
-                if before is None or merges.adjacent(before, token):
-                    return token
-        raise ValueError(f"no token of the vocabulary ends {text[-1:]!r}")
-
-    def feed(self, symbols: str) -> Iterator[str]:
-        """Take more symbols of the word, none of them its last."""
+    def feed(self, symbols: str) -> list[str]:
+        """Take more symbols of the word, none of them its last; the tokens now stable."""
+        merges, done = self.merges, []
         for symbol in symbols:
             self.text += symbol
-            self.ends.append(self._ending(self.text))
-            if len(self.text) % self.merges.lookahead == 0:
-                yield from self._stable()
-
-    def finish(self, symbol: str) -> Iterator[str]:
-        """Take the last symbol of the word and give the rest of its tokens."""
-        last = self._ending(self.text + symbol, self.merges.end)
+            self.ends.append(merges.ending(self.text, self.ends))
+            if len(self.text) % merges.lookahead == 0:
+                done += self._stable()
+        return done
+
+    def finish(self, symbol: str) -> list[str]:
+        """Take the last symbol of the word; the rest of its tokens."""
+        last = self.merges.ending(self.text + symbol, self.ends, self.merges.end)
         at = len(self.text) + 1 - (len(last) - len(self.merges.end))
-        yield from self._chain(at)
-        yield last
+        return [*self._chain(at), last]
 
     def _chain(self, at: int) -> list[str]:
         tokens = []
@@ -186,7 +198,8 @@ class Tokenizer:
         spec = json.loads(source)
         model, vocabulary = spec["model"], dict(spec["model"]["vocab"])
         merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
-        self.merges = Merges(merges, vocabulary, model.get("end_of_word_suffix") or "")
+        self.end = model.get("end_of_word_suffix") or ""
+        self._merge_list, self._vocabulary = merges, vocabulary
         self.added = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.added_pattern = regex.compile(
             "(" + "|".join(map(regex.escape, sorted(self.added, key=len, reverse=True))) + ")"
@@ -199,7 +212,12 @@ class Tokenizer:
         for token, i in {**vocabulary, **self.added}.items():
             self.names[i] = token
         self.special = np.isin(np.arange(len(self.names)), list(self.added.values()))
-        self._pieces = _Pieces(self)
+        self._pieces = _Bounded(CACHED_PIECES, self._piece)
+        self._words = _Bounded(CACHED_WORDS, self._word)
+
+    @cached_property
+    def merges(self) -> Merges:
+        return Merges(self._merge_list, self._vocabulary, self.end)
 
     def encode(self, text: str) -> np.ndarray:
         """The ids of a whole text."""
@@ -209,15 +227,16 @@ class Tokenizer:
             pieces = text.split()
         return np.frombuffer(b"".join(map(self._pieces.__getitem__, pieces)), np.int32)
 
-    def encode_piece(self, piece: str) -> Iterator[int]:
-        """The ids of text without white space, which may hold added tokens."""
+    def _piece(self, piece: str) -> bytes:
+        """The ids of text without white space, which may hold added tokens, as int32."""
         parts = self.added_pattern.split(piece) if self.added and "<" in piece else [piece]
+        ids = []
         for part in parts:
             if part in self.added:
-                yield self.added[part]
+                ids.append(np.int32(self.added[part]).tobytes())
             else:
-                for word in self.words(self.normalise(part)):
-                    yield from self.encode_word(word)
+                ids += map(self._words.__getitem__, self.words(self.normalise(part)))
+        return b"".join(ids)
 
     @staticmethod
     def normalise(text: str) -> str:
@@ -226,13 +245,11 @@ class Tokenizer:
             return text.lower()
         return unicodedata.normalize("NFC", text).translate(SMALL).lower()
 
-    def encode_word(self, word: str) -> Iterator[int]:
+    def _word(self, word: str) -> bytes:
         symbols = word.encode("utf-8", "replace").decode("latin-1").translate(self.alphabet)
         transducer, ids = Transducer(self.merges), self.merges.ids
-        for token in transducer.feed(symbols[:-1]):
-            yield ids[token]
-        for token in transducer.finish(symbols[-1]):
-            yield ids[token]
+        tokens = transducer.feed(symbols[:-1]) + transducer.finish(symbols[-1])
+        return np.array([ids[t] for t in tokens], np.int32).tobytes()
 
     def decode(self, ids: np.ndarray) -> str:
         """What the file's decoder gives; it names none, so the tokens joined by spaces."""
@@ -252,7 +269,7 @@ class TextDecoder:
         self.decoder = codecs.getincrementaldecoder("utf-8")("replace")
 
     def feed(self, ids: Iterable[int]) -> Iterator[str]:
-        end = self.tokenizer.merges.end
+        end = self.tokenizer.end
         for i in ids:
             token = self.tokenizer.names[i]
             if self.tokenizer.special[i]:
@@ -267,20 +284,24 @@ class TextDecoder:
                 yield " "
 
 
-class _Pieces(dict):
-    """Encoded pieces as bytes of int32 ids; bounded, for each Python worker."""
+class _Bounded(dict):
+    """Results by short text, for each Python worker; when full, the older half goes."""
 
-    def __init__(self, tokenizer: Tokenizer):
+    def __init__(self, most: int, compute: Callable[[str], bytes]):
         super().__init__()
-        self.tokenizer = tokenizer
-
-    def __missing__(self, piece: str) -> bytes:
-        ids = np.fromiter(self.tokenizer.encode_piece(piece), np.int32).tobytes()
-        if len(piece) <= LONG_PIECE:
-            if len(self) >= CACHED_PIECES:
+        self.most, self.compute = most, compute
+        self.older: dict[str, bytes] = {}
+
+    def __missing__(self, text: str) -> bytes:
+        value = self.older.get(text)
+        if value is None:
+            value = self.compute(text)
+        if len(text) <= LONG_PIECE:
+            if 2 * len(self) >= self.most:
+                self.older = dict(self)
                 self.clear()
-            self[piece] = ids
-        return ids
+            self[text] = value
+        return value
 
 
 @lru_cache(maxsize=2)

@@ -8,8 +8,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagetrail.llm import bpe, decontaminate, line_dedup, near_dedup, quality_rules
-from pagetrail.llm.text import table
+from pagetrail.llm import (
+    bpe,
+    decontaminate,
+    language_id,
+    line_dedup,
+    near_dedup,
+    quality_rules,
+)
+from pagetrail.llm.text import fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -32,6 +39,15 @@ def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(docs, percent=85)
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = fold(F.col("doc_id"), 4) == 2
+    network = language_id.train(docs, learns=~held_out)
+    return language_id.identify(docs, network).select(
+        "doc_id", held_out.alias("held_out"), "lang_pred", "score"
+    )
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return quality_rules.judge(docs).select(
@@ -66,6 +82,7 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_near_dedup": op2_near_dedup,
+    "op3_language_id": op3_language_id,
     "op6_quality_rules": op6_quality_rules,
     "op8_line_dedup": op8_line_dedup,
     "op9_bpe": op9_bpe,
