@@ -30,19 +30,20 @@ def _power(n: int) -> np.ndarray:
     return _powers
 
 
-def word_hashes(text: bytes) -> np.ndarray:
-    """One hash for each run of bytes that are not ASCII white space, in order."""
+def word_hashes(text: bytes, prefix: int | None = None) -> np.ndarray:
+    """One hash for each run of bytes that are not ASCII white space, in order; of its
+    first ``prefix`` bytes, where that is given."""
     parts, start = [], 0
     while start < len(text):
         stop = start + CHUNK
         while stop < len(text) and not _SPACE[text[stop]]:
             stop += 1
-        parts.append(_chunk(np.frombuffer(text[start:stop], np.uint8)))
+        parts.append(_chunk(np.frombuffer(text[start:stop], np.uint8), prefix))
         start = stop
     return np.concatenate(parts) if parts else np.empty(0, np.uint64)
 
 
-def _chunk(data: np.ndarray) -> np.ndarray:
+def _chunk(data: np.ndarray, prefix: int | None) -> np.ndarray:
     inside = ~_SPACE[data]
     begins = inside.copy()
     begins[1:] &= ~inside[:-1]
@@ -52,6 +53,9 @@ def _chunk(data: np.ndarray) -> np.ndarray:
     at = np.flatnonzero(inside)
     word = np.cumsum(begins[at]) - 1
     place = at - starts[word]
+    if prefix is not None:
+        near = place < prefix
+        at, place = at[near], place[near]
     values = _BYTE[data[at]] * _power(int(place.max()) + 1)[place]
     firsts = np.searchsorted(at, starts)
     lengths = np.diff(np.append(firsts, len(at))).astype(np.uint64)

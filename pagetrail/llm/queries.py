@@ -15,6 +15,7 @@ from pagetrail.llm import (
     line_dedup,
     near_dedup,
     quality_rules,
+    toxicity,
 )
 from pagetrail.llm.text import fold, table
 
@@ -62,6 +63,15 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = fold(F.col("doc_id"), 5) == 0
+    classifier = toxicity.train(docs, table(spark, sf_dir, "labels"), learns=~held_out)
+    return toxicity.score(docs, classifier).select(
+        "doc_id", held_out.alias("held_out"), "score", "predicted"
+    )
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return line_dedup.remove_repeated_lines(docs)
@@ -84,6 +94,7 @@ QUERIES: dict[str, Query] = {
     "op2_near_dedup": op2_near_dedup,
     "op3_language_id": op3_language_id,
     "op6_quality_rules": op6_quality_rules,
+    "op7_toxicity": op7_toxicity,
     "op8_line_dedup": op8_line_dedup,
     "op9_bpe": op9_bpe,
 }
