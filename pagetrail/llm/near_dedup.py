@@ -1,16 +1,15 @@
 """Near-duplicate documents: banded MinHash, odd sketches, and a check on the full sets.
 
-Every distinct shingle set gets MinHash samples. Runs of them (bands) put similar sets
-into common buckets; all of them folded into a parity bitmap (an odd sketch) tell, by
-the bits in which two bitmaps differ, whether a pair can be similar enough to be worth
-reading both texts. Copies are collapsed first and a bucket's sets are compared with one
+Every distinct shingle set gets MinHash samples. Runs of some of them (bands) put similar
+sets into common buckets; many more, one of each part of the hash range, are folded into
+a parity bitmap (an odd sketch). The number of bits in which two bitmaps differ tells
+whether a pair can be similar enough to be worth reading both texts. Copies are collapsed first and a bucket's sets are compared with one
 of them; only pairs that may still join two components are then looked at, so a group
 of copies costs a number of comparisons in proportion to its size.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 from functools import reduce
 
@@ -29,7 +28,9 @@ from pagetrail.sources.scratch import scratch_table
 SHINGLE = 5
 ROWS, BANDS = 5, 40  # at a similarity of 0.8 a pair shares no band once in 8 million cases
 SAMPLES = ROWS * BANDS
-BITS = 512
+PARTS = 12  # the odd sketch has a sample of each of 2 ** PARTS parts of the hash range
+BITS = 4096
+DEVIATIONS = 5.0  # by which a pair may differ more than expected and still be checked
 
 _RANDOM = np.random.Generator(np.random.PCG64(85))
 _FACTORS = (_RANDOM.integers(0, 2**31, SAMPLES, np.uint32) * 2 + 1).astype(np.uint32)[:, None]
@@ -57,38 +58,49 @@ def bands(lowest: np.ndarray) -> np.ndarray:
     return mix(numbered + np.arange(BANDS, dtype=np.uint64)).view(np.int64)
 
 
-def odd_sketch(lowest: np.ndarray) -> np.ndarray:
-    """The samples hashed, with their numbers, to bits; a bit is set if hit an odd number
-    of times, so the samples that two sets have in common cancel out in the XOR."""
-    numbered = lowest.astype(np.uint64) + (np.arange(SAMPLES, dtype=np.uint64) << np.uint64(32))
-    at = (mix(numbered) % np.uint64(BITS)).astype(np.int64)
+def part_samples(members: np.ndarray) -> np.ndarray:
+    """The smallest member in each part of the hash range that has one; members are sorted."""
+    part = members >> np.uint64(64 - PARTS)
+    return members[np.flatnonzero(np.diff(part, prepend=np.uint64(1 << PARTS)))]
+
+
+def odd_sketch(drawn: np.ndarray) -> np.ndarray:
+    """The samples hashed to bits; a bit is set if it is hit an odd number of times, so
+    the samples that two sets have in common cancel out in the XOR."""
+    at = (mix(drawn) % np.uint64(BITS)).astype(np.int64)
     parity = (np.bincount(at, minlength=BITS) & 1).astype(np.uint8)
     return np.packbits(parity).view(np.int64)
 
 
-def differing_bits_limit(similarity: float, deviations: float = 6.0) -> int:
-    """So many bits differ at most between pairs of at least this similarity.
+def _promising(percent: int) -> Column:
+    """Whether the pair's sizes and sketches allow a similarity of ``percent`` hundredths.
 
-    A pair differs in Binomial(SAMPLES, 1 - s) samples, each of which flips two bits. The
-    limit is the expected number of odd bits plus six standard deviations of both steps.
+    With m parts that have a sample in either set, about ``s * m`` samples are common at
+    similarity s, so at most ``d = parts_a + parts_b - 2 * s * max(parts_a, parts_b)``
+    are not. These set an expected number of bits; a pair is dropped if it has more by
+    five standard deviations. These come from drawing m of the union's members without
+    replacement, and from samples that fall on one bit.
     """
-    flips = 2 * SAMPLES * (1 - similarity)
-    odd = BITS / 2 * (1 - math.exp(-2 * flips / BITS))
-    from_samples = 2 * math.sqrt(SAMPLES * similarity * (1 - similarity))
-    from_bits = math.sqrt(BITS / 4 * (1 - math.exp(-4 * flips / BITS)))
-    return math.ceil(odd + deviations * math.hypot(from_samples, from_bits))
-
-
-def estimated_similarity(left: np.ndarray, right: np.ndarray) -> float:
-    """What two odd sketches say of the similarity of their sets."""
-    z = int(np.unpackbits((left ^ right).view(np.uint8)).sum())
-    if 2 * z >= BITS:
-        return 0.0
-    return max(0.0, 1 + BITS / 4 * math.log(1 - 2 * z / BITS) / SAMPLES)
+    s = percent / 100
+    most = F.greatest("parts_a", "parts_b")
+    apart = F.col("parts_a") + F.col("parts_b") - 2 * s * most
+    union = (F.col("n_a") + F.col("n_b")) / (1 + s)
+    left_out = F.greatest(F.lit(0.0), 1 - most / union)
+    decay = F.exp(-4 * apart / BITS)
+    odd = BITS / 2 * (1 - F.sqrt(decay))
+    from_samples = decay * 4 * most * s * (1 - s) * left_out
+    from_bits = BITS / 4 * (1 - decay - 4 * apart / BITS * decay)
+    differ = [
+        F.bit_count(F.col("sketch_a")[i].bitwiseXOR(F.col("sketch_b")[i]))
+        for i in range(BITS // 64)
+    ]
+    sizes = 100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
+    limit = odd + 2 + DEVIATIONS * F.sqrt(F.greatest(F.lit(0.0), from_samples + from_bits))
+    return sizes & (reduce(lambda a, b: a + b, differ) <= limit)
 
 
 def signatures(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``key``, ``text_hash``, ``n_shingles``, ``set_id``, ``bands`` and ``sketch`` of each row."""
+    """``key``, ``text_hash``, ``n_shingles``, ``set_id``, ``bands``, ``parts`` and ``sketch``."""
     source = docs.select(
         F.col(key).alias("key"),
         F.xxhash64(F.col(text)).alias("text_hash"),
@@ -101,6 +113,7 @@ def signatures(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
             T.StructField("n_shingles", T.LongType()),
             T.StructField("set_id", T.BinaryType()),
             T.StructField("bands", T.ArrayType(T.LongType())),
+            T.StructField("parts", T.IntegerType()),
             T.StructField("sketch", T.ArrayType(T.LongType())),
         ]
     )
@@ -108,7 +121,7 @@ def signatures(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "_text"):
             sets = [shingles(t) for t in batch.column("_text").to_pylist()]
-            lowest = [samples(s) for s in sets]
+            lowest, drawn = [samples(s) for s in sets], [part_samples(s) for s in sets]
             n = len(sets)
             arrays = [
                 batch.column("key"),
@@ -116,8 +129,9 @@ def signatures(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
                 pa.array([len(s) for s in sets], pa.int64()),
                 pa.array([set_id(s) for s in sets], pa.binary()),
                 lists(np.concatenate([bands(x) for x in lowest]), np.full(n, BANDS), pa.int64()),
+                pa.array([len(x) for x in drawn], pa.int32()),
                 lists(
-                    np.concatenate([odd_sketch(x) for x in lowest]),
+                    np.concatenate([odd_sketch(x) for x in drawn]),
                     np.full(n, BITS // 64),
                     pa.int64(),
                 ),
@@ -127,9 +141,10 @@ def signatures(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
     return source.mapInArrow(run, schema)
 
 
-def _differing_bits(left: Column, right: Column) -> Column:
-    counts = [F.bit_count(left[i].bitwiseXOR(right[i])) for i in range(BITS // 64)]
-    return reduce(lambda a, b: a + b, counts)
+def _side(sketches: DataFrame, side: str) -> DataFrame:
+    names = {"set_id": side, "n_shingles": f"n_{side}"}
+    names |= {c: f"{c}_{side}" for c in sketches.columns if c not in names}
+    return sketches.withColumnsRenamed(names)
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
@@ -178,10 +193,10 @@ def near_duplicates(
     """
     if percent < 80:
         raise ValueError("the bands are made for similarities of 0.8 and more")
-    limit = differing_bits_limit(percent / 100)
     rows = scratch_table(signatures(docs, key, text), "signatures")
     linked = rows.filter((F.col("n_shingles") > 0) & F.col("key").isNotNull())
-    first = F.min(F.struct("key", "text_hash", "bands", "sketch")).alias("x")
+    columns = ("key", "text_hash", "n_shingles", "bands", "parts", "sketch")
+    first = F.min(F.struct(*columns)).alias("x")
     classes = scratch_table(linked.groupBy("set_id").agg(first).select("set_id", "x.*"), "classes")
 
     buckets = classes.select(
@@ -196,20 +211,13 @@ def near_duplicates(
     members = scratch_table(
         buckets.join(shared, "band").select("band", "b", F.col("set_id").alias("a")), "members"
     )
-    sketches = classes.select("set_id", "sketch")
-
-    def promising(pairs: DataFrame) -> DataFrame:
-        for side in "ab":
-            named = sketches.select(
-                F.col("set_id").alias(side), F.col("sketch").alias(f"s_{side}")
-            )
-            pairs = pairs.join(named, side)
-        bits = _differing_bits(F.col("s_a"), F.col("s_b"))
-        return pairs.select("a", "b", bits.alias("bits")).filter(F.col("bits") <= limit)
+    sketches = classes.select("set_id", "n_shingles", "parts", "sketch")
 
-    # Each set against the most similar of those that come first in its buckets.
-    stars = promising(members.filter("a <> b").select("a", "b").distinct())
-    closest = stars.groupBy("a").agg(F.min(F.struct("bits", "b")).alias("x")).select("a", "x.b")
+    # Each set against that one of the first in its buckets with which it shares most.
+    stars = members.filter("a <> b").groupBy("a", "b").agg(F.count("*").alias("n"))
+    closest = stars.groupBy("a").agg(F.max(F.struct("n", "b")).alias("x")).select("a", "x.b")
+    closest = closest.join(_side(sketches, "a"), "a").join(_side(sketches, "b"), "b")
+    closest = closest.filter(_promising(percent)).select("a", "b")
 
     wanted = members.select(F.col("a").alias("set_id")).distinct()
     wanted = wanted.join(classes.select("set_id", "key", "text_hash"), "set_id")
@@ -250,19 +258,11 @@ def near_duplicates(
         F.min("component").alias("low"), F.max("component").alias("high")
     )
     mixed = placed.join(mixed.filter("low <> high").select("band"), "band")
-    named = sketches.withColumnRenamed("set_id", "a")
-    undecided = scratch_table(mixed.join(named, "a"), "undecided")
-    left, right = (
-        undecided.select(
-            F.col("band").alias(f"band_{side}"),
-            F.col("a").alias(side),
-            F.col("component").alias(f"c_{side}"),
-            F.col("sketch").alias(f"s_{side}"),
-        )
-        for side in "ab"
-    )
-    close = _differing_bits(F.col("s_a"), F.col("s_b")) <= limit
-    on = (F.col("band_a") == F.col("band_b")) & (F.col("c_a") < F.col("c_b")) & close
+    undecided = mixed.withColumnRenamed("a", "set_id").join(sketches, "set_id")
+    undecided = scratch_table(undecided, "undecided")
+    left, right = _side(undecided, "a"), _side(undecided, "b")
+    on = (F.col("band_a") == F.col("band_b")) & (F.col("component_a") < F.col("component_b"))
+    on &= _promising(percent)
     rest = scratch_table(left.join(right, on).select("a", "b").distinct(), "pairs")
     more = scratch_table(edges_of(_verified(rest, texts, percent)), "links")
     if not more.isEmpty():

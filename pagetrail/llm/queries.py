@@ -13,6 +13,7 @@ from pagetrail.llm import (
     decontaminate,
     language_id,
     line_dedup,
+    lm,
     near_dedup,
     quality_rules,
     toxicity,
@@ -89,6 +90,21 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = fold(F.col("doc_id"), 5) == 1
+    scored = lm.score(docs, learns=~held_out)
+    return scored.select(
+        "doc_id",
+        held_out.alias("held_out"),
+        "n_tokens",
+        "n_known",
+        "train_tokens",
+        "base_score",
+        "score",
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_near_dedup": op2_near_dedup,
@@ -97,4 +113,5 @@ QUERIES: dict[str, Query] = {
     "op7_toxicity": op7_toxicity,
     "op8_line_dedup": op8_line_dedup,
     "op9_bpe": op9_bpe,
+    "op10_lm_scoring": op10_lm_scoring,
 }
