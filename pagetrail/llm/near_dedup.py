@@ -75,20 +75,20 @@ def odd_sketch(drawn: np.ndarray) -> np.ndarray:
 def _promising(percent: int) -> Column:
     """Whether the pair's sizes and sketches allow a similarity of ``percent`` hundredths.
 
-    With m parts that have a sample in either set, about ``s * m`` samples are common at
-    similarity s, so at most ``d = parts_a + parts_b - 2 * s * max(parts_a, parts_b)``
+    At similarity s the union has ``(n_a + n_b) / (1 + s)`` members, which fill about m
+    parts, and about ``s * m`` samples are common, so ``parts_a + parts_b - 2 * s * m``
     are not. These set an expected number of bits; a pair is dropped if it has more by
     five standard deviations. These come from drawing m of the union's members without
     replacement, and from samples that fall on one bit.
     """
-    s = percent / 100
-    most = F.greatest("parts_a", "parts_b")
-    apart = F.col("parts_a") + F.col("parts_b") - 2 * s * most
+    s, all_parts = percent / 100, 1 << PARTS
     union = (F.col("n_a") + F.col("n_b")) / (1 + s)
-    left_out = F.greatest(F.lit(0.0), 1 - most / union)
+    filled = all_parts * (1 - F.exp(-union / all_parts))
+    apart = F.greatest(F.lit(0.0), F.col("parts_a") + F.col("parts_b") - 2 * s * filled)
+    left_out = 1 - filled / union
     decay = F.exp(-4 * apart / BITS)
     odd = BITS / 2 * (1 - F.sqrt(decay))
-    from_samples = decay * 4 * most * s * (1 - s) * left_out
+    from_samples = decay * 4 * filled * s * (1 - s) * left_out
     from_bits = BITS / 4 * (1 - decay - 4 * apart / BITS * decay)
     differ = [
         F.bit_count(F.col("sketch_a")[i].bitwiseXOR(F.col("sketch_b")[i]))
