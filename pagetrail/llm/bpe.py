@@ -8,9 +8,11 @@ from __future__ import annotations
 
 import codecs
 import json
+import re
 import unicodedata
 from collections.abc import Callable, Iterable, Iterator
 from functools import cached_property, lru_cache
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
@@ -21,11 +23,14 @@ from pyspark.sql import types as T
 
 from pagetrail.llm.batches import lists, offsets, slices
 
-# White space as the pattern engine of the tokenizer has it; str.split() also takes
-# the four separators, so a text with one of them is split by pattern.
+# White space as the pattern engine of the tokenizer has it.
 SPACE = "\t-\r \x85\xa0  -     　"
-SEPARATORS = "\x1c\x1d\x1e\x1f"
-PIECE = regex.compile(f"[^{SPACE}]+")
+# Texts within the first characters are split by the faster pattern module.
+NEAR = 0x250
+FAR = re.compile(f"[{chr(NEAR)}-\U0010ffff]")
+
+CHUNK = 1 << 16  # characters split into words at a time, cut at white space
+CUT = re.compile("[ \t\n\r]")
 
 # Letters and numbers of the pattern module's character data that the
 # tokenizer's own, older data does not have, and capitals (with the distance to their
@@ -42,9 +47,10 @@ NEWER_CAPITALS = {
     "a7dc": -42561, "10d50-10d65": 32, "16ea0-16eb8": 27,
 }
 
-CACHED_PIECES = 400_000  # entries of each worker's caches
-CACHED_WORDS = 600_000
-LONG_PIECE = 64  # characters beyond which a result is not cached
+CACHED_WORDS = 600_000  # entries of each worker's cache
+BEGINNING = 6  # symbols of a word after which the transducer's state is remembered
+CACHED_BEGINNINGS = 100_000
+LONG_WORD = 64  # characters beyond which a result is not cached
 
 
 def byte_alphabet() -> list[str]:
@@ -74,13 +80,35 @@ SMALL = {i: i + d for span, d in NEWER_CAPITALS.items() for r in code_points(spa
 SMALL[ord("Σ")] = ord("σ")
 
 
+def near_characters(pattern: str) -> str:
+    """The same for texts in the first characters only, with every letter spelt out."""
+    pattern = pattern.replace(r"\s", "\t-\r \x85\xa0")
+    for name in "LN":
+        members = "".join(c for c in map(chr, range(NEAR)) if regex.match(rf"\p{{{name}}}", c))
+        pattern = pattern.replace(rf"\p{{{name}}}", members)
+    return pattern
+
+
+def chunks(text: str) -> Iterator[str]:
+    """The text in parts that end before white space, which no word or mark crosses."""
+    start = 0
+    while len(text) - start > CHUNK:
+        cut = CUT.search(text, start + CHUNK)
+        stop = cut.start() if cut else len(text)
+        yield text[start:stop]
+        start = stop
+    yield text[start:]
+
+
 class Merges:
     """The merge list: BPE of a symbol sequence, and which tokens may be neighbours."""
 
     def __init__(self, merges: Iterable[tuple[str, str]], ids: dict[str, int], end: str):
         self.ids = ids
         self.end = end
-        self.ranks = {tuple(pair): rank for rank, pair in enumerate(merges)}
+        self.parts = list(merges)
+        self.ranks = {pair: rank for rank, pair in enumerate(self.parts)}
+        self.made = {a + b: rank for rank, (a, b) in enumerate(self.parts)}
         self._pairs: dict[tuple[str, str], bool] = {}
         self.tokens = {t for t in ids if self.merge(self.symbols(t)) == [t]}
         lengths = {t: len(self.symbols(t)) for t in self.tokens}
@@ -118,10 +146,27 @@ class Merges:
         return symbols
 
     def adjacent(self, left: str, right: str) -> bool:
-        """Whether BPE of the two joined gives just these two."""
+        """Whether BPE of the two joined gives just these two.
+
+        Undoes the merges that made them, latest first, and looks whether the pieces that
+        then meet could have been merged before; of equal merges the left one is first.
+        """
+        a, b, limit = left, right, len(self.ranks)
+        while True:
+            rank = self.ranks.get((a, b))
+            if rank is not None and rank < limit:
+                known = False
+                break
+            rank_a, rank_b = self.made.get(a, -1), self.made.get(b, -1)
+            if rank_a > rank_b:
+                a, limit = self.parts[rank_a][1], rank_a
+            elif rank_b >= 0:
+                b, limit = self.parts[rank_b][0], rank_b + 1
+            else:
+                known = True
+                break
         if len(self._pairs) >= 2_000_000:
             self._pairs.clear()
-        known = self.merge(self.symbols(left) + self.symbols(right)) == [left, right]
         self._pairs[left, right] = known
         return known
 
@@ -129,14 +174,14 @@ class Merges:
         """The token that ends the encoding of all of ``text``, whose prefixes end in ``ends``."""
         n, tokens, pairs = len(text), self.tokens, self._pairs
         for size in self.sizes.get(text[-3:] + final, (2, 1)):
-            token = text[n - size :] + final
-            if size <= n and token in tokens:
-                before = ends[n - size]
-                if before is None:
-                    return token
-                known = pairs.get((before, token))
-                if known or (known is None and self.adjacent(before, token)):
-                    return token
+            if size <= n:
+                token = text[-size:] + final
+                if token in tokens:
+                    before = ends[n - size]
+                    if before is None or pairs.get((before, token)):
+                        return token
+                    if (before, token) not in pairs and self.adjacent(before, token):
+                        return token
         raise ValueError(f"no token of the vocabulary ends {text[-1:]!r}")
 
 
@@ -150,19 +195,23 @@ class Transducer:
     word.
     """
 
-    def __init__(self, merges: Merges):
+    def __init__(self, merges: Merges, text: str = "", ends: tuple[str | None, ...] = (None,)):
         self.merges = merges
-        self.text = ""  # symbols after the last stable token
-        self.ends: list[str | None] = [None]  # the last token of each prefix
+        self.text = text  # symbols after the last stable token
+        self.ends = list(ends)  # the last token of each prefix
 
     def feed(self, symbols: str) -> list[str]:
         """Take more symbols of the word, none of them its last; the tokens now stable."""
-        merges, done = self.merges, []
+        ending, lookahead, done = self.merges.ending, self.merges.lookahead, []
+        text, ends = self.text, self.ends
         for symbol in symbols:
-            self.text += symbol
-            self.ends.append(merges.ending(self.text, self.ends))
-            if len(self.text) % merges.lookahead == 0:
+            text += symbol
+            ends.append(ending(text, ends))
+            if len(text) % lookahead == 0:
+                self.text, self.ends = text, ends
                 done += self._stable()
+                text, ends = self.text, self.ends
+        self.text = text
         return done
 
     def finish(self, symbol: str) -> list[str]:
@@ -206,14 +255,15 @@ class Tokenizer:
         )
         pattern = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
         self.words = regex.compile(known_characters(pattern), regex.V1).findall
+        self.near_words = re.compile(near_characters(pattern)).findall
         self.alphabet = dict(enumerate(byte_alphabet()))
         self.names = np.empty(max([*vocabulary.values(), *self.added.values()]) + 1, object)
         self.names[:] = ""
         for token, i in {**vocabulary, **self.added}.items():
             self.names[i] = token
         self.special = np.isin(np.arange(len(self.names)), list(self.added.values()))
-        self._pieces = _Bounded(CACHED_PIECES, self._piece)
         self._words = _Bounded(CACHED_WORDS, self._word)
+        self._beginnings = _Bounded(CACHED_BEGINNINGS, self._begun)
 
     @cached_property
     def merges(self) -> Merges:
@@ -221,22 +271,17 @@ class Tokenizer:
 
     def encode(self, text: str) -> np.ndarray:
         """The ids of a whole text."""
-        if any(c in text for c in SEPARATORS):
-            pieces = PIECE.findall(text)
-        else:
-            pieces = text.split()
-        return np.frombuffer(b"".join(map(self._pieces.__getitem__, pieces)), np.int32)
-
-    def _piece(self, piece: str) -> bytes:
-        """The ids of text without white space, which may hold added tokens, as int32."""
-        parts = self.added_pattern.split(piece) if self.added and "<" in piece else [piece]
         ids = []
-        for part in parts:
-            if part in self.added:
-                ids.append(np.int32(self.added[part]).tobytes())
-            else:
-                ids += map(self._words.__getitem__, self.words(self.normalise(part)))
-        return b"".join(ids)
+        for chunk in chunks(text):
+            marked = any(token in chunk for token in self.added)
+            for part in self.added_pattern.split(chunk) if marked else [chunk]:
+                if part in self.added:
+                    ids.append(np.int32(self.added[part]).tobytes())
+                else:
+                    plain = self.normalise(part)
+                    words = (self.words if FAR.search(plain) else self.near_words)(plain)
+                    ids += map(self._words.__getitem__, words)
+        return np.frombuffer(b"".join(ids), np.int32)
 
     @staticmethod
     def normalise(text: str) -> str:
@@ -247,10 +292,17 @@ class Tokenizer:
 
     def _word(self, word: str) -> bytes:
         symbols = word.encode("utf-8", "replace").decode("latin-1").translate(self.alphabet)
-        transducer, ids = Transducer(self.merges), self.merges.ids
-        tokens = transducer.feed(symbols[:-1]) + transducer.finish(symbols[-1])
+        ids, begin = self.merges.ids, min(BEGINNING, len(symbols) - 1)
+        transducer = Transducer(self.merges, symbols[:begin], self._beginnings[symbols[:begin]])
+        tokens = transducer.feed(symbols[begin:-1]) + transducer.finish(symbols[-1])
         return np.array([ids[t] for t in tokens], np.int32).tobytes()
 
+    def _begun(self, symbols: str) -> tuple[str | None, ...]:
+        """The transducer's state after a word's beginning, too short for a stable token."""
+        transducer = Transducer(self.merges)
+        transducer.feed(symbols)
+        return tuple(transducer.ends)
+
     def decode(self, ids: np.ndarray) -> str:
         """What the file's decoder gives; it names none, so the tokens joined by spaces."""
         return " ".join(self.names[ids])
@@ -287,16 +339,16 @@ class TextDecoder:
 class _Bounded(dict):
     """Results by short text, for each Python worker; when full, the older half goes."""
 
-    def __init__(self, most: int, compute: Callable[[str], bytes]):
+    def __init__(self, most: int, compute: Callable[[str], Any]):
         super().__init__()
         self.most, self.compute = most, compute
-        self.older: dict[str, bytes] = {}
+        self.older: dict[str, Any] = {}
 
-    def __missing__(self, text: str) -> bytes:
+    def __missing__(self, text: str) -> Any:
         value = self.older.get(text)
         if value is None:
             value = self.compute(text)
-        if len(text) <= LONG_PIECE:
+        if len(text) <= LONG_WORD:
             if 2 * len(self) >= self.most:
                 self.older = dict(self)
                 self.clear()

@@ -62,6 +62,15 @@ def _chunk(data: np.ndarray, prefix: int | None) -> np.ndarray:
     return mix(np.add.reduceat(values, firsts) + lengths)
 
 
+def word_endings(text: bytes) -> np.ndarray:
+    """The last two bytes of each word as one number; a space before a single byte."""
+    data = np.frombuffer(text, np.uint8)
+    inside = ~_SPACE[data]
+    last = np.flatnonzero(inside & ~np.append(inside[1:], False))
+    before = np.where((last > 0) & inside[last - 1], data[last - 1], 32)
+    return before.astype(np.uint64) * np.uint64(256) + data[last]
+
+
 def run_hashes(words: np.ndarray, size: int) -> np.ndarray:
     """A hash for each run of ``size`` words; of all words as one run, where they are fewer."""
     if not len(words):
