@@ -177,7 +177,21 @@ SELECT d.doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(l.text, '') EN
 FROM documents d LEFT JOIN left_over l USING (doc_id)
 """
 
+ARCHIVED = """
+WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
+    sha256(coalesce(html, '')) AS payload_digest FROM pages
+),
+f AS (SELECT payload_digest, min(page_id) AS first FROM p GROUP BY payload_digest)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN payload_bytes >= 100 AND page_id <> first THEN 'revisit' ELSE 'response' END
+    AS record_type,
+  CASE WHEN payload_bytes >= 100 AND page_id <> first THEN first END AS refers_to
+FROM p JOIN f USING (payload_digest)
+"""
+
 ORACLES: dict[str, str] = {
+    "op4_warc": ARCHIVED,
     "op8_line_dedup": LINES,
     "op2_near_dedup": NEAR_DUPLICATES,
     "op1_decontaminate": CONTAMINATION,

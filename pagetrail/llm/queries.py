@@ -17,8 +17,11 @@ from pagetrail.llm import (
     near_dedup,
     quality_rules,
     toxicity,
+    url_filter,
+    warc,
 )
 from pagetrail.llm.text import fold, table
+from pagetrail.sources.scratch import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -50,6 +53,17 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    archives, index = scratch_path(spark, "archives"), scratch_path(spark, "captures")
+    warc.write_archives(table(spark, sf_dir, "pages"), archives)
+    warc.write_index(warc.captures(spark, archives), index)
+    return warc.read_back(spark, index)
+
+
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge_pages(table(spark, sf_dir, "pages"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return quality_rules.judge(docs).select(
@@ -109,6 +123,8 @@ QUERIES: dict[str, Query] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_near_dedup": op2_near_dedup,
     "op3_language_id": op3_language_id,
+    "op4_warc": op4_warc,
+    "op5_url_filter": op5_url_filter,
     "op6_quality_rules": op6_quality_rules,
     "op7_toxicity": op7_toxicity,
     "op8_line_dedup": op8_line_dedup,
