@@ -47,7 +47,8 @@ NEWER_CAPITALS = {
     "a7dc": -42561, "10d50-10d65": 32, "16ea0-16eb8": 27,
 }
 
-CACHED_WORDS = 600_000  # entries of each worker's cache
+SLICE = 2 << 20  # bytes of text in a result batch
+CACHED_WORDS = 300_000  # entries of each worker's cache
 BEGINNING = 6  # symbols of a word after which the transducer's state is remembered
 CACHED_BEGINNINGS = 100_000
 LONG_WORD = 64  # characters beyond which a result is not cached
@@ -368,31 +369,38 @@ def _shared(df: DataFrame, path: str):
 
 
 def encode(
-    df: DataFrame, path: str, text: str = "text", keep: tuple[str, ...] = ("doc_id",)
+    df: DataFrame,
+    path: str,
+    text: str = "text",
+    keep: tuple[str, ...] = ("doc_id",),
+    decoded: bool = False,
 ) -> DataFrame:
     """The ``keep`` columns and ``ids`` (array of int) of every whole text.
 
-    Null and empty texts have no ids; repeated rows are encoded like any other. Other
-    columns are left out, so none clashes. No shuffle, and no state between rows but a
-    bounded cache.
+    With ``decoded`` also the text the tokenizer makes of the ids again, as ``decode``
+    has it, in the same Python workers. Null and empty texts have no ids; repeated rows
+    are encoded like any other. Other columns are left out, so none clashes. No shuffle,
+    and no state between rows but a bounded cache.
     """
     shared = _shared(df, path)
+    source = df.select(*keep, F.coalesce(F.col(text), F.lit("")).alias("_text"))
+    fields = [*source.select(*keep).schema.fields]
+    fields.append(T.StructField("ids", T.ArrayType(T.IntegerType())))
+    if decoded:
+        fields.append(T.StructField("decoded", T.StringType()))
+    schema = T.StructType(fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = tokenizer_of(shared.value)
-        for batch in slices(batches, "_text"):
+        for batch in slices(batches, "_text", SLICE):
             ids = [tokenizer.encode(t) for t in batch.column("_text").to_pylist()]
-            flat = np.concatenate(ids) if ids else np.empty(0, np.int32)
             lengths = np.fromiter(map(len, ids), np.int64, len(ids))
             arrays = [batch.column(c) for c in keep]
-            yield pa.RecordBatch.from_arrays(
-                [*arrays, lists(flat, lengths, pa.int32())], [*keep, "ids"]
-            )
+            arrays.append(lists(np.concatenate(ids), lengths, pa.int32()))
+            if decoded:
+                arrays.append(pa.array([tokenizer.decode(i) for i in ids], pa.string()))
+            yield pa.RecordBatch.from_arrays(arrays, schema.names)
 
-    source = df.select(*keep, F.coalesce(F.col(text), F.lit("")).alias("_text"))
-    schema = T.StructType(
-        [*source.select(*keep).schema.fields, T.StructField("ids", T.ArrayType(T.IntegerType()))]
-    )
     return source.mapInArrow(run, schema)
 
 

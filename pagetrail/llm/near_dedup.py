@@ -30,6 +30,7 @@ ROWS, BANDS = 5, 40  # at a similarity of 0.8 a pair shares no band once in 8 mi
 SAMPLES = ROWS * BANDS
 PARTS = 12  # the odd sketch has a sample of each of 2 ** PARTS parts of the hash range
 BITS = 4096
+ROUNDS = 3  # of looking for links to other components before all pairs left are checked
 DEVIATIONS = 5.0  # by which a pair may differ more than expected and still be checked
 
 _RANDOM = np.random.Generator(np.random.PCG64(85))
@@ -213,11 +214,12 @@ def near_duplicates(
     )
     sketches = classes.select("set_id", "n_shingles", "parts", "sketch")
 
-    # Each set against that one of the first in its buckets with which it shares most.
-    stars = members.filter("a <> b").groupBy("a", "b").agg(F.count("*").alias("n"))
-    closest = stars.groupBy("a").agg(F.max(F.struct("n", "b")).alias("x")).select("a", "x.b")
-    closest = closest.join(_side(sketches, "a"), "a").join(_side(sketches, "b"), "b")
-    closest = closest.filter(_promising(percent)).select("a", "b")
+    def closest(candidates: DataFrame) -> DataFrame:
+        """Of each set's candidates the one it shares most bands with, if it may be similar."""
+        counted = candidates.groupBy("a", "b").agg(F.count("*").alias("n"))
+        best = counted.groupBy("a").agg(F.max(F.struct("n", "b")).alias("x")).select("a", "x.b")
+        best = best.join(_side(sketches, "a"), "a").join(_side(sketches, "b"), "b")
+        return best.filter(_promising(percent)).select("a", "b")
 
     wanted = members.select(F.col("a").alias("set_id")).distinct()
     wanted = wanted.join(classes.select("set_id", "key", "text_hash"), "set_id")
@@ -248,16 +250,33 @@ def near_duplicates(
     torn = firsts.join(torn.filter("src <> last").select("key", "src"), "key")
     same = torn.select("src", F.col("first").alias("dst")).filter("src <> dst").distinct()
 
-    edges = scratch_table(edges_of(_verified(closest, texts, percent)).union(same), "links")
+    def in_mixed_buckets(labels: DataFrame) -> DataFrame:
+        """Members, with components, of the buckets that hold more than one component."""
+        labelled = _with_component(node, labels).withColumnRenamed("set_id", "a")
+        placed = members.join(labelled, "a").select("band", "a", "component")
+        ends = placed.groupBy("band").agg(
+            F.min(F.struct("component", "a")).alias("low"),
+            F.max(F.struct("component", "a")).alias("high"),
+        )
+        return placed.join(ends.filter("low.component < high.component"), "band")
+
+    # Each set against one of the first in its buckets, then of another component.
+    first = closest(members.filter("a <> b").select("a", "b"))
+    edges = scratch_table(edges_of(_verified(first, texts, percent)).union(same), "links")
     labels = components(edges)
-
-    # Pairs of a bucket that are still in different components.
-    labelled = _with_component(node, labels).withColumnRenamed("set_id", "a")
-    placed = members.join(labelled, "a").select("band", "a", "component")
-    mixed = placed.groupBy("band").agg(
-        F.min("component").alias("low"), F.max("component").alias("high")
-    )
-    mixed = placed.join(mixed.filter("low <> high").select("band"), "band")
+    for _ in range(ROUNDS):
+        other = F.when(F.col("component") == F.col("low.component"), F.col("high.a"))
+        found = closest(
+            in_mixed_buckets(labels).select("a", other.otherwise(F.col("low.a")).alias("b"))
+        )
+        found = scratch_table(edges_of(_verified(found, texts, percent)), "links")
+        if found.isEmpty():
+            break
+        edges = scratch_table(edges.union(found), "links")
+        labels = components(edges)
+
+    # All pairs of a bucket that are still in different components.
+    mixed = in_mixed_buckets(labels).select("band", "a", "component")
     undecided = mixed.withColumnRenamed("a", "set_id").join(sketches, "set_id")
     undecided = scratch_table(undecided, "undecided")
     left, right = _side(undecided, "a"), _side(undecided, "b")

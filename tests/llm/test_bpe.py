@@ -91,6 +91,8 @@ def test_edge_rows(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 AS ids")
     got = bpe.decode(bpe.encode(docs, PATH), PATH).collect()
     assert len(got) == 6
+    both = bpe.encode(docs, PATH, decoded=True).select("doc_id", "ids", "decoded").collect()
+    assert sorted(map(str, both)) == sorted(map(str, got))
     assert sorted(len(r["ids"]) for r in got if r["doc_id"] in (2, 3)) == [0, 0]
     assert {r["decoded"] for r in got if r["doc_id"] == 1} == {"a</w> b</w>"}
     empty = bpe.encode(docs.limit(0), PATH)
