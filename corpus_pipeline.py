@@ -1,23 +1,82 @@
-"""Documents to clean, distinct, uncontaminated, encoded documents, stage by stage."""
+"""Documents to clean, distinct, uncontaminated and encoded ones, stage by stage."""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagetrail.llm import quality_rules
-from pagetrail.llm.text import table
+from pagetrail.llm import bpe, decontaminate, line_dedup, near_dedup, quality_rules
+from pagetrail.llm.text import SPACES, table
 from pagetrail.sources.scratch import scratch_table
 
+SIMILARITY_PERCENT = 80
+
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the quality rules."""
+    """Documents that pass the quality rules; null, empty and short texts do not."""
     return quality_rules.judge(docs).filter("kept").select(*docs.columns)
 
 
-STAGES = [("quality rules", quality)]
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without runs of lines that occur earlier, and their new lengths.
+
+    A document that consists of such runs has nothing left and goes.
+    """
+    left = line_dedup.remove_repeated_lines(docs)
+    left = left.filter((F.col("n_removed") == 0) | (F.trim("text", F.lit(SPACES)) != ""))
+    if "n_chars" in docs.columns:
+        length = F.length("text").cast(docs.schema["n_chars"].dataType)
+        n_chars = F.when(F.col("n_removed") > 0, length).otherwise(F.col("n_chars"))
+        left = left.withColumn("n_chars", n_chars)
+    return left.select(*docs.columns)
+
+
+def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of each group of near copies; one row of each id.
+
+    Of rows with one id the text with the smallest hash stays. Rows without an id take
+    no part and stay.
+    """
+    judged = near_dedup.near_duplicates(docs.select("doc_id", "text"), SIMILARITY_PERCENT)
+    ids = judged.filter("kept and doc_id is not null").select("doc_id")
+    ids = scratch_table(ids.groupBy("doc_id").agg(F.count("*").alias("_rows")), "kept-ids")
+    left = docs.join(ids.select("doc_id"), "doc_id")
+    if not ids.filter("_rows > 1").isEmpty():
+        hashed = left.withColumn("_hash", F.xxhash64("text"))
+        least = hashed.groupBy("doc_id").agg(F.min("_hash").alias("_hash"))
+        left = hashed.join(least, ["doc_id", "_hash"]).dropDuplicates(["doc_id"])
+    return left.select(*docs.columns).union(docs.filter("doc_id is null"))
+
+
+def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of which less than a twentieth lies in windows of benchmark items."""
+    row = F.struct(F.col("doc_id").alias("id"), F.xxhash64("text").alias("hash"))
+    named = docs.withColumn("_row", row)
+    benchmark = table(spark, sf_dir, "benchmark")
+    judged = decontaminate.contaminated_documents(named, benchmark, key="_row")
+    bad = judged.filter("contaminated").select(F.col("_row").alias("_bad")).distinct()
+    same = F.col("_row").eqNullSafe(F.col("_bad"))
+    return named.join(bad, same, "left_anti").select(*docs.columns)
+
+
+def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """``doc_id``, ``n_tokens``, ``ids`` and what they decode to."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return bpe.encode(docs, path, decoded=True).select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", "decoded"
+    )
+
+
+STAGES = [
+    ("quality rules", quality),
+    ("line dedup", lines),
+    ("near dedup", distinct),
+    ("decontamination", uncontaminated),
+    ("bpe", encoded),
+]
 
-# The last stages are outside SQL; tests/llm compares run() with a brute-force version.
+# The last stage is outside SQL; tests/llm compares all stages with brute-force versions.
 ORACLE_SQL = None
 
 

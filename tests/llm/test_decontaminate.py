@@ -1,0 +1,96 @@
+from __future__ import annotations
+
+import random
+
+import numpy as np
+
+from pagetrail.llm import decontaminate
+from pagetrail.sources.scratch import scratch_table
+from tests.llm.brute import contaminated
+
+DOCS = "doc_id long, text string"
+ITEMS = "item_id long, text string"
+
+
+def random_case(vocabulary, seed):
+    rnd = random.Random(seed)
+    items = [(i, " ".join(rnd.choices(vocabulary, k=rnd.choice([1, 5, 13, 14, 40])))) for i in range(12)]
+    items += [(12, None), (13, ""), (14, "--- !"), (3, items[5][1])]
+    docs = []
+    for i in range(60):
+        words = rnd.choices(vocabulary, k=rnd.randrange(0, 120))
+        for _ in range(rnd.randrange(3)):
+            part = (rnd.choice(items)[1] or "").split()
+            at = rnd.randrange(len(words) + 1)
+            words[at:at] = part[rnd.randrange(3) :] if rnd.random() < 0.5 else part
+        text = "".join(w + rnd.choice([" ", "\n", ", ", "-", "!!"]) for w in words)
+        docs.append((i, text.upper() if i % 7 == 0 else text))
+    return docs, items
+
+
+def check(spark, docs, items, **options):
+    got = decontaminate.contaminated_documents(
+        spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, ITEMS), **options
+    ).collect()
+    want = contaminated(docs, items)
+    assert len(got) == len(docs)
+    for row in got:
+        n_words, n_hit, found = want[row["doc_id"]]
+        assert (row["n_words"], row["n_hit"], row["items"]) == (n_words, n_hit, found)
+        assert row["n_items"] == len(found)
+        assert row["contaminated"] == (n_hit > 0 and 20 * n_hit >= n_words)
+        assert sum(b - a for a, b in row["spans"]) == n_hit
+
+
+def test_equals_brute_force(spark, vocabulary):
+    docs, items = random_case(vocabulary, 1)
+    check(spark, docs, items)
+
+
+def test_blocks_of_items_give_the_same(spark, vocabulary):
+    docs, items = random_case(vocabulary, 2)
+    check(spark, docs, items, block_words=60)
+
+
+def test_edges(spark, edges):
+    items = spark.createDataFrame([(1, "two three"), (None, "one"), (2, None)], ITEMS)
+    got = decontaminate.contaminated_documents(edges, items).collect()
+    assert len(got) == 10
+    found = [r["items"] for r in got if r["doc_id"] == 1]
+    assert found == [["1", "null"]] * 2
+    assert {r["n_words"] for r in got if r["doc_id"] in (2, 3, 4)} == {0}
+    many = decontaminate.contaminated_documents(edges, items, block_words=1)
+    key = lambda r: str((r["doc_id"], r["n_words"], r["n_hit"], sorted(r["items"])))
+    assert sorted(map(key, many.collect())) == sorted(map(key, got))
+
+
+def test_empty_tables(spark, edges):
+    items = spark.createDataFrame([], ITEMS)
+    got = decontaminate.contaminated_documents(edges, items).collect()
+    assert len(got) == 10 and not any(r["contaminated"] for r in got)
+    some = spark.createDataFrame([(1, "two three")], ITEMS)
+    assert decontaminate.contaminated_documents(edges.limit(0), some).count() == 0
+
+
+def test_proximity(spark):
+    docs = [(1, "red x x blue"), (2, "blue x x x red"), (3, "red"), (4, "blue red x red")]
+    phrases = decontaminate.Phrases()
+    phrases.add([b"red", b"blue"], "pair")
+    df = spark.createDataFrame(docs, DOCS)
+    index = scratch_table(decontaminate.build_index(df, phrases.vocabulary), "postings")
+    got = {r["key"]: r for r in decontaminate.find_near(index, phrases, width=4).collect()}
+    assert [got[i]["found"] for i in (1, 2, 3, 4)] == [["pair"], [], [], ["pair"]]
+    assert got[1]["spans"] == [[0, 4]] and got[4]["spans"] == [[0, 2]]
+
+
+def test_rarest_word_first_does_not_change_matches():
+    segment = decontaminate.Segment(
+        np.array([6]),
+        np.array([0, 1]),
+        np.array([4, 6]),
+        np.zeros(6, np.int32),
+        np.array([0, 1, 3, 4, 2, 5]),
+    )
+    for order in ([0, 1, 2], [2, 0, 1], [1, 2, 0]):
+        starts = segment.phrase((0, 0, 1), np.array(order))
+        assert (starts - segment.base[0]).tolist() == [0, 3]
