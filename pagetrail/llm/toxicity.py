@@ -28,7 +28,7 @@ PREFIXES = (4, 6)  # bytes of a word's beginning, besides the whole word
 SAMPLED_ROWS = 2500  # of each label, at most, that the classifier is fitted on
 SAMPLED_CHARACTERS = 8000  # longer texts are not in the sample
 ROUNDS = 150
-SPARSITY = 2.0  # weight of the absolute values of the weights
+SPARSITY = 0.0012  # weight, for each text, of the absolute values of the weights
 FAIRNESS = 1.0  # weight of the squared score changes of counterfactual pairs
 PAIRS = 600
 SLICE = 2 << 20
@@ -107,11 +107,14 @@ def fit(texts: list[bytes], labels: np.ndarray, rounds: int = ROUNDS) -> Classif
     gained, gainer = _flat([np.setdiff1d(b, a, assume_unique=True) for a, b in pairs])
     used, flat = np.unique(np.concatenate([flat, changed, gained]), return_inverse=True)
     flat, changed, gained = np.split(flat, np.cumsum([len(owner), len(pair)]))
+    # Both labels weigh the same, however often they occur in the sample.
+    share = np.where(labels > 0, labels.mean(), 1 - labels.mean())
+    importance, sparsity = 0.5 / np.maximum(share, 1e-9), SPARSITY * len(texts)
     weights, squares = np.zeros(len(used)), np.full(len(used), 1e-8)
     intercept, intercept_square = 0.0, 1e-8
     for _ in range(rounds):
         logits = np.bincount(owner, weights[flat], len(texts)) + intercept
-        error = 1 / (1 + np.exp(-np.clip(logits, -30, 30))) - labels
+        error = (1 / (1 + np.exp(-np.clip(logits, -30, 30))) - labels) * importance
         gradient = np.bincount(flat, error[owner], len(used))
         if len(pairs):
             # Features of the second sentence count +1, those only in the first -1.
@@ -123,7 +126,7 @@ def fit(texts: list[bytes], labels: np.ndarray, rounds: int = ROUNDS) -> Classif
         squares += gradient * gradient
         rate = 0.3 / np.sqrt(squares)
         weights -= rate * gradient
-        weights = np.sign(weights) * np.maximum(np.abs(weights) - rate * SPARSITY, 0)
+        weights = np.sign(weights) * np.maximum(np.abs(weights) - rate * sparsity, 0)
         intercept_square += error.sum() ** 2
         intercept -= 0.3 * error.sum() / np.sqrt(intercept_square)
     out = np.zeros(FEATURES, np.float32)

@@ -48,7 +48,7 @@ def test_equal_windows_have_equal_fingerprints(vocabulary):
     run = [" ".join(rnd.choices(vocabulary, k=9)) for _ in range(20)]
     one = line_dedup.windows("\n".join(["a b", *run, "c"]).encode())
     two = line_dedup.windows("\n".join(["x", "", "y z", *run]).encode())
-    assert len({w[2:4] for w in one} & {w[2:4] for w in two}) >= 20
+    assert len({w[2:4] for w in one} & {w[2:4] for w in two}) >= 15
     by_content = {w[2:4]: w[0] for w in one}
     assert all(by_content.get(w[2:4], w[0]) == w[0] for w in two)
     assert len({w[0] for w in one}) < len(one) / 2  # few fingerprints for many windows

@@ -1,0 +1,78 @@
+from __future__ import annotations
+
+import random
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from pagetrail.llm import toxicity
+from pagetrail.llm.queries import QUERIES
+
+SF_DIR = "/root/testdata/sf0.1"
+
+
+def biased_sample(vocabulary, n=400):
+    """Insults make a text toxic; a group is named far more often in toxic texts."""
+    rnd = random.Random(2)
+    texts, labels = [], []
+    for i in range(n):
+        words = rnd.choices(vocabulary, k=12)
+        toxic = i % 2
+        if toxic:
+            words[3] = rnd.choice(["zzidiot", "zzscum", "zzmoron"])
+        if rnd.random() < (0.8 if toxic else 0.02):
+            words[7] = "muslim"
+        texts.append(" ".join(words).encode())
+        labels.append(float(toxic))
+    return texts, np.array(labels)
+
+
+def test_counterfactuals_reduce_the_effect_of_mentions(vocabulary, monkeypatch):
+    texts, labels = biased_sample(vocabulary)
+    fair = toxicity.fit(texts, labels)
+    monkeypatch.setattr(toxicity, "FAIRNESS", 0.0)
+    plain = toxicity.fit(texts, labels)
+
+    def effect(model):
+        mention = b"my neighbour is muslim"
+        return model.logit(mention) - model.logit(b"my neighbour is")
+
+    assert effect(plain) > 0.3
+    assert abs(effect(fair)) < 0.5 * effect(plain)
+    assert fair.score(b"you zzidiot") > 0.5 > fair.score(b"my neighbour is muslim")
+
+
+def test_swaps_change_one_term_only():
+    pairs = toxicity.counterfactuals([b"The Women came", b"nothing here", b"womenfolk"])
+    swapped = [p for p in pairs if p[0] == b"the women came" and len(p[1].split()) == 3]
+    assert len(swapped) == 1
+    before, after = (p.split() for p in swapped[0])
+    assert before[0] == after[0] and before[2] == after[2] and before[1] != after[1]
+    assert not any(a == b"womenfolk" and len(b.split()) == 1 for a, b in pairs)
+
+
+def test_held_out_accuracy(spark):
+    got = QUERIES["op7_toxicity"](spark, SF_DIR).cache()
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    assert got.count() == docs.count()
+    assert got.filter("score is null or score < 0 or score > 1").count() == 0
+    assert got.filter("predicted <> if(score >= 0.5, 1, 0)").count() == 0
+    rest = got.join(spark.read.parquet(f"{SF_DIR}/labels.parquet"), "doc_id").filter("held_out")
+    scores = rest.groupBy("toxic").agg(F.avg("predicted").alias("p")).collect()
+    rate = {r["toxic"]: r["p"] for r in scores}
+    assert rate[1] > 0.88 and rate[0] < 0.03
+
+
+def test_edges_and_empty(spark, edges):
+    labels = spark.createDataFrame(
+        [(1, 1), (1, 0), (3, 0), (-7, None), (None, 1), (99, 1)], "doc_id long, toxic int"
+    )
+    model = toxicity.train(edges, labels, F.lit(True))
+    got = toxicity.score(edges, model)
+    assert got.columns == ["doc_id", "score", "predicted"]
+    rows = got.collect()
+    assert len(rows) == 10 and all(0 <= r["score"] <= 1 for r in rows)
+    assert len({r["score"] for r in rows if r["doc_id"] in (2, 3, 4)}) == 1
+    untrained = toxicity.train(edges, labels.limit(0), F.lit(True))
+    assert {r["score"] for r in toxicity.score(edges, untrained).collect()} == {0.5}
+    assert toxicity.score(edges.limit(0), model).count() == 0
