@@ -30,7 +30,7 @@ ROWS, BANDS = 5, 40  # at a similarity of 0.8 a pair shares no band once in 8 mi
 SAMPLES = ROWS * BANDS
 PARTS = 12  # the odd sketch has a sample of each of 2 ** PARTS parts of the hash range
 BITS = 4096
-ROUNDS = 3  # of looking for links to other components before all pairs left are checked
+ROUNDS = 1  # of looking for links to other components before all pairs left are checked
 DEVIATIONS = 5.0  # by which a pair may differ more than expected and still be checked
 
 _RANDOM = np.random.Generator(np.random.PCG64(85))
@@ -101,7 +101,8 @@ def _promising(percent: int) -> Column:
 
 
 def signatures(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``key``, ``text_hash``, ``n_shingles``, ``set_id``, ``bands``, ``parts`` and ``sketch``."""
+    """``key``, ``text_hash``, ``n_shingles``, ``set_id``, ``bands``, half of each
+    band's bits (``codes``), ``parts`` and ``sketch``."""
     source = docs.select(
         F.col(key).alias("key"),
         F.xxhash64(F.col(text)).alias("text_hash"),
@@ -114,6 +115,7 @@ def signatures(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
             T.StructField("n_shingles", T.LongType()),
             T.StructField("set_id", T.BinaryType()),
             T.StructField("bands", T.ArrayType(T.LongType())),
+            T.StructField("codes", T.ArrayType(T.IntegerType())),
             T.StructField("parts", T.IntegerType()),
             T.StructField("sketch", T.ArrayType(T.LongType())),
         ]
@@ -123,13 +125,14 @@ def signatures(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
         for batch in slices(batches, "_text"):
             sets = [shingles(t) for t in batch.column("_text").to_pylist()]
             lowest, drawn = [samples(s) for s in sets], [part_samples(s) for s in sets]
-            n = len(sets)
+            n, keys = len(sets), np.concatenate([bands(x) for x in lowest])
             arrays = [
                 batch.column("key"),
                 batch.column("text_hash"),
                 pa.array([len(s) for s in sets], pa.int64()),
                 pa.array([set_id(s) for s in sets], pa.binary()),
-                lists(np.concatenate([bands(x) for x in lowest]), np.full(n, BANDS), pa.int64()),
+                lists(keys, np.full(n, BANDS), pa.int64()),
+                lists(keys.astype(np.int32), np.full(n, BANDS), pa.int32()),
                 pa.array([len(x) for x in drawn], pa.int32()),
                 lists(
                     np.concatenate([odd_sketch(x) for x in drawn]),
@@ -196,12 +199,12 @@ def near_duplicates(
         raise ValueError("the bands are made for similarities of 0.8 and more")
     rows = scratch_table(signatures(docs, key, text), "signatures")
     linked = rows.filter((F.col("n_shingles") > 0) & F.col("key").isNotNull())
-    columns = ("key", "text_hash", "n_shingles", "bands", "parts", "sketch")
+    columns = ("key", "text_hash", "n_shingles", "bands", "codes", "parts", "sketch")
     first = F.min(F.struct(*columns)).alias("x")
     classes = scratch_table(linked.groupBy("set_id").agg(first).select("set_id", "x.*"), "classes")
 
     buckets = classes.select(
-        "set_id", F.col("key").alias("class_key"), F.explode("bands").alias("band")
+        "set_id", F.col("key").alias("class_key"), F.posexplode("bands").alias("number", "band")
     )
     shared = buckets.groupBy("band").agg(
         F.min(F.struct("class_key", "set_id")).alias("first"), F.count("*").alias("n")
@@ -210,7 +213,8 @@ def near_duplicates(
         shared.filter("n > 1").select("band", F.col("first.set_id").alias("b")), "buckets"
     )
     members = scratch_table(
-        buckets.join(shared, "band").select("band", "b", F.col("set_id").alias("a")), "members"
+        buckets.join(shared, "band").select("number", "band", "b", F.col("set_id").alias("a")),
+        "members",
     )
     sketches = classes.select("set_id", "n_shingles", "parts", "sketch")
 
@@ -253,7 +257,7 @@ def near_duplicates(
     def in_mixed_buckets(labels: DataFrame) -> DataFrame:
         """Members, with components, of the buckets that hold more than one component."""
         labelled = _with_component(node, labels).withColumnRenamed("set_id", "a")
-        placed = members.join(labelled, "a").select("band", "a", "component")
+        placed = members.join(labelled, "a").select("number", "band", "a", "component")
         ends = placed.groupBy("band").agg(
             F.min(F.struct("component", "a")).alias("low"),
             F.max(F.struct("component", "a")).alias("high"),
@@ -275,14 +279,18 @@ def near_duplicates(
         edges = scratch_table(edges.union(found), "links")
         labels = components(edges)
 
-    # All pairs of a bucket that are still in different components.
-    mixed = in_mixed_buckets(labels).select("band", "a", "component")
-    undecided = mixed.withColumnRenamed("a", "set_id").join(sketches, "set_id")
+    # All pairs of a bucket whose sets are still in different components.
+    mixed = in_mixed_buckets(labels).select("number", "band", "a", "component")
+    full = classes.select(*sketches.columns, "codes")
+    undecided = mixed.withColumnRenamed("a", "set_id").join(full, "set_id")
     undecided = scratch_table(undecided, "undecided")
     left, right = _side(undecided, "a"), _side(undecided, "b")
     on = (F.col("band_a") == F.col("band_b")) & (F.col("component_a") < F.col("component_b"))
     on &= _promising(percent)
-    rest = scratch_table(left.join(right, on).select("a", "b").distinct(), "pairs")
+    # Each pair once, in the first bucket it shares.
+    equal = F.zip_with("codes_a", "codes_b", lambda x, y: x == y)
+    on &= F.array_position(equal, True) == F.col("number_a") + 1
+    rest = scratch_table(left.join(right, on).select("a", "b"), "pairs")
     more = scratch_table(edges_of(_verified(rest, texts, percent)), "links")
     if not more.isEmpty():
         labels = components(edges.union(more))
