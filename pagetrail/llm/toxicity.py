@@ -15,7 +15,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -151,8 +151,10 @@ def train(
     """
     known = labels.filter(F.col(label).isNotNull() & F.col(key).isNotNull() & learns)
     known = known.groupBy(key).agg(F.max(label).alias("_label"))
-    rank = F.row_number().over(Window.partitionBy("_label").orderBy(F.xxhash64(key), key))
-    chosen = known.withColumn("_rank", rank).filter(F.col("_rank") <= rows).drop("_rank")
+    order = (F.xxhash64(key), F.col(key))
+    sides = [known.filter(side) for side in (F.col("_label") > 0, F.col("_label") <= 0)]
+    first, second = (side.orderBy(*order).limit(rows) for side in sides)
+    chosen = first.union(second)
     short = docs.filter(F.length(text) <= SAMPLED_CHARACTERS)
     found = (
         short.select(key, as_bytes(F.col(text)).alias("_text"))
