@@ -6,7 +6,7 @@ import argparse
 
 from pyspark.sql import SparkSession
 
-from pagetrail.plans.layered_run import run_layers, show_reports
+from pagetrail.plans.layered_run import read_bronze, run_layers, show_reports
 from pagetrail.schema import GAP_SECONDS
 from pagetrail.sources.layers import preview, read_layer
 from pagetrail.sources.runs import layer_path
@@ -18,7 +18,7 @@ def main(argv: list[str] | None = None) -> int:
     run = commands.add_parser("run", help="build all layers, exports and reports from JSON lines")
     run.add_argument("source")
     run.add_argument("root")
-    run.add_argument("--run-id", type=int, default=1)
+    run.add_argument("--run-id", type=int, help="a new number; default: the next free one")
     run.add_argument("--gap-seconds", type=int, default=GAP_SECONDS)
     run.add_argument("--stages", nargs="*", help="Gold stage columns; default: every page found")
     run.add_argument("--keep-null-times", action="store_true")
@@ -42,8 +42,9 @@ def main(argv: list[str] | None = None) -> int:
         export_events=not args.no_event_export,
     )
     print(f"{counts.events} events read, {counts.rejected} rejected")
-    for layer in ("bronze", "silver", "gold"):
-        preview(read_layer(spark, layer_path(args.root, args.run_id, layer))).show()
+    preview(read_bronze(spark, args.root, counts.run_id)).show()
+    for layer in ("silver", "gold"):
+        preview(read_layer(spark, layer_path(args.root, counts.run_id, layer))).show()
     return 0
 
 

@@ -15,7 +15,10 @@ def quoted(name: str) -> Column:
 def event_time(df: DataFrame, name: str) -> Column:
     """Column ``name`` as TIMESTAMP: text is parsed (bad text gives null), other types are cast."""
     if isinstance(df.schema[name].dataType, T.StringType):
-        return F.try_to_timestamp(quoted(name)).cast("timestamp")
+        text = quoted(name)
+        # A time of day alone would be read as one of the day of the run.
+        dated = F.when(~text.rlike(r"^\s*T?\d{1,2}:"), text)
+        return F.try_to_timestamp(dated).cast("timestamp")
     return quoted(name).cast("timestamp")
 
 

@@ -4,38 +4,34 @@ A window over one user's events runs in one task. That is the cheapest plan
 for ordinary users and the wrong one for a user that owns a large share of the
 table, so the two kinds take different plans (see ``sessions``).
 
-The busy users are found once, by exact counts, and are a fixed list from then
-on: both plans agree on it even if a lost executor makes Spark run one again.
+The busy users are found once, by exact counts, and written to a table: both plans
+agree on it even if a lost executor makes Spark run one again. It is joined like any
+other table, so its size is bounded by nothing but the data.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from pagetrail.functions.columns import quoted
+from pagetrail.sources.scratch import scratch_table
 
 MAX_USER_ROWS = 5_000_000
-# Length of the list, which is collected and broadcast. Users beyond it are not lost:
-# they stay with the quiet ones, whose plan is right for any number of events.
-MAX_BUSY_USERS = 100_000
 
 
-def busy_users(events: DataFrame, user: str, max_rows: int = MAX_USER_ROWS) -> list:
-    """Users with more than ``max_rows`` events, the busiest first; None is a user too.
+def busy_users(events: DataFrame, user: str, max_rows: int = MAX_USER_ROWS) -> DataFrame | None:
+    """``busy_user``: users with more than ``max_rows`` events; null is a user too.
 
-    Runs one job that reads the user column and counts it before the shuffle.
+    Runs one job that reads the user column and counts it before the shuffle. None if
+    there are no such users.
     """
-    counts = events.groupBy(quoted(user).alias("user")).agg(F.count(F.lit(1)).alias("rows"))
-    busy = counts.filter(F.col("rows") > max_rows).orderBy(F.desc("rows"))
-    return [r.user for r in busy.limit(MAX_BUSY_USERS).collect()]
+    counts = events.groupBy(quoted(user).alias("busy_user")).agg(F.count(F.lit(1)).alias("rows"))
+    busy = scratch_table(counts.filter(F.col("rows") > max_rows).select("busy_user"), "busy-users")
+    return None if busy.isEmpty() else busy
 
 
-def split_users(events: DataFrame, user: str, busy: list) -> tuple[DataFrame, DataFrame]:
+def split_users(events: DataFrame, user: str, busy: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The events of all other users, and those of the busy ones."""
-    schema = T.StructType([T.StructField("busy_user", events.schema[user].dataType)])
-    known = events.sparkSession.createDataFrame([(b,) for b in busy], schema)
-    listed = F.broadcast(known)  # at most MAX_BUSY_USERS keys
     same = quoted(user).eqNullSafe(F.col("busy_user"))
-    return events.join(listed, same, "left_anti"), events.join(listed, same, "left_semi")
+    return events.join(busy, same, "left_anti"), events.join(busy, same, "left_semi")

@@ -37,16 +37,20 @@ def _ends(counts: DataFrame) -> Row:
 
 
 def duration_histogram(
-    gold: DataFrame, bins: int = HISTOGRAM_BINS, unit: str = "seconds"
+    gold: DataFrame,
+    bins: int = HISTOGRAM_BINS,
+    unit: str = "seconds",
+    counts: DataFrame | None = None,
 ) -> DataFrame:
     """Sessions per equal-width bin over [min, max]; the last bin includes its upper edge.
 
     Bins are found in whole seconds, so no rounding moves a session. When all
     durations are equal the range is half a unit to either side; with no sessions it
-    is [0, 1]. Empty bins are rows too.
+    is [0, 1]. Empty bins are rows too. ``counts`` is a written ``duration_counts``, where
+    there is one.
     """
     per = UNITS[unit]
-    counts = scratch_table(duration_counts(gold), "durations")
+    counts = counts or scratch_table(duration_counts(gold), "durations")
     lo, hi = _ends(counts)
     if lo is None:
         low, high, bin_no = 0.0, 1.0, F.lit(0)
@@ -78,6 +82,7 @@ def duration_density(
     points: int = DENSITY_POINTS,
     bins: int = HISTOGRAM_BINS,
     unit: str = "seconds",
+    counts: DataFrame | None = None,
 ) -> DataFrame:
     """Gaussian density of the durations, scaled to the histogram's counts.
 
@@ -85,13 +90,17 @@ def duration_density(
     than two distinct durations exist, as the bandwidth is then 0.
     """
     per = UNITS[unit]
-    counts = scratch_table(duration_counts(gold), "durations")
+    counts = counts or scratch_table(duration_counts(gold), "durations")
     lo, hi = _ends(counts)
     if lo is None or lo == hi:
         return counts.sparkSession.createDataFrame([], "x double, density double")
     d, n = F.col("duration_seconds") / F.lit(per), F.col("sessions").cast("double")
-    total, mean = counts.agg(F.sum(n), F.sum(n * d) / F.sum(n)).first()
-    squares = counts.agg(F.sum(n * (d - mean) * (d - mean))).first()[0]
+    # Shifted by the shortest duration, so that large values lose no digits.
+    shifted = (F.col("duration_seconds") - lo) / F.lit(per)
+    total, first, second = counts.agg(
+        F.sum(n), F.sum(n * shifted), F.sum(n * shifted * shifted)
+    ).first()
+    squares = second - first * first / total
     h = math.sqrt(squares / (total - 1)) * total**-0.2
     low, high = lo / per, hi / per
     scale = (high - low) / bins / (h * math.sqrt(2 * math.pi))

@@ -11,15 +11,37 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pagetrail.functions.columns import quoted
-from pagetrail.schema import TARGET_STAGE
+from pagetrail.schema import REPORT_STAGES, TARGET_STAGE
 from pagetrail.sources.scratch import scratch_path
 
-NOT_FEATURES = {"unique_session_id", "start_time", "end_time"}
+# Besides the names: the number of views is the sum of all stages, the target's too, and
+# the end and the duration tell what came after it.
+NOT_FEATURES = {"unique_session_id", "start_time", "end_time", "page_views", "duration_seconds"}
+HELD_OUT_FOLDS = 5
 
 
 def feature_columns(gold: DataFrame, target: str = TARGET_STAGE) -> list[str]:
-    """All counters of Gold but the target."""
-    return [c for c in gold.columns if c not in NOT_FEATURES and c != target]
+    """The counters of Gold, without the target, the stages that follow it, and sums."""
+    later = REPORT_STAGES[REPORT_STAGES.index(target) :] if target in REPORT_STAGES else [target]
+    return [c for c in gold.columns if c not in NOT_FEATURES and c not in later]
+
+
+def split_sessions(gold: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Four fifths to train on and a fifth to measure on, by a hash of the key."""
+    fold = F.pmod(F.crc32(F.col("unique_session_id").cast("binary")), F.lit(HELD_OUT_FOLDS))
+    return gold.filter(fold != 0), gold.filter(fold == 0)
+
+
+def conversion_quality(gold: DataFrame, target: str = TARGET_STAGE) -> DataFrame:
+    """One row on the held-out sessions: how many, how many convert, and are told rightly."""
+    train, test = split_sessions(gold)
+    scores = train_conversion_model(train, target).transform(test)
+    converts = quoted(target) > 0
+    return scores.agg(
+        F.count(F.lit(1)).alias("held_out"),
+        F.count_if(converts).alias("converted"),
+        F.count_if(converts == (F.col("prediction") > 0.5)).alias("right"),
+    )
 
 
 def train_conversion_model(

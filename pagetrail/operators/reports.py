@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pagetrail.functions.columns import percent, quoted
@@ -69,13 +69,29 @@ def conversion_by(sessionised: DataFrame, dim: str, target: str = TARGET_STAGE)
     ``dim`` belongs to the event, so a session counts once under each value seen in
     it, and counts as converted under all of them.
     """
-    value = quoted(dim)
-    seen = sessionised.groupBy("user_id", "session_id", value).agg(
-        F.count_if(F.col("current_page") == F.lit(target)).alias("hits")
+    return dimension(conversions(sessionised, [dim], target), dim)
+
+
+def conversions(
+    sessionised: DataFrame, dims: Sequence[str], target: str = TARGET_STAGE
+) -> DataFrame:
+    """``conversion_by`` for several dimensions (text) in one pass: dim, value, sessions,
+    converted and rate. One row per session is shuffled, with the values seen in it."""
+    seen = [
+        F.collect_set(F.struct(F.lit(d).alias("dim"), quoted(d).cast("string").alias("value")))
+        for d in dims
+    ]
+    seen = [values.alias(f"seen_{i}") for i, values in enumerate(seen)]
+    session = sessionised.groupBy("user_id", "session_id").agg(
+        (F.count_if(F.col("current_page") == F.lit(target)) > 0).alias("reached"), *seen
     )
-    session = Window.partitionBy("user_id", "session_id")
-    reached = seen.withColumn("reached", F.max("hits").over(session) > 0)
-    return _rates(reached, value)
+    values = F.concat(*[F.col(f"seen_{i}") for i in range(len(dims))])
+    return _rates(session.select("reached", F.inline(values)), "dim", "value")
+
+
+def dimension(rates: DataFrame, dim: str) -> DataFrame:
+    """The rows of one dimension, with its name for the values."""
+    return rates.filter(F.col("dim") == dim).drop("dim").withColumnRenamed("value", dim)
 
 
 def conversion_by_hour(gold: DataFrame, target: str = TARGET_STAGE) -> DataFrame:
@@ -83,12 +99,12 @@ def conversion_by_hour(gold: DataFrame, target: str = TARGET_STAGE) -> DataFrame
     reached = gold.select(
         F.hour("start_time").alias("hour"), (quoted(target) > 0).alias("reached")
     )
-    return _rates(reached, F.col("hour"))
+    return _rates(reached, "hour")
 
 
-def _rates(reached: DataFrame, by: Column) -> DataFrame:
+def _rates(reached: DataFrame, *by: str) -> DataFrame:
     return (
-        reached.groupBy(by)
+        reached.groupBy(*by)
         .agg(F.count(F.lit(1)).alias("sessions"), F.count_if("reached").alias("converted"))
         .withColumn("rate", percent(F.col("converted"), F.col("sessions")))
     )

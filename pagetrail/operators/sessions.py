@@ -62,8 +62,8 @@ def sessionise(
         raise ValueError("gap_seconds must not be negative")
     if tie == EVENT_ID and EVENT_ID not in events.columns:
         tie = None
-    busy = busy_users(events, user, max_user_rows) if max_user_rows is not None else []
-    quiet, crowded = split_users(events, user, busy) if busy else (events, None)
+    busy = busy_users(events, user, max_user_rows) if max_user_rows is not None else None
+    quiet, crowded = (events, None) if busy is None else split_users(events, user, busy)
     numbered = _number_in_order(
         with_event_timestamp(quiet, time), gap_seconds, user, tie, keep_null_times
     )
@@ -96,7 +96,7 @@ def _number_in_order(
 ) -> DataFrame:
     """One exchange and one sort by user; both windows run on it."""
     by_user = Window.partitionBy(user)
-    rows = by_user.orderBy("event_timestamp", *([tie] if tie else []))
+    rows = by_user.orderBy("event_timestamp", *([quoted(tie)] if tie else []))
     flagged = timed.withColumn("prev_time", F.lag("event_timestamp").over(rows)).withColumns(
         _gap_columns(gap_seconds)
     )
@@ -113,6 +113,11 @@ def _number_in_order(
     return flagged.withColumn("session_id", F.sum(opened).over(so_far)).filter(has_time)
 
 
+def _tie_order(tie: str) -> Column:
+    """Sorts like the tie column in a window, nulls first, and is never null itself."""
+    return F.struct(quoted(tie).isNotNull().alias("known"), quoted(tie).alias("tie"))
+
+
 def _number_by_instant(
     timed: DataFrame,
     gap_seconds: int,
@@ -126,6 +131,8 @@ def _number_by_instant(
     Only the first event of an instant can open a session, so sessions are found
     on the distinct instants and joined back to the events by (user, instant).
     """
+    if not keep_null_times:
+        timed = timed.filter(F.col("event_timestamp").isNotNull())
     instants = _numbered_instants(timed, gap_seconds, user, tie, keep_null_times)
     joined = timed.join(
         instants,
@@ -133,9 +140,11 @@ def _number_by_instant(
         & F.col("event_timestamp").eqNullSafe(F.col("at_instant")),
     )
     if tie and tie_is_unique:
-        is_first = quoted(tie).eqNullSafe(F.col("at_first"))
+        is_first = _tie_order(tie).eqNullSafe(F.col("at_first"))
     else:
-        same = Window.partitionBy(user, "event_timestamp").orderBy(tie or "event_timestamp")
+        same = Window.partitionBy(user, "event_timestamp").orderBy(
+            quoted(tie or "event_timestamp")
+        )
         joined = joined.withColumn("at_row", F.row_number().over(same))
         is_first = F.col("at_row") == 1
     previous = F.when(is_first, F.col("at_previous")).otherwise(F.col("event_timestamp"))
@@ -172,7 +181,7 @@ def _numbered_instants(
         )
         .agg(
             F.count(F.lit(1)).alias("copies"),
-            (F.min(tie) if tie else F.lit(None)).alias("at_first"),
+            (F.min(_tie_order(tie)) if tie else F.lit(None)).alias("at_first"),
         )
         .withColumn("slice", slice_no)
     )

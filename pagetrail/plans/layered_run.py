@@ -14,11 +14,12 @@ from pyspark.sql import functions as F
 
 from pagetrail.functions.columns import is_missing
 from pagetrail.operators.busy_users import MAX_USER_ROWS
-from pagetrail.operators.durations import duration_density, duration_histogram
+from pagetrail.operators.durations import duration_counts, duration_density, duration_histogram
 from pagetrail.operators.gold import gold
 from pagetrail.operators.reports import (
-    conversion_by,
     conversion_by_hour,
+    conversions,
+    dimension,
     funnel_lines,
     funnel_report,
     present_stages,
@@ -43,7 +44,15 @@ from pagetrail.sources.layers import (
     write_layer,
 )
 from pagetrail.sources.raw import read_raw_json
-from pagetrail.sources.runs import layer_path, mark_complete, mark_started, run_as_of, run_path
+from pagetrail.sources.runs import (
+    layer_path,
+    mark_complete,
+    mark_started,
+    next_run_id,
+    run_as_of,
+    run_path,
+)
+from pagetrail.sources.scratch import scratch_table
 
 BRONZE_COLUMNS = RAW_COLUMNS + ["event_id"]
 
@@ -52,6 +61,7 @@ BRONZE_COLUMNS = RAW_COLUMNS + ["event_id"]
 class IngestCounts:
     events: int
     rejected: int
+    run_id: int
 
 
 def ingest(
@@ -87,7 +97,7 @@ def ingest(
         .parquet(run_path(root, run_id))
     )
     seen = counts.get
-    return IngestCounts(seen["events"], seen["rejected"])
+    return IngestCounts(seen["events"], seen["rejected"], run_id)
 
 
 def read_bronze(spark: SparkSession, root: str, run_id: int) -> DataFrame:
@@ -104,7 +114,7 @@ def run_layers(
     source: str,
     root: str,
     *,
-    run_id: int = 1,
+    run_id: int | None = None,
     gap_seconds: int = GAP_SECONDS,
     stages: Sequence[str] | None = None,
     report_stages: Sequence[str] = REPORT_STAGES,
@@ -114,7 +124,10 @@ def run_layers(
     max_user_rows: int | None = MAX_USER_ROWS,
     fmt: str = DEFAULT_FORMAT,
 ) -> IngestCounts:
-    """Run everything once and mark the run complete.
+    """Run everything once, beside all earlier runs, and mark the run complete.
+
+    ``run_id`` is the next free number unless given; the number of a complete run is
+    refused. A run that fails stays hidden, so readers go on with the one before it.
 
     Layers: bronze, bad_records, bad_times, silver, session_metrics, gold and one per
     report. Exports: ``<run>/export=<name>`` as CSV for bronze, silver, gold and the
@@ -130,6 +143,7 @@ def run_layers(
     def export(name: str) -> str:
         return f"{run_path(root, run_id)}/export={name}"
 
+    run_id = next_run_id(spark, root) if run_id is None else run_id
     mark_started(spark, root, run_id)
     counts = ingest(spark, source, root, run_id)
     bronze = read_bronze(spark, root, run_id)
@@ -174,25 +188,29 @@ def _reports(
 ) -> dict[str, DataFrame]:
     if not present_stages(sessions, [target]):
         sessions = sessions.withColumn(target, F.lit(0).cast("bigint"))
+    counts = scratch_table(duration_counts(sessions), "durations")
+    rates = scratch_table(conversions(silver, ["device", "browser"], target), "conversions")
     return {
         "total_sessions": total_sessions(sessions),
         "funnel": funnel_report(sessions, stages),
-        "conversion_by_device": conversion_by(silver, "device", target),
-        "conversion_by_browser": conversion_by(silver, "browser", target),
+        "conversion_by_device": dimension(rates, "device"),
+        "conversion_by_browser": dimension(rates, "browser"),
         "conversion_by_hour": conversion_by_hour(sessions, target),
-        "duration_histogram": duration_histogram(sessions),
-        "duration_density": duration_density(sessions),
+        "duration_histogram": duration_histogram(sessions, counts=counts),
+        "duration_density": duration_density(sessions, counts=counts),
     }
 
 
-def show_reports(spark: SparkSession, root: str, run_id: int | None = None) -> bool:
+def show_reports(
+    spark: SparkSession, root: str, run_id: int | None = None, fmt: str = DEFAULT_FORMAT
+) -> bool:
     """Print the funnel and the durations of a run; False if there is no Gold table yet."""
     try:
         found = run_as_of(spark, root, run_id)
     except LookupError:
         print(f"no complete run in {root}; run the layers first")
         return False
-    sessions = read_layer_if_present(spark, layer_path(root, found, "gold"))
+    sessions = read_layer_if_present(spark, layer_path(root, found, "gold"), fmt)
     if sessions is None:
         print(f"run {found} in {root} has no Gold table")
         return False

@@ -119,8 +119,15 @@ def _funnel(stages: list[str], pct: bool, ctes: str | None = None) -> str:
     return f"{ctes or _gold_ctes()} SELECT stage_no, stage, sessions{share} FROM ({rows})"
 
 
-def _conversion(dim: str) -> str:
-    return f"""{_gold_ctes()}
+def _logged() -> str:
+    return f"""WITH {LOG}, kept AS (SELECT * FROM log WHERE {VALID}),
+{_silver(WIDE_GAP, "kept")}, gold AS (
+  SELECT {_stats()}, {_hits(GOLD_STAGES)} FROM silver GROUP BY unique_session_id
+)"""
+
+
+def _conversion(dim: str, ctes: str | None = None) -> str:
+    return f"""{ctes or _gold_ctes()}
 SELECT {dim}, count(DISTINCT unique_session_id) AS sessions,
   count(DISTINCT CASE WHEN confirmation > 0 THEN unique_session_id END) AS converted,
   100.0::DOUBLE * count(DISTINCT CASE WHEN confirmation > 0 THEN unique_session_id END)
@@ -158,7 +165,28 @@ SELECT round(x, 4) AS x,
 FROM grid, d, m GROUP BY grid.x"""
 
 
+TIES = f"""WITH {CLICKS}, tied AS (
+  SELECT * REPLACE (strftime(date_trunc('hour', CAST(event_time AS TIMESTAMP)),
+    '%Y-%m-%d %H:%M:%S') AS event_time) FROM clicks
+), {_silver(WIDE_GAP, "tied")} SELECT {EVENT}, {SESSION} FROM silver"""
+
+DIRTY_PAGES = f"""WITH {CLICKS}, dirty AS (
+  SELECT * REPLACE (CASE WHEN current_page = 'search' THEN 'page_views'
+    WHEN current_page = 'home' AND event_id % 2 = 0 THEN 'Home' ELSE current_page END
+    AS current_page) FROM clicks
+), {_silver(WIDE_GAP, "dirty")}
+SELECT {_stats()}, count(*) FILTER (current_page = 'Home') AS Home,
+  count(*) FILTER (current_page = 'home') AS page_home,
+  count(*) FILTER (current_page = 'page_views') AS page_page_views,
+  {_hits(["confirmation", "payment_failed", "product_view", "order_placed"])}
+FROM silver GROUP BY unique_session_id"""
+
+
 ORACLES: dict[str, str] = {
+    "sessionise_ties": TIES,
+    "sessionise_ties_busy_users": TIES,
+    "sessionise_ties_busy_users_any_tie": TIES,
+    "gold_dirty_pages": DIRTY_PAGES,
     "sessionise_900": _events(900),
     "sessionise_1800": _events(1800),
     "sessionise_21600": _events(WIDE_GAP),
@@ -232,8 +260,17 @@ SELECT {_stats()}, {_hits(["confirmation", "home", "product_view", "search"])},
   SELECT user_id, {_stats()}, {_hits(FUNNEL_STAGES)} FROM silver
   GROUP BY user_id, unique_session_id
 )
-SELECT * EXCLUDE (unique_session_id) FROM gold
-WHERE epoch(end_time) + {WIDE_GAP} <= (SELECT max(epoch(end_time)) - 3600 FROM gold)""",
+SELECT * EXCLUDE (unique_session_id) FROM gold""",
+    "layered_session_metrics": f"""WITH {LOG}, kept AS (SELECT * FROM log WHERE {VALID}),
+{_silver(WIDE_GAP, "kept")}
+SELECT unique_session_id, user_id, session_id, event_timestamp, time_diff_seconds,
+  is_new_session FROM silver""",
+    "layered_conversion_by_device": _conversion("device", _logged()),
+    "layered_conversion_by_browser": _conversion("browser", _logged()),
+    "layered_bad_times": f"""WITH {BAD_TIMES}
+SELECT {RAW} FROM shaky WHERE TRY_CAST(event_time AS TIMESTAMP) IS NULL""",
+    "preview_is_part": f"""{_gold_ctes()}
+SELECT least(count(*), 5) AS shown, least(count(*), 5) AS in_gold FROM gold""",
     "layer_as_of": _sessions(900),
     "gold_csv_roundtrip": _gold(),
     "gold_parquet_roundtrip": _gold(),

@@ -16,7 +16,11 @@ from pagetrail.operators.gold import (
     gold_pivot_join,
     session_stats,
 )
-from pagetrail.operators.model import conversion_scores, train_conversion_model
+from pagetrail.operators.model import (
+    conversion_quality,
+    conversion_scores,
+    train_conversion_model,
+)
 from pagetrail.operators.reports import (
     conversion_by,
     conversion_by_hour,
@@ -40,7 +44,7 @@ from pagetrail.sources.layers import (
 from pagetrail.sources.raw import read_raw_json, rejected_count, rejected_events, valid_events
 from pagetrail.sources.runs import layer_path, mark_complete, read_as_of
 from pagetrail.sources.scratch import scratch_path, scratch_table
-from pagetrail.streaming.sessions import append_sessions, read_raw_stream, session_stream
+from pagetrail.streaming.sessions import append_seconds, read_raw_stream, sessions_so_far
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -84,6 +88,25 @@ def _some_bad_times(spark: SparkSession, sf_dir: str) -> DataFrame:
     return click_events(spark, sf_dir).withColumn("event_time", time)
 
 
+def _tied(spark: SparkSession, sf_dir: str, limit: int | None, unique: bool) -> DataFrame:
+    """Clicks of which all of an hour have the same time."""
+    clicks = click_events(spark, sf_dir)
+    hour = F.date_trunc("hour", F.to_timestamp("event_time"))
+    clicks = clicks.withColumn("event_time", F.date_format(hour, "yyyy-MM-dd HH:mm:ss"))
+    return sessionise(clicks, WIDE_GAP, tie_is_unique=unique, max_user_rows=limit)
+
+
+def gold_dirty_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Discovered pages of which two differ in case only and one is called like a counter."""
+    page = (
+        F.when(F.col("current_page") == "search", "page_views")
+        .when((F.col("current_page") == "home") & (F.col("event_id") % 2 == 0), "Home")
+        .otherwise(F.col("current_page"))
+    )
+    clicks = click_events(spark, sf_dir).withColumn("current_page", page)
+    return gold(sessionise(clicks, WIDE_GAP, tie_is_unique=True))
+
+
 def event_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _sessionised(spark, sf_dir).select(
         "event_id", "user_id", "event_timestamp", "prev_time", "time_diff_seconds"
@@ -164,12 +187,33 @@ def density_rounded(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The raw log read as a stream: the sessions the watermark has closed."""
+    """The raw log read as a stream: all its sessions, the open ones too."""
     raw = read_raw_stream(spark, write_click_log(spark, sf_dir))
-    sessions = session_stream(valid_events(raw), FUNNEL_STAGES, WIDE_GAP, lateness="1 hour")
-    path = scratch_path(spark, "stream-sessions")
-    append_sessions(sessions, path).awaitTermination()
-    return read_layer(spark, path)
+    path = scratch_path(spark, "stream-seconds")
+    append_seconds(valid_events(raw), path).awaitTermination()
+    return sessions_so_far(spark, path, gap_seconds=WIDE_GAP)
+
+
+def model_held_out(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the model is measured on; whether it is right is tested, not compared."""
+    sessions = scratch_table(_gold(spark, sf_dir), "gold")
+    return conversion_quality(sessions).select("held_out", "converted")
+
+
+def preview_is_part(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many rows a preview has, and how many of them Gold has."""
+    sessions = scratch_table(_gold(spark, sf_dir), "gold")
+    shown = preview(sessions).select("unique_session_id").withColumn("shown", F.lit(1))
+    both = shown.join(sessions.select("unique_session_id", "start_time"), "unique_session_id", "left")
+    return both.agg(F.count("shown").alias("shown"), F.count("start_time").alias("in_gold"))
+
+
+def layered_bad_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A log in which some times do not parse."""
+    root, log = scratch_path(spark, "layers"), scratch_path(spark, "log")
+    _some_bad_times(spark, sf_dir).drop("event_id").write.json(log)
+    run_layers(spark, log, root, gap_seconds=WIDE_GAP, export_events=False)
+    return read_as_of(spark, root, "bad_times").drop("event_id")
 
 
 def model_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -184,6 +228,9 @@ QUERIES: dict[str, Query] = {
     "sessionise_21600": _sessionise(WIDE_GAP),
     "sessionise_busy_users": lambda s, d: _busy(s, d, unique=True),
     "sessionise_busy_users_any_tie": lambda s, d: _busy(s, d, unique=False),
+    "sessionise_ties": lambda s, d: _tied(s, d, None, unique=True),
+    "sessionise_ties_busy_users": lambda s, d: _tied(s, d, 0, unique=True),
+    "sessionise_ties_busy_users_any_tie": lambda s, d: _tied(s, d, 0, unique=False),
     "sessionise_sub_second": sub_second_gaps,
     "sessionise_without_bad_times": lambda s, d: sessionise(_some_bad_times(s, d), WIDE_GAP),
     "sessionise_keep_null_times": lambda s, d: sessionise(
@@ -202,6 +249,7 @@ QUERIES: dict[str, Query] = {
     "funnel_matrix": lambda s, d: funnel_matrix(_sessionised(s, d), FUNNEL_STAGES),
     "gold": lambda s, d: gold(_sessionised(s, d), FUNNEL_STAGES),
     "gold_discovered_stages": lambda s, d: gold(_sessionised(s, d)),
+    "gold_dirty_pages": gold_dirty_pages,
     "gold_pivot_join": lambda s, d: gold_pivot_join(_sessionised(s, d), FUNNEL_STAGES),
     "gold_from_events": _gold,
     "gold_busy_users": lambda s, d: gold(_busy(s, d, unique=True), FUNNEL_STAGES),
@@ -231,6 +279,12 @@ QUERIES: dict[str, Query] = {
     "gold_csv_roundtrip": gold_csv_roundtrip,
     "gold_parquet_roundtrip": gold_parquet_roundtrip,
     "stream_sessions": stream_sessions,
+    "layered_session_metrics": _layered("session_metrics"),
+    "layered_conversion_by_device": _layered("conversion_by_device"),
+    "layered_conversion_by_browser": _layered("conversion_by_browser"),
+    "layered_bad_times": layered_bad_times,
+    "preview_is_part": preview_is_part,
+    "model_held_out": model_held_out,
     "model_scores": model_scores,
     "preview_gold": lambda s, d: preview(_gold(s, d)),
 }

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+# The raw columns and their types.
 RAW_SCHEMA = T.StructType(
     [
         T.StructField("user_id", T.StringType(), False),
@@ -18,6 +19,7 @@ RAW_COLUMNS = RAW_SCHEMA.fieldNames()
 REQUIRED_COLUMNS = [f.name for f in RAW_SCHEMA.fields if not f.nullable]
 CORRUPT_COLUMN = "_corrupt_record"
 
+# The columns that sessions add, and those of the metrics.
 SESSION_COLUMNS = [
     "event_timestamp",
     "prev_time",

@@ -3,11 +3,27 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from pagetrail.functions.columns import quoted
 
 DEFAULT_FORMAT = "parquet"
-# CSV options: a header, and times with all their digits.
-CSV_OPTIONS = {"header": "true", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
+NULL = "\\N"
+EMPTY = "\\E"
+# CSV options: a header, times with all their digits, and text exactly as it is.
+CSV_OPTIONS = {
+    "header": "true",
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "quote": '"',
+    "escape": '"',
+    "nullValue": NULL,
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
+# What a line break would do to a file of lines is avoided by a backslash and a letter.
+ESCAPES = {"\n": "\\n", "\r": "\\r"}
 
 
 def write_layer(
@@ -40,7 +56,10 @@ def read_layer_if_present(
 
 
 def export_csv(df: DataFrame, path: str, parts: int | None = None) -> None:
-    """A directory of CSV files with a header line each.
+    """A directory of CSV files with a header line each; ``read_csv`` gives the same rows.
+
+    In text, a backslash is doubled, a line break becomes a backslash and a letter, and an
+    empty value ``\\E``; null is ``\\N``. So every row is one line and files can be split.
 
     Written by as many tasks as ``df`` has partitions. Give ``parts`` only for a
     report of fixed size: one part is one task, and ``coalesce`` would also pull the
@@ -48,7 +67,39 @@ def export_csv(df: DataFrame, path: str, parts: int | None = None) -> None:
     """
     if parts is not None:
         df = df.repartition(parts)
-    df.write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
+    columns = [_escaped(f).alias(_escaped_name(f.name)) for f in df.schema.fields]
+    df.select(*columns).write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
+
+
+def _escaped_name(name: str) -> str:
+    for plain, escape in {"\\": "\\\\", **ESCAPES}.items():
+        name = name.replace(plain, escape)
+    return name
+
+
+def _escaped(field: T.StructField) -> Column:
+    column = quoted(field.name)
+    if not isinstance(field.dataType, T.StringType):
+        return column
+    text = column
+    for plain, escape in {"\\": "\\\\", **ESCAPES}.items():
+        text = F.replace(text, F.lit(plain), F.lit(escape))
+    return F.when(column == "", F.lit(EMPTY)).otherwise(text)
+
+
+def _unescaped(field: T.StructField) -> Column:
+    column = quoted(field.name)
+    if not isinstance(field.dataType, T.StringType):
+        return column
+
+    def plain(part: Column) -> Column:
+        for text, escape in ESCAPES.items():
+            part = F.replace(part, F.lit(escape), F.lit(text))
+        return part
+
+    # Between doubled backslashes, a single one can only start an escape.
+    parts = F.transform(F.split(column, r"\\\\", -1), plain)
+    return F.when(column == EMPTY, F.lit("")).otherwise(F.array_join(parts, "\\"))
 
 
 def export_parquet(df: DataFrame, path: str) -> None:
@@ -58,7 +109,10 @@ def export_parquet(df: DataFrame, path: str) -> None:
 
 def read_csv(spark: SparkSession, path: str, schema) -> DataFrame:
     """An export read back with its own schema."""
-    return spark.read.schema(schema).options(**CSV_OPTIONS).csv(path)
+    named = T.StructType([T.StructField(f"c{i}", f.dataType) for i, f in enumerate(schema.fields)])
+    rows = spark.read.schema(named).options(**CSV_OPTIONS).csv(path)
+    columns = zip(named.fields, schema.fields, strict=True)
+    return rows.select(*[_unescaped(n).alias(f.name) for n, f in columns])
 
 
 def preview(df: DataFrame, rows: int = 5) -> DataFrame:

@@ -34,10 +34,27 @@ def mark_complete(spark: SparkSession, root: str, run_id: int) -> None:
 
 
 def mark_started(spark: SparkSession, root: str, run_id: int) -> None:
-    """Hide run ``run_id`` while its tables are being replaced."""
+    """Take the number ``run_id``; the run stays hidden until it is complete.
+
+    A complete run is never replaced: its tables are what readers may go back to.
+    """
+    if not completed_runs(spark, root).filter(F.col("run_id") == run_id).isEmpty():
+        raise ValueError(f"run {run_id} in {root} is complete; take a new number")
     _mark(spark, root, run_id, 0)
 
 
+def next_run_id(spark: SparkSession, root: str) -> int:
+    """One more than the greatest number taken, by a complete run or another."""
+    try:
+        files = spark.read.format("binaryFile").load(f"{_list_path(root)}/*/*.parquet")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return 1
+    number = F.regexp_extract("path", r"run_id=(\d+)", 1).cast("long")
+    return (files.agg(F.max(number)).first()[0] or 0) + 1
+
+
 def _mark(spark: SparkSession, root: str, run_id: int, rows: int) -> None:
     done = spark.range(0, rows, 1, 1).select(F.current_timestamp().alias("completed_at"))
     done.write.mode("overwrite").parquet(f"{_list_path(root)}/run_id={int(run_id)}")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -19,7 +20,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     context = spark.sparkContext
     folder = spark.conf.get(SETTING, None) or context.getCheckpointDir()
     if not folder:
-        if not context.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", context.master):
             raise RuntimeError(f"set {SETTING} to a folder all machines share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="pagetrail-"))
         folder = context.getCheckpointDir()

@@ -1,8 +1,9 @@
-"""Session rows from a folder to which log files are added.
+"""Sessions from a folder to which log files are added.
 
-The stream form of Gold: the same fields per session, written once the watermark
-says that no event can extend the session any more. Sessions are known by their
-user and start, as a running number would need all of a user's earlier sessions.
+Each batch of files is reduced to a row per user and second, which is written once,
+under the number of the batch. Sessions are built from all rows written so far, so no
+event is too late, open sessions are there too, and a batch that is run again after a
+failure replaces its own rows.
 """
 
 from __future__ import annotations
@@ -14,14 +15,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from pagetrail.functions.columns import quoted, seconds_between
-from pagetrail.operators.gold import check_stages, event_second, merged_sessions
+from pagetrail.operators.gold import check_stages, second_rows, sessions_from_seconds
 from pagetrail.operators.sessions import with_event_timestamp
 from pagetrail.schema import CORRUPT_COLUMN, FUNNEL_STAGES, GAP_SECONDS, VALUE_COUNTERS
 from pagetrail.sources.raw import READ_SCHEMA
 from pagetrail.sources.scratch import scratch_path
 
-LATENESS = "1 hour"
-
 
 def read_raw_stream(
     spark: SparkSession, path: str, files_per_batch: int | None = None
@@ -37,25 +36,45 @@ def read_raw_stream(
     return reader.json(path)
 
 
-def session_stream(
+def append_seconds(
     events: DataFrame,
+    path: str,
     stages: Sequence[str] = FUNNEL_STAGES,
-    gap_seconds: int = GAP_SECONDS,
-    lateness: str = LATENESS,
     counters: Mapping[str, tuple[str, str]] = VALUE_COUNTERS,
-) -> DataFrame:
-    """Finished sessions of a stream of valid events.
+    checkpoint: str | None = None,
+    once: bool = True,
+) -> StreamingQuery:
+    """Append a stream of valid events, per user and second, to the folder ``path``.
 
-    An event later than ``lateness`` behind the newest one is not counted. Partial
-    sessions are merged before the shuffle, as in ``gold_from_events``.
+    Progress is kept in ``checkpoint``; give the same folder to go on after a stop.
+    With ``once`` the query ends when it has read what is there now. Events whose time
+    does not parse are left out, as in ``gold_from_events``.
     """
-    stages = check_stages(stages, counters)
-    timed = (
-        with_event_timestamp(events)
-        .withColumn("second", event_second())
-        .withWatermark("second", lateness)
-    )
-    return merged_sessions(timed, stages, gap_seconds, counters).select(
+    columns = {stage: stage for stage in check_stages(stages, counters)}
+
+    def write(batch: DataFrame, number: int) -> None:
+        timed = with_event_timestamp(batch).filter(F.col("event_timestamp").isNotNull())
+        rows = second_rows(timed, columns, counters)
+        rows.write.mode("overwrite").parquet(f"{path}/batch={number}")
+
+    writer = events.writeStream.foreachBatch(write)
+    writer = writer.option("checkpointLocation", checkpoint or scratch_path(events.sparkSession, "stream"))
+    if once:
+        writer = writer.trigger(availableNow=True)
+    return writer.start()
+
+
+def sessions_so_far(
+    spark: SparkSession,
+    path: str,
+    stages: Sequence[str] = FUNNEL_STAGES,
+    gap_seconds: int = GAP_SECONDS,
+    counters: Mapping[str, tuple[str, str]] = VALUE_COUNTERS,
+) -> DataFrame:
+    """Gold's fields of every session of the events appended up to now."""
+    columns = {stage: stage for stage in check_stages(stages, counters)}
+    seconds = spark.read.parquet(path).drop("batch")
+    return sessions_from_seconds(seconds, columns, gap_seconds, counters).select(
         "user_id",
         "start_time",
         "end_time",
@@ -64,19 +83,3 @@ def session_stream(
         seconds_between(F.col("end_time"), F.col("start_time")).alias("duration_seconds"),
         *[quoted(s) for s in stages],
     )
-
-
-def append_sessions(
-    sessions: DataFrame, path: str, checkpoint: str | None = None, once: bool = True
-) -> StreamingQuery:
-    """Append finished sessions to the Parquet folder ``path``, each exactly once.
-
-    Progress is kept in ``checkpoint``; give the same folder to go on after a stop.
-    With ``once`` the query ends when it has read what is there now.
-    """
-    progress = checkpoint or scratch_path(sessions.sparkSession, "stream")
-    writer = sessions.writeStream.format("parquet").outputMode("append")
-    writer = writer.option("checkpointLocation", progress)
-    if once:
-        writer = writer.trigger(availableNow=True)
-    return writer.start(path)

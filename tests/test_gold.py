@@ -17,6 +17,7 @@ from pagetrail.operators.gold import (
     gold_from_events,
     gold_pivot_join,
     session_stats,
+    stage_columns,
 )
 from pagetrail.operators.reports import (
     conversion_by,
@@ -25,6 +26,7 @@ from pagetrail.operators.reports import (
     total_sessions,
 )
 from pagetrail.operators.sessions import sessionise
+from pagetrail.schema import FUNNEL_STAGES
 
 SCHEMA = (
     "event_id bigint, user_id string, event_time string, current_page string, "
@@ -250,3 +252,26 @@ def test_density_equals_the_formula(spark):
 
 def test_page_views_add_up_to_the_events(clicks, silver):
     assert sum(r.page_views for r in gold(silver).collect()) == clicks.count()
+
+
+def test_discovered_pages_get_columns_of_their_own():
+    pages = ["A", "a", "page_a", "page_views", "User_ID"]
+    assert stage_columns(sorted(pages), {}) == {
+        "A": "A",
+        "User_ID": "page_User_ID",
+        "a": "page_page_a",
+        "page_a": "page_a",
+        "page_views": "page_page_views",
+    }
+
+
+@pytest.mark.parametrize("n", [MAX_COUNTED_STAGES, MAX_COUNTED_STAGES + 1])
+def test_both_plans_for_many_stages_give_the_same_rows(spark, clicks, n):
+    stages = [s for s in FUNNEL_STAGES] + [f"p{i}" for i in range(n - len(FUNNEL_STAGES))]
+    silver = sessionise(clicks, 21_600)
+    rows = gold(silver, stages, extras=[])
+    other = gold_pivot_join(silver, stages, extras=[])
+    assert rows.columns == other.columns and len(rows.columns) == 7 + n
+    assert rows.exceptAll(other).count() == 0 and other.exceptAll(rows).count() == 0
+    again = gold_from_events(clicks, stages, 21_600, extras=[])
+    assert rows.exceptAll(again).count() == 0 and again.count() == rows.count()

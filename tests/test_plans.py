@@ -46,7 +46,8 @@ def jobs_of(spark, make):
 
 def test_gold_needs_one_exchange(clicks, silver):
     assert len(exchanges(gold(silver, FUNNEL_STAGES))) == 1
-    assert len(exchanges(gold_from_events(clicks, FUNNEL_STAGES))) == 1
+    # Seconds, slices and users: see test_a_hot_user_leaves_the_map_side_as_few_rows.
+    assert len(exchanges(gold_from_events(clicks, FUNNEL_STAGES))) == 3
 
 
 def test_no_user_over_the_limit_means_the_plain_plan(clicks):
@@ -162,5 +163,14 @@ def test_a_hot_user_leaves_the_map_side_as_few_rows(spark, tmp_path):
     assert [(r.unique_session_id, r.page_views, r.home) for r in got] == [
         ("hot_1", 200_000, 200_000)
     ]
-    before_shuffle = plan(rows).split("Exchange hashpartitioning")[1]
-    assert "MergingSessions" in before_shuffle
+    ran = plan(rows).split("== Initial Plan ==")[0]
+    keys = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", ran)
+    names = [set(re.findall(r"[a-z_]+(?=#)", k)) for k in keys]
+    assert names == [{"user_id"}, {"user_id", "slice"}, {"user_id", "_groupingexpression"}]
+    assert "MergingSessions" not in ran
+    # What is shuffled by user alone are parts of slices, not events or seconds.
+    by_user = ran.index("Exchange hashpartitioning(user_id#")
+    below = ran[by_user : ran.index("Exchange hashpartitioning(user_id#", by_user + 1)]
+    assert re.search(r"HashAggregate\(keys=\[user_id#\d+, slice#\d+L, part#\d+L\]", below)
+    # Before the first shuffle the events of a second are combined.
+    assert "partial_" in ran.split("Exchange hashpartitioning")[-1]

@@ -32,6 +32,9 @@ from pagetrail.sources.runs import (
 from pagetrail.sources.scratch import scratch_path, scratch_table
 
 
+GOLD_COUNTERS = {"page_views", "mobile_sessions", "chrome_sessions", "duration_seconds"}
+
+
 def click(user="u", time="2024-01-01 10:00:00", page="home", **more):
     return json.dumps({"user_id": user, "event_time": time, "current_page": page, **more})
 
@@ -136,24 +139,46 @@ def test_a_run_with_given_stages_counts_what_the_reports_need(spark, tmp_path):
     assert read_as_of(spark, root, "conversion_by_hour").first().converted == 1
 
 
-def test_a_repeated_run_replaces_the_first(spark, tmp_path, log):
+def test_a_second_run_is_a_new_version(spark, tmp_path, log):
     root = str(tmp_path / "out")
-    run_layers(spark, log, root, keep_null_times=False)
+    assert run_layers(spark, log, root, keep_null_times=False).run_id == 1
     (tmp_path / "other.json").write_text(click())
-    run_layers(spark, str(tmp_path / "other.json"), root)
+    assert run_layers(spark, str(tmp_path / "other.json"), root).run_id == 2
     assert read_as_of(spark, root, "silver").count() == 1
-    assert read_layer_if_present(spark, layer_path(root, 1, "bad_times")) is None
+    assert read_layer_if_present(spark, layer_path(root, 2, "bad_times")) is None
+    assert read_as_of(spark, root, "silver", 1).count() == 6
+    with pytest.raises(ValueError):
+        run_layers(spark, log, root, run_id=2)
 
 
 def test_a_run_that_breaks_off_is_not_visible(spark, tmp_path, log, monkeypatch):
     root = str(tmp_path / "out")
     run_layers(spark, log, root)
     assert run_as_of(spark, root) == 1
-    monkeypatch.setattr("pagetrail.plans.layered_run.gold", None)
-    with pytest.raises(TypeError):
-        run_layers(spark, log, root)
-    with pytest.raises(LookupError):
-        run_as_of(spark, root)
+    with monkeypatch.context() as patch:
+        patch.setattr("pagetrail.plans.layered_run.gold", None)
+        with pytest.raises(TypeError):
+            run_layers(spark, log, root)
+    assert run_as_of(spark, root) == 1
+    assert read_as_of(spark, root, "gold").count() == 6
+    assert run_layers(spark, log, root).run_id == 3
+
+
+def test_dirty_pages_lose_no_event(spark, tmp_path):
+    pages = ["home", "Home", "user_id", "page_views", "page_home", "a b", "x.y"]
+    (tmp_path / "log.json").write_text("\n".join(click(page=p) for p in pages))
+    root = str(tmp_path / "out")
+    run_layers(spark, str(tmp_path / "log.json"), root)
+    row = read_as_of(spark, root, "gold").first().asDict()
+    stages = {c: n for c, n in row.items() if isinstance(n, int) and c not in GOLD_COUNTERS}
+    assert sum(stages.values()) == row["page_views"] == len(pages)
+    assert stages["Home"] == 1 and stages["page_page_home"] == 1
+
+
+def test_command_line_on_a_log_without_valid_events(spark, tmp_path, capsys):
+    (tmp_path / "log.json").write_text("{broken\n")
+    assert main(["run", str(tmp_path / "log.json"), str(tmp_path / "out")]) == 0
+    assert "1 events read, 1 rejected" in capsys.readouterr().out
 
 
 def test_busy_users_change_no_layer(spark, tmp_path, log):
@@ -207,6 +232,17 @@ def test_exports(spark, tmp_path):
     assert preview(spark.range(100)).count() == 5
 
 
+def test_csv_gives_back_every_text(spark, tmp_path):
+    texts = [" home ", "\thome\t", "a\nb", "a\r\nb", "", None, "\\N", "\\E", "\\n", "a\\", '"', '""', ",", "'"]
+    texts += ['a"b,c', "\\\\n", "null", "é\u3000", "# x", "\\\n"]
+    rows = [(i, t, t) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "n long, `a\nb, \"c\\` string, s string")
+    export_csv(df, str(tmp_path / "csv"))
+    got = read_csv(spark, str(tmp_path / "csv"), df.schema)
+    assert got.columns == df.columns
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, df.collect()))
+
+
 def test_a_missing_layer_is_none_and_other_errors_are_raised(spark, tmp_path):
     assert read_layer_if_present(spark, str(tmp_path / "nothing")) is None
     with pytest.raises(Exception):
