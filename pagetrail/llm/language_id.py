@@ -22,6 +22,7 @@ from pagetrail.llm.text import LOWER_ALNUM, as_bytes
 HIDDEN = 8  # units of each direction
 SEGMENT = 64  # bytes that are read together
 SAMPLED_TEXTS = 500  # of each language, at most, that the network is trained on
+SPARE = 8  # times as many rows are ranked, in case texts without letters are among them
 SAMPLED_CHARACTERS = 320  # of each of these
 EPOCHS = 14
 BATCH = 256
@@ -213,10 +214,18 @@ def train(
     """A network for the languages of the rows where ``learns`` holds; None without any.
 
     It sees at most ``texts`` rows of each language, those with the smallest hashes of
-    key and text, and a stretch of ``SAMPLED_CHARACTERS`` of each, from a hashed place on.
+    key and text that have letters, and a stretch of ``SAMPLED_CHARACTERS`` of each, from a hashed place on.
     """
-    usable = docs.filter(learns & F.col(lang).isNotNull() & F.col(text).rlike(r"\p{L}"))
+    labelled = docs.filter(learns & F.col(lang).isNotNull())
     order = F.xxhash64(F.col(key), F.col(text))
+    # The smallest hashes lie in a share of their range that yields some times as many.
+    counted = labelled.groupBy(F.col(lang).alias("lang")).agg(F.count("*").alias("n")).collect()
+    near = F.lit(False)
+    for row in counted:
+        share = min(1.0, SPARE * texts / row["n"])
+        low = F.lit(int(-(2**63) + share * (2**64 - 1)) if share < 1 else 2**63 - 1)
+        near = near | ((F.col(lang) == row["lang"]) & (order <= low))
+    usable = labelled.filter(near & F.col(text).rlike(r"\p{L}"))
     room = F.greatest(F.lit(1), F.length(text) - SAMPLED_CHARACTERS)
     first = F.pmod(order, room.cast("long")).cast("int") + 1
     part = F.substr(F.col(text), first, F.lit(SAMPLED_CHARACTERS))

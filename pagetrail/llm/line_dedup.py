@@ -116,14 +116,15 @@ def repeated_runs(
     places = found.groupBy("fingerprint").agg(
         F.min(F.struct("row", "at")).alias("low"), F.max(F.struct("row", "at")).alias("high")
     )
-    shared = places.filter("low <> high").select("fingerprint")
+    # Written, so that adaptive execution can split a hot key of the join below.
+    shared = scratch_table(places.filter("low <> high").select("fingerprint"), "shared")
     candidates = scratch_table(
         found.join(shared, "fingerprint").drop("fingerprint", "at"), "shared-windows"
     )
     content = ["content_1", "content_2"]
     span = F.struct("row", "start", "stop")
     firsts = candidates.groupBy(content).agg(F.min(span).alias("first"), F.max(span).alias("last"))
-    firsts = firsts.filter("first <> last").select(*content, "first")
+    firsts = scratch_table(firsts.filter("first <> last").select(*content, "first"), "firsts")
     later = candidates.join(firsts, content).filter(
         (F.col("row") != F.col("first.row")) | (F.col("start") > F.col("first.stop"))
     )
