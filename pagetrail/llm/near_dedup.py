@@ -73,36 +73,41 @@ def odd_sketch(drawn: np.ndarray) -> np.ndarray:
     return np.packbits(parity).view(np.int64)
 
 
-def _promising(percent: int) -> Column:
-    """Whether the pair's sizes and sketches allow a similarity of ``percent`` hundredths.
+def _limit(percent: int) -> Column:
+    """The most bits in which the sketches of a pair of ``percent`` hundredths may differ.
 
     At similarity s the union has ``(n_a + n_b) / (1 + s)`` members, which fill about m
-    parts, and about ``s * m`` samples are common, so ``parts_a + parts_b - 2 * s * m``
-    are not. These set an expected number of bits; a pair is dropped if it has more by
-    five standard deviations. These come from drawing m of the union's members without
-    replacement, and from samples that fall on one bit.
+    parts, and about ``s * m`` samples are common. The parts that each set fills vary
+    together with m, so they are expected numbers too, and those of two sets of equal
+    size, which fill most. The samples that are not common set an expected number of
+    bits; a pair may have more by five standard deviations. These come from drawing m of
+    the union's members without replacement, and from samples that fall on one bit.
     """
     s, all_parts = percent / 100, 1 << PARTS
-    union = (F.col("n_a") + F.col("n_b")) / (1 + s)
+    members = F.col("n_a") + F.col("n_b")
+    union = members / (1 + s)
     filled = all_parts * (1 - F.exp(-union / all_parts))
-    apart = F.greatest(F.lit(0.0), F.col("parts_a") + F.col("parts_b") - 2 * s * filled)
-    left_out = 1 - filled / union
+    apart = 2 * all_parts * (1 - F.exp(-members / (2 * all_parts))) - 2 * s * filled
     decay = F.exp(-4 * apart / BITS)
     odd = BITS / 2 * (1 - F.sqrt(decay))
-    from_samples = decay * 4 * filled * s * (1 - s) * left_out
+    from_samples = decay * 4 * filled * s * (1 - s) * (1 - filled / union)
     from_bits = BITS / 4 * (1 - decay - 4 * apart / BITS * decay)
+    return odd + 2 + DEVIATIONS * F.sqrt(F.greatest(F.lit(0.0), from_samples + from_bits))
+
+
+def _promising(percent: int) -> Column:
+    """Whether the pair's sizes and sketches allow a similarity of ``percent`` hundredths."""
     differ = [
         F.bit_count(F.col("sketch_a")[i].bitwiseXOR(F.col("sketch_b")[i]))
         for i in range(BITS // 64)
     ]
     sizes = 100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
-    limit = odd + 2 + DEVIATIONS * F.sqrt(F.greatest(F.lit(0.0), from_samples + from_bits))
-    return sizes & (reduce(lambda a, b: a + b, differ) <= limit)
+    return sizes & (reduce(lambda a, b: a + b, differ) <= _limit(percent))
 
 
 def signatures(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``key``, ``text_hash``, ``n_shingles``, ``set_id``, ``bands``, half of each
-    band's bits (``codes``), ``parts`` and ``sketch``."""
+    band's bits (``codes``) and ``sketch``."""
     source = docs.select(
         F.col(key).alias("key"),
         F.xxhash64(F.col(text)).alias("text_hash"),
@@ -116,7 +121,6 @@ def signatures(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
             T.StructField("set_id", T.BinaryType()),
             T.StructField("bands", T.ArrayType(T.LongType())),
             T.StructField("codes", T.ArrayType(T.IntegerType())),
-            T.StructField("parts", T.IntegerType()),
             T.StructField("sketch", T.ArrayType(T.LongType())),
         ]
     )
@@ -133,7 +137,6 @@ def signatures(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
                 pa.array([set_id(s) for s in sets], pa.binary()),
                 lists(keys, np.full(n, BANDS), pa.int64()),
                 lists(keys.astype(np.int32), np.full(n, BANDS), pa.int32()),
-                pa.array([len(x) for x in drawn], pa.int32()),
                 lists(
                     np.concatenate([odd_sketch(x) for x in drawn]),
                     np.full(n, BITS // 64),
@@ -199,7 +202,7 @@ def near_duplicates(
         raise ValueError("the bands are made for similarities of 0.8 and more")
     rows = scratch_table(signatures(docs, key, text), "signatures")
     linked = rows.filter((F.col("n_shingles") > 0) & F.col("key").isNotNull())
-    columns = ("key", "text_hash", "n_shingles", "bands", "codes", "parts", "sketch")
+    columns = ("key", "text_hash", "n_shingles", "bands", "codes", "sketch")
     first = F.min(F.struct(*columns)).alias("x")
     classes = scratch_table(linked.groupBy("set_id").agg(first).select("set_id", "x.*"), "classes")
 
@@ -216,7 +219,7 @@ def near_duplicates(
         buckets.join(shared, "band").select("number", "band", "b", F.col("set_id").alias("a")),
         "members",
     )
-    sketches = classes.select("set_id", "n_shingles", "parts", "sketch")
+    sketches = classes.select("set_id", "n_shingles", "sketch")
 
     def closest(candidates: DataFrame) -> DataFrame:
         """Of each set's candidates the one it shares most bands with, if it may be similar."""

@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from pagetrail.llm import near_dedup
 from pagetrail.llm.components import components
@@ -80,6 +81,27 @@ def test_sketch_limit_keeps_similar_pairs(spark, vocabulary):
     assert not any(r["ok"] for r in got if r["j"] < 0.6 and r["n_a"] > 30)
 
 
+@pytest.mark.parametrize("percent", [80, 85])
+def test_sketch_limit_keeps_pairs_at_the_threshold(spark, percent):
+    """Pairs exactly at the threshold, of small to large unions, with balanced differences."""
+    rng = np.random.Generator(np.random.PCG64(percent))
+    rows = []
+    for union, pairs in ((20, 3000), (40, 3000), (100, 2000), (400, 2000), (1000, 2000), (4000, 500)):
+        common = percent * union // 100
+        half = (union - common) // 2
+        for _ in range(pairs):
+            members = rng.integers(0, 2**64, union, np.uint64)
+            row = []
+            for own in (members[: common + half], np.r_[members[:common], members[common + half :]]):
+                drawn = near_dedup.part_samples(np.sort(own))
+                row += [len(own), near_dedup.odd_sketch(drawn)]
+            differ = int(np.bitwise_count((row[1] ^ row[3]).view(np.uint64)).sum())
+            rows.append((union, row[0], row[2], differ))
+    schema = "union int, n_a int, n_b int, differ int"
+    lost = spark.createDataFrame(rows, schema).filter(F.col("differ") > near_dedup._limit(percent))
+    assert lost.groupBy("union").count().collect() == []
+
+
 def test_minhash_estimates_similarity():
     rng = np.random.Generator(np.random.PCG64(1))
     x = np.sort(rng.integers(0, 2**64, 1000, np.uint64))
