@@ -8,6 +8,7 @@ distinct edges between hosts, and their shares decide for each host.
 
 from __future__ import annotations
 
+import itertools
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -18,6 +19,7 @@ from pagetrail.sources.scratch import scratch_table
 
 DAMPING = 0.85
 ITERATIONS = 10
+TOLERANCE = 1e-6  # by which a host's value may still change, in parts of it, when steps end
 THRESHOLD = 0.8  # the share of distrust from which a host is blocked
 
 _AUTHORITY = r"(?s)^.*?://([^/?#]*)([^?#]*)"
@@ -91,13 +93,18 @@ def host_edges(pages: DataFrame, url: str = "url", html: str = "html") -> DataFr
 
 
 def propagate(
-    edges: DataFrame, seeds: DataFrame, iterations: int = ITERATIONS, damping: float = DAMPING
+    edges: DataFrame,
+    seeds: DataFrame,
+    iterations: int | None = ITERATIONS,
+    damping: float = DAMPING,
 ) -> DataFrame:
     """``node``, ``trust`` and ``distrust`` of every host that any of it reaches.
 
     ``edges`` has src, dst and n; ``seeds`` has node, ``allowed`` and ``blocked`` (how
     much of each starts there; each is scaled to a sum of one). A step passes a host's
-    value on in proportion to its links; what has no link to follow is lost.
+    value on in proportion to its links; what has no link to follow is lost. Without
+    ``iterations`` steps go on until none reaches another host and no host's value
+    changes by more than ``TOLERANCE`` of itself, however small it is.
     """
     ahead = edges.select(F.lit("trust").alias("kind"), "src", "dst", "n")
     back = edges.select(
@@ -121,14 +128,17 @@ def propagate(
     ]
     start = scratch_table(start[0].union(start[1]), "seeds")
     again = start.withColumn("value", (1 - damping) * F.col("value"))
-    ranks = start
-    for step in range(iterations):
+    ranks = written = start
+    for step in itertools.count() if iterations is None else range(iterations):
         share = damping * F.col("share") * F.col("value")
         passed = both.join(ranks.withColumnRenamed("node", "src"), ["kind", "src"])
         passed = passed.select("kind", F.col("dst").alias("node"), share.alias("value"))
         ranks = passed.union(again).groupBy("kind", "node").agg(F.sum("value").alias("value"))
-        if step % 5 == 4 or step == iterations - 1:
+        if step % 5 == 4 or step + 1 == iterations:
             ranks = scratch_table(ranks, "ranks")
+            if iterations is None and _settled(written, ranks):
+                break
+            written = ranks
     sides = {
         kind: F.sum(F.when(F.col("kind") == kind, F.col("value")).otherwise(0.0)).alias(kind)
         for kind in ("trust", "distrust")
@@ -136,6 +146,14 @@ def propagate(
     return ranks.groupBy("node").agg(*sides.values())
 
 
+def _settled(before: DataFrame, after: DataFrame) -> bool:
+    """Whether all values of ``after`` were there before, but for the tolerance."""
+    old = before.withColumnRenamed("value", "old")
+    change = F.abs(F.col("value") - F.coalesce("old", F.lit(0.0)))
+    changed = after.join(old, ["kind", "node"], "left").filter(change > TOLERANCE * F.col("value"))
+    return changed.isEmpty()
+
+
 def judge_pages(
     pages: DataFrame,
     rules: tuple[Rule, ...] = RULES,
@@ -160,7 +178,8 @@ def judge_pages(
         F.count(F.when(F.col("_allow"), 1)).alias("allowed"),
         F.count(F.when(~F.col("_allow"), 1)).alias("blocked"),
     )
-    ranks = propagate(host_edges(pages, url, html), scratch_table(seeds, "rule-hosts"))
+    seeds = scratch_table(seeds, "rule-hosts")
+    ranks = propagate(host_edges(pages, url, html), seeds, iterations=None)
     share = F.col("distrust") / F.nullif(F.col("trust") + F.col("distrust"), F.lit(0.0))
     bad = ranks.filter(share >= threshold).select(
         F.col("node").alias("host"), F.lit(True).alias("_bad")

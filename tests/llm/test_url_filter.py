@@ -110,6 +110,33 @@ def test_hosts_that_link_to_blocked_ones_are_blocked(spark):
     }
 
 
+def test_hosts_far_from_blocked_ones_are_blocked(spark):
+    """A chain of 30 hosts to a blocked one, and one as long from an allowed host."""
+    rows = [(0, "http://bad.com/de/", None), (100, "http://good.org/", '<a href="//t1.net/">')]
+    rows += [(i, f"http://h{i}.net/", f'<a href="//h{i - 1}.net/">') for i in range(2, 31)]
+    rows += [(1, "http://h1.net/", '<a href="http://bad.com/de/">')]
+    rows += [(100 + i, f"http://t{i}.net/", f'<a href="//t{i + 1}.net/">') for i in range(1, 31)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r["page_id"]: r["verdict"] for r in url_filter.judge_pages(pages).collect()}
+    assert got == {r[0]: "block" if r[0] < 100 else "allow" for r in rows}
+
+
+def test_steps_go_on_until_values_settle(spark):
+    edges = [("a", "b", 3), ("b", "c", 1), ("c", "a", 2), ("d", "c", 1), ("e", "d", 5), ("b", "f", 1)]
+    edges += [(f"f{i or ''}", f"f{i + 1}", 1) for i in range(14)]
+    seeds = [("a", 4, 0), ("b", 1, 1), ("c", 0, 3)]
+    got = url_filter.propagate(
+        spark.createDataFrame(edges, "src string, dst string, n long"),
+        spark.createDataFrame(seeds, "node string, allowed long, blocked long"),
+        iterations=None,
+    ).collect()
+    for side, column in (("trust", 1), ("distrust", 2)):
+        want = propagated(edges, {s[0]: s[column] for s in seeds}, side, iterations=400)
+        have = {r["node"]: r[side] for r in got if r[side] > 0}
+        assert have.keys() == want.keys()
+        assert all(abs(have[n] - want[n]) < 1e-5 * want[n] for n in have)
+
+
 def test_edges_and_empty(spark):
     rows = [(1, "http://a.org/", "x"), (1, "http://a.org/", "x"), (None, None, None), (2, "", "y" * 10**6)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string")
