@@ -405,19 +405,23 @@ def encode(
 
 
 def decode(
-    df: DataFrame, path: str, ids: str = "ids", keep: tuple[str, ...] = ("doc_id", "ids")
+    df: DataFrame,
+    path: str,
+    ids: str = "ids",
+    keep: tuple[str, ...] = ("doc_id", "ids"),
+    readable: bool = False,
 ) -> DataFrame:
-    """The ``keep`` columns and ``decoded``: the text the tokenizer's decoder makes of the ids."""
+    """The ``keep`` columns and ``decoded``: the text the tokenizer's decoder makes of the ids,
+    or if ``readable`` what ``TextDecoder`` makes of their bytes."""
     shared = _shared(df, path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = tokenizer_of(shared.value)
+        text_of = tokenizer.text if readable else tokenizer.decode
         for batch in slices(batches, "_ids", 1 << 20):
             column = batch.column("_ids")
             at, flat = offsets(column), column.values.to_numpy(zero_copy_only=False)
-            texts = [
-                tokenizer.decode(flat[a:b]) for a, b in zip(at, at[1:], strict=False)
-            ]
+            texts = [text_of(flat[a:b]) for a, b in zip(at, at[1:], strict=False)]
             arrays = [batch.column(c) for c in keep]
             yield pa.RecordBatch.from_arrays(
                 [*arrays, pa.array(texts, pa.string())], [*keep, "decoded"]

@@ -86,6 +86,16 @@ def test_readable_text(ours):
     )
 
 
+def test_readable_text_of_rows(spark):
+    texts = ["Größe 日本 naïve<|endoftext|>x", "a \U0001f600", "", None, "word " * 5000]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = bpe.decode(bpe.encode(docs, PATH), PATH, keep=("doc_id",), readable=True)
+    assert got.columns == ["doc_id", "decoded"]
+    assert {r["doc_id"]: r["decoded"] for r in got.collect()} == dict(
+        enumerate(["größe 日本 naïve <|endoftext|>x ", "a \U0001f600 ", "", "", "word " * 5000])
+    )
+
+
 def test_edge_rows(spark):
     rows = [(1, "a b"), (None, "a b"), (2, None), (3, ""), (4, "x" * 100_000), (1, "a b")]
     docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 AS ids")
