@@ -1,4 +1,4 @@
-"""The registered queries of the ten operators, each over its whole tables."""
+"""The registered queries of the operators on text and vectors, each over its whole tables."""
 
 from __future__ import annotations
 
@@ -19,6 +19,7 @@ from pagetrail.llm import (
     toxicity,
     url_filter,
     warc,
+    whitening,
 )
 from pagetrail.llm.text import fold, table
 from pagetrail.sources.scratch import scratch_path
@@ -119,6 +120,10 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_near_dedup": op2_near_dedup,
@@ -130,4 +135,5 @@ QUERIES: dict[str, Query] = {
     "op8_line_dedup": op8_line_dedup,
     "op9_bpe": op9_bpe,
     "op10_lm_scoring": op10_lm_scoring,
+    "op11_whitening": op11_whitening,
 }
