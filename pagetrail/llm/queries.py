@@ -11,9 +11,11 @@ from pyspark.sql import functions as F
 from pagetrail.llm import (
     bpe,
     decontaminate,
+    fingerprints,
     language_id,
     line_dedup,
     lm,
+    merkle,
     near_dedup,
     quality_rules,
     toxicity,
@@ -124,6 +126,15 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
 
 
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.proofs(table(spark, sf_dir, "documents"))
+
+
+def op13_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return fingerprints.edited_neighbours(docs)
+
+
 QUERIES: dict[str, Query] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_near_dedup": op2_near_dedup,
@@ -136,4 +147,6 @@ QUERIES: dict[str, Query] = {
     "op9_bpe": op9_bpe,
     "op10_lm_scoring": op10_lm_scoring,
     "op11_whitening": op11_whitening,
+    "op12_merkle": op12_merkle,
+    "op13_fingerprints": op13_fingerprints,
 }
