@@ -218,6 +218,28 @@ SELECT unique_session_id, {_hits(GOLD_STAGES)} FROM silver GROUP BY unique_sessi
     "gold_pivot_join": _gold(),
     "gold_from_events": _gold(),
     "gold_busy_users": _gold(),
+    "sparse_funnel": f"""WITH {CLICKS}, {_silver(WIDE_GAP)}
+SELECT unique_session_id, current_page AS page, count(*) AS hits FROM silver
+WHERE current_page IS NOT NULL GROUP BY ALL""",
+    "sparse_gold_widened": _gold(),
+    "page_reach": f"""WITH {CLICKS}, {_silver(WIDE_GAP)}
+SELECT current_page AS page, count(DISTINCT unique_session_id) AS sessions,
+  100.0::DOUBLE * count(DISTINCT unique_session_id)
+    / (SELECT count(DISTINCT unique_session_id) FROM silver) AS pct,
+  count(*) AS hits FROM silver WHERE current_page IS NOT NULL GROUP BY 1""",
+    "incremental_silver": f"""WITH {LOG}, kept AS (SELECT * FROM log WHERE {VALID}),
+{_silver(WIDE_GAP, "kept")}, starts AS (
+  SELECT *, min(event_timestamp) OVER (PARTITION BY unique_session_id) AS session_start FROM silver
+)
+SELECT {RAW}, {SESSION}, session_start, CAST(session_start AS DATE) AS day FROM starts""",
+    "incremental_gold": f"""{_logged()}
+SELECT *, CAST(start_time AS DATE) AS day FROM gold""",
+    "quarantine_reasons": f"""WITH {LOG}
+SELECT CASE WHEN _corrupt_record IS NOT NULL THEN 'malformed' ELSE 'missing user_id' END AS reason,
+  count(*) AS events FROM log WHERE NOT ({VALID}) GROUP BY 1""",
+    "replayed_events": f"""WITH {LOG}
+SELECT coalesce(user_id, 'nobody') AS user_id, event_time, current_page, url, browser, device
+FROM log WHERE _corrupt_record IS NULL""",
     "total_sessions": f"{_gold_ctes()} SELECT count(*) AS total_sessions FROM gold",
     "funnel_counts": _funnel(REPORT_STAGES, pct=False),
     "funnel_counts_present": _funnel(

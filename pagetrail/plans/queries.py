@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,8 +30,16 @@ from pagetrail.operators.reports import (
     total_sessions,
 )
 from pagetrail.operators.sessions import session_metrics, sessionise, unparsed_times
+from pagetrail.operators.sparse import page_reach, sparse_funnel, sparse_gold, widened
+from pagetrail.plans.increments import (
+    ingest_days,
+    read_bronze_days,
+    read_gold,
+    read_silver,
+    run_increment,
+)
 from pagetrail.plans.layered_run import ingest, read_bronze, run_layers
-from pagetrail.schema import FUNNEL_STAGES, GAP_SECONDS, LEGACY_GAP_SECONDS
+from pagetrail.schema import CORRUPT_COLUMN, FUNNEL_STAGES, GAP_SECONDS, LEGACY_GAP_SECONDS
 from pagetrail.sources.click_log import write_click_log
 from pagetrail.sources.events_table import click_events
 from pagetrail.sources.layers import (
@@ -41,6 +50,7 @@ from pagetrail.sources.layers import (
     read_layer,
     write_layer,
 )
+from pagetrail.sources.quarantine import read_quarantine, reason_counts, replay
 from pagetrail.sources.raw import read_raw_json, rejected_count, rejected_events, valid_events
 from pagetrail.sources.runs import layer_path, mark_complete, read_as_of
 from pagetrail.sources.scratch import scratch_path, scratch_table
@@ -63,7 +73,7 @@ def _sessionised(spark: SparkSession, sf_dir: str, gap: int = WIDE_GAP, **option
 
 
 def _gold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gold_from_events(click_events(spark, sf_dir), FUNNEL_STAGES, WIDE_GAP)
+    return gold(_sessionised(spark, sf_dir), FUNNEL_STAGES)
 
 
 def _sessionise(gap: int, **options) -> Query:
@@ -216,6 +226,46 @@ def layered_bad_times(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_as_of(spark, root, "bad_times").drop("event_id")
 
 
+def _two_increments(spark: SparkSession, sf_dir: str) -> str:
+    """The raw log in layers by day, taken in by two runs; the folder."""
+    root = scratch_path(spark, "days")
+    ingest_days(spark, write_click_log(spark, sf_dir), root, "log")
+    ends = read_bronze_days(spark, root, None, dt.date.max).agg(
+        F.min(F.to_date("event_time")).alias("lo"), F.max(F.to_date("event_time")).alias("hi")
+    )
+    lo, hi = ends.first()
+    for upto in (lo + (hi - lo) / 2, hi):
+        run_increment(spark, root, upto, WIDE_GAP)
+    return root
+
+
+def incremental_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events of two runs over halves of the log; ``day`` is where their session starts."""
+    silver = read_silver(spark, _two_increments(spark, sf_dir))
+    return silver.drop("event_key")
+
+
+def incremental_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sessions of two runs over halves of the log, those still open too."""
+    return widened(read_gold(spark, _two_increments(spark, sf_dir)), FUNNEL_STAGES)
+
+
+def quarantine_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = scratch_path(spark, "days")
+    ingest_days(spark, write_click_log(spark, sf_dir), root, "log")
+    return reason_counts(read_quarantine(spark, root))
+
+
+def replayed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events after the rejected ones without a user were given one, twice."""
+    root = scratch_path(spark, "days")
+    ingest_days(spark, write_click_log(spark, sf_dir), root, "log")
+    rejected = read_quarantine(spark, root).filter(F.col(CORRUPT_COLUMN).isNull())
+    for _ in range(2):
+        replay(rejected.withColumn("user_id", F.lit("nobody")), root)
+    return read_bronze_days(spark, root, None, dt.date.max).drop("event_key")
+
+
 def model_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     sessions = scratch_table(_gold(spark, sf_dir), "gold")
     return conversion_scores(train_conversion_model(sessions), sessions)
@@ -247,13 +297,23 @@ QUERIES: dict[str, Query] = {
         _sessionised(s, d, LEGACY_GAP_SECONDS), counters={}
     ),
     "funnel_matrix": lambda s, d: funnel_matrix(_sessionised(s, d), FUNNEL_STAGES),
-    "gold": lambda s, d: gold(_sessionised(s, d), FUNNEL_STAGES),
+    "gold": _gold,
     "gold_discovered_stages": lambda s, d: gold(_sessionised(s, d)),
     "gold_dirty_pages": gold_dirty_pages,
     "gold_pivot_join": lambda s, d: gold_pivot_join(_sessionised(s, d), FUNNEL_STAGES),
-    "gold_from_events": _gold,
+    "gold_from_events": lambda s, d: gold_from_events(
+        click_events(s, d), FUNNEL_STAGES, WIDE_GAP
+    ),
     "gold_busy_users": lambda s, d: gold(_busy(s, d, unique=True), FUNNEL_STAGES),
+    "sparse_funnel": lambda s, d: sparse_funnel(_sessionised(s, d)),
+    "sparse_gold_widened": lambda s, d: widened(sparse_gold(_sessionised(s, d)), FUNNEL_STAGES),
+    # Runs over a growing log.
+    "incremental_silver": incremental_silver,
+    "incremental_gold": incremental_gold,
+    "quarantine_reasons": quarantine_reasons,
+    "replayed_events": replayed_events,
     # Reports.
+    "page_reach": lambda s, d: page_reach(sparse_gold(_sessionised(s, d))),
     "total_sessions": lambda s, d: total_sessions(_gold(s, d)),
     "funnel_counts": lambda s, d: funnel_report(_gold(s, d)).drop("pct"),
     "funnel_counts_present": lambda s, d: funnel_report(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,6 +12,7 @@ from pyspark.sql import types as T
 from pagetrail.functions.columns import quoted
 
 DEFAULT_FORMAT = "parquet"
+FILES_A_DAY = 64  # at most
 NULL = "\\N"
 EMPTY = "\\E"
 # CSV options: a header, times with all their digits, and text exactly as it is.
@@ -27,18 +30,35 @@ ESCAPES = {"\n": "\\n", "\r": "\\r"}
 
 
 def write_layer(
-    df: DataFrame, path: str, fmt: str = DEFAULT_FORMAT, replace_schema: bool = False
+    df: DataFrame,
+    path: str,
+    fmt: str = DEFAULT_FORMAT,
+    replace_schema: bool = False,
+    by: Sequence[str] = (),
 ) -> None:
-    """Overwrite the table at ``path``.
+    """Overwrite the table at ``path``, with a folder per value of the columns ``by``.
 
     Parquet takes the new schema as it is; a Delta table needs ``replace_schema``.
     """
-    writer = df.write.format(fmt).mode("overwrite")
+    writer = df.write.format(fmt).mode("overwrite").option("partitionOverwriteMode", "static")
     if replace_schema and fmt == "delta":
         writer = writer.option("overwriteSchema", "true")
+    if by:
+        writer = writer.partitionBy(*by)
     writer.save(path)
 
 
+def write_days(df: DataFrame, path: str, day: str = "day") -> None:
+    """Replace the days that ``df`` has rows of, and leave all others as they are.
+
+    A day's rows are dealt to a bounded number of files by their content, so that neither a
+    task writes a file per day nor a large day is one task's.
+    """
+    dealt = df.repartition(day, F.pmod(F.xxhash64(*df.columns), F.lit(FILES_A_DAY)))
+    writer = dealt.write.format(DEFAULT_FORMAT).mode("overwrite")
+    writer.option("partitionOverwriteMode", "dynamic").partitionBy(day).save(path)
+
+
 def read_layer(spark: SparkSession, path: str, fmt: str = DEFAULT_FORMAT) -> DataFrame:
     return spark.read.format(fmt).load(path)
 
