@@ -197,3 +197,90 @@ ORACLES: dict[str, str] = {
     "op1_decontaminate": CONTAMINATION,
     "op6_quality_rules": QUALITY,
 }
+
+
+MERKLE_LEVELS, MERKLE_SOURCE_LEVELS = 6, 4  # of documents and of sources: 16^6 and 16^4 leaves
+
+
+def _hashed(fields: list[str]) -> str:
+    parts = [
+        f"CASE WHEN {f} IS NULL THEN '-' ELSE strlen(CAST({f} AS VARCHAR)) || ':' || {f} END"
+        for f in fields
+    ]
+    return f"sha256({' || '.join(parts)})"
+
+
+def _tree_levels(name: str, levels: int) -> str:
+    """CTEs ``<name>0`` (given as tree, i, h) to ``<name><levels>``, and ``<name>_s<k>`` with the
+    siblings of each node of a level that has more than one."""
+    ctes = []
+    for k in range(levels):
+        below, many = f"{name}{k}", f"{name}_m{k}"
+        ctes.append(
+            f"{many} AS (SELECT *, count(*) OVER (PARTITION BY tree) AS size FROM {below})"
+        )
+        ctes.append(
+            f"""{name}_s{k} AS (
+  SELECT a.tree, a.i, coalesce(string_agg(b.h, '' ORDER BY b.i) FILTER (b.i < a.i), '') AS before,
+    coalesce(string_agg(b.h, '' ORDER BY b.i) FILTER (b.i > a.i), '') AS after
+  FROM {many} a JOIN {many} b ON a.tree = b.tree AND a.i // 16 = b.i // 16
+  WHERE a.size > 1 GROUP BY ALL)"""
+        )
+        ctes.append(
+            f"""{name}{k + 1} AS (
+  SELECT tree, i // 16 AS i, sha256(string_agg(h, '' ORDER BY i)) AS h FROM {many}
+  WHERE size > 1 GROUP BY ALL
+  UNION ALL SELECT tree, i, h FROM {many} WHERE size = 1)"""
+        )
+    return ",\n".join(ctes)
+
+
+def _climb(rows: str, name: str, levels: int, tree: str, index: str) -> str:
+    """``rows`` with ``proof`` and ``node`` taken up through the levels, one CTE for each."""
+    ctes = []
+    for k in range(levels):
+        ctes.append(
+            f"""{rows}_{name}{k + 1} AS (
+  SELECT d.* REPLACE (proof || coalesce(before || after, '') AS proof,
+    CASE WHEN before IS NULL THEN node ELSE sha256(before || node || after) END AS node)
+  FROM {rows}_{name}{k} d LEFT JOIN {name}_s{k} s
+    ON d.{tree} = s.tree AND d.{index} // {16**k} = s.i)"""
+        )
+    return ",\n".join(ctes)
+
+
+ORACLES["op12_merkle"] = f"""WITH crc AS (
+  SELECT list(c ORDER BY i) AS t FROM (
+    SELECT i, list_reduce(list_prepend(i, range(8)),
+      lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c
+    FROM range(256) r(i))
+), lowered AS (
+  SELECT doc_id, coalesce('=' || source, '') AS tree,
+    {_hashed(["doc_id", "source", "lang", "n_chars", "text"])} AS leaf,
+    {_hashed(["doc_id", "source", "lang", "n_chars", "low"])} AS changed,
+    xor(list_reduce(list_prepend(4294967295::BIGINT,
+      list_transform(range(1, strlen(CAST(doc_id AS VARCHAR)) + 1),
+        lambda j: ascii(substr(CAST(doc_id AS VARCHAR), j, 1))::BIGINT)),
+      lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 5 = 0 AS tampered
+  FROM (SELECT *, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low
+    FROM documents), crc
+), docs AS (
+  SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i
+  FROM lowered
+), leaf0 AS (SELECT tree, i, leaf AS h FROM docs),
+{_tree_levels("leaf", MERKLE_LEVELS)},
+subroots AS (
+  SELECT tree AS source_tree, h AS subroot, row_number() OVER (ORDER BY tree) - 1 AS place
+  FROM leaf{MERKLE_LEVELS}
+), top0 AS (SELECT '' AS tree, place AS i, subroot AS h FROM subroots),
+{_tree_levels("top", MERKLE_SOURCE_LEVELS)},
+doc_leaf0 AS (
+  SELECT docs.*, subroot, place, '' AS top, '' AS proof,
+    CASE WHEN tampered THEN changed ELSE leaf END AS node
+  FROM docs JOIN subroots ON tree = source_tree
+), {_climb("doc", "leaf", MERKLE_LEVELS, "tree", "i")},
+doc_top0 AS (SELECT * FROM doc_leaf{MERKLE_LEVELS}),
+{_climb("doc", "top", MERKLE_SOURCE_LEVELS, "top", "place")}
+SELECT doc_id, leaf, subroot, r.h AS root, sha256(proof) AS proof_sha256, node AS folded_root,
+  node = r.h AS verified
+FROM doc_top{MERKLE_SOURCE_LEVELS}, top{MERKLE_SOURCE_LEVELS} r"""
