@@ -44,14 +44,7 @@ from pagetrail.sources.layers import (
     write_layer,
 )
 from pagetrail.sources.raw import read_raw_json
-from pagetrail.sources.runs import (
-    layer_path,
-    mark_complete,
-    mark_started,
-    next_run_id,
-    run_as_of,
-    run_path,
-)
+from pagetrail.sources.runs import claim_run, layer_path, mark_complete, run_as_of, run_path
 from pagetrail.sources.scratch import scratch_table
 
 BRONZE_COLUMNS = RAW_COLUMNS + ["event_id"]
@@ -143,8 +136,7 @@ def run_layers(
     def export(name: str) -> str:
         return f"{run_path(root, run_id)}/export={name}"
 
-    run_id = next_run_id(spark, root) if run_id is None else run_id
-    mark_started(spark, root, run_id)
+    run_id = claim_run(spark, root, run_id)
     counts = ingest(spark, source, root, run_id)
     bronze = read_bronze(spark, root, run_id)
     if export_events:

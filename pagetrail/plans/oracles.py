@@ -294,6 +294,11 @@ SELECT {RAW} FROM shaky WHERE TRY_CAST(event_time AS TIMESTAMP) IS NULL""",
     "preview_is_part": f"""{_gold_ctes()}
 SELECT least(count(*), 5) AS shown, least(count(*), 5) AS in_gold FROM gold""",
     "layer_as_of": _sessions(900),
+    "layer_diff": f"""SELECT coalesce(a.unique_session_id, b.unique_session_id) AS unique_session_id,
+  CASE WHEN a.unique_session_id IS NULL THEN 'added' WHEN b.unique_session_id IS NULL THEN 'removed'
+    ELSE 'changed' END AS change
+FROM ({_sessions(900)}) a FULL JOIN ({_sessions(WIDE_GAP)}) b
+  ON a.unique_session_id = b.unique_session_id WHERE a IS DISTINCT FROM b""",
     "gold_csv_roundtrip": _gold(),
     "gold_parquet_roundtrip": _gold(),
 }

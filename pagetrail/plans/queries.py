@@ -52,7 +52,7 @@ from pagetrail.sources.layers import (
 )
 from pagetrail.sources.quarantine import read_quarantine, reason_counts, replay
 from pagetrail.sources.raw import read_raw_json, rejected_count, rejected_events, valid_events
-from pagetrail.sources.runs import layer_path, mark_complete, read_as_of
+from pagetrail.sources.runs import claim_run, layer_path, mark_complete, read_as_of, run_diff
 from pagetrail.sources.scratch import scratch_path, scratch_table
 from pagetrail.streaming.sessions import append_seconds, read_raw_stream, sessions_so_far
 
@@ -178,6 +178,17 @@ def layer_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_as_of(spark, root, "gold", 2)
 
 
+def layer_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What sessions change if the timeout does, from two runs' tables."""
+    root, runs = scratch_path(spark, "layers"), []
+    for gap in (GAP_SECONDS, WIDE_GAP):
+        runs.append(claim_run(spark, root))
+        sessions = session_stats(_sessionised(spark, sf_dir, gap))
+        write_layer(sessions, layer_path(root, runs[-1], "gold"))
+        mark_complete(spark, root, runs[-1])
+    return run_diff(spark, root, "gold", *runs, ["unique_session_id"])
+
+
 def gold_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     sessions, path = _gold(spark, sf_dir), scratch_path(spark, "gold-csv")
     export_csv(sessions, path)
@@ -336,6 +347,7 @@ QUERIES: dict[str, Query] = {
     "layered_gold": _layered("gold"),
     "layered_funnel": _layered("funnel"),
     "layer_as_of": layer_as_of,
+    "layer_diff": layer_diff,
     "gold_csv_roundtrip": gold_csv_roundtrip,
     "gold_parquet_roundtrip": gold_parquet_roundtrip,
     "stream_sessions": stream_sessions,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from concurrent.futures import ThreadPoolExecutor
 from pathlib import Path
 from types import SimpleNamespace
 
@@ -22,12 +23,17 @@ from pagetrail.sources.layers import (
 )
 from pagetrail.sources.raw import read_raw_json, rejected_count, rejected_events, valid_events
 from pagetrail.sources.runs import (
+    claim_run,
     completed_runs,
     layer_path,
     mark_complete,
+    next_run_id,
     read_as_of,
+    remove_retired,
+    retire_runs,
     run_as_of,
     run_path,
+    table_diff,
 )
 from pagetrail.sources.scratch import scratch_path, scratch_table
 
@@ -213,6 +219,58 @@ def test_versions(spark, tmp_path):
         run_as_of(spark, root, 0)
 
 
+def test_starts_at_one_time_get_their_own_numbers(spark, tmp_path):
+    root = str(tmp_path)
+    with ThreadPoolExecutor(8) as pool:
+        numbers = list(pool.map(lambda _: claim_run(spark, root), range(16)))
+    assert sorted(numbers) == list(range(1, 17))
+    assert next_run_id(spark, root) == 17 and completed_runs(spark, root).isEmpty()
+    assert claim_run(spark, root, 3) == 3  # again after a failure
+    mark_complete(spark, root, 3)
+    with pytest.raises(ValueError):
+        claim_run(spark, root, 3)
+
+
+def test_retention_keeps_what_readers_see(spark, tmp_path):
+    root = str(tmp_path)
+    for _ in range(5):
+        n = claim_run(spark, root)
+        write_layer(spark.range(n), layer_path(root, n, "gold"))
+        if n != 4:  # still running
+            mark_complete(spark, root, n)
+    reader = read_as_of(spark, root, "gold", 2)
+    assert retire_runs(spark, root, 2) == [1, 2]
+    with pytest.raises(LookupError):
+        run_as_of(spark, root, 2)
+    assert remove_retired(spark, root, 3600) == [] and reader.count() == 2
+    assert remove_retired(spark, root, 0) == [1, 2] and remove_retired(spark, root, 0) == []
+    assert sorted(p.name for p in tmp_path.glob("run_id=*")) == ["run_id=3", "run_id=4", "run_id=5"]
+    assert read_as_of(spark, root, "gold").count() == 5 and retire_runs(spark, root, 2) == []
+    assert claim_run(spark, root) == 6
+    with pytest.raises(ValueError):
+        retire_runs(spark, root, 0)
+
+
+def test_diff_of_tables(spark):
+    schema = "k string, `a.b` long, m map<string,long>, x string"
+    before = [("same", 1, {"p": 1, "q": 2}, "l"), ("gone", 1, {}, "l"), (None, 1, None, "l")]
+    after = [("same", 1, {"q": 2, "p": 1}, "other"), ("new", 1, {}, ""), (None, None, None, "")]
+    before += [("bag", 1, {}, ""), ("bag", 2, {}, ""), ("fewer", 1, {}, ""), ("fewer", 1, {}, "")]
+    after += [("bag", 2, {}, ""), ("bag", 1, {}, ""), ("fewer", 1, {}, "")]
+    before += [("null", None, {}, ""), ("map", 1, {"p": 1}, "")]
+    after += [("null", 0, {}, ""), ("map", 1, {"p": 2}, "")]
+    a = spark.createDataFrame(before, schema).drop("x")
+    b = spark.createDataFrame(after, schema)
+    found = {tuple(r) for r in table_diff(a, b, ["k"]).collect()}
+    assert found == {
+        ("gone", "removed"), ("new", "added"), (None, "changed"), ("fewer", "changed"),
+        ("null", "changed"), ("map", "changed"),
+    }
+    assert table_diff(a, a, ["k", "a.b"]).isEmpty()
+    with pytest.raises(ValueError):
+        table_diff(a, b, ["x"])
+
+
 def test_overwrite_replaces_rows_and_schema(spark, tmp_path):
     path = str(tmp_path / "t")
     write_layer(spark.range(3), path)
