@@ -9,6 +9,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
+ROWS_PER_FILE = 500_000  # of a table whose size is known; rows of some numbers each
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -27,8 +28,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def scratch_table(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to a new scratch path and read it back, so it is computed once."""
+def scratch_table(
+    df: DataFrame, name: str, rows: int | None = None, per_file: int = ROWS_PER_FILE
+) -> DataFrame:
+    """Write ``df`` to a new scratch path and read it back, so it is computed once.
+
+    ``rows`` is a bound for the number of rows, where one is known. The last stage then has
+    as many tasks as files of ``per_file`` rows take, rather than one for every partition
+    of the shuffle before it, which makes many tiny files of a small table. So give it
+    with a ``per_file`` that is also a fair amount of work for a task.
+    """
+    if rows is not None:
+        df = df.coalesce(max(1, -(-rows // per_file)))
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
