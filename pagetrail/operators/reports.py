@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from pagetrail.functions.columns import percent, quoted
 from pagetrail.schema import REPORT_STAGES, TARGET_STAGE
 
+HOUR = "hour"
+
 
 def total_sessions(gold: DataFrame) -> DataFrame:
     """Number of sessions, as one row."""
@@ -89,6 +91,43 @@ def conversions(
     return _rates(session.select("reached", F.inline(values)), "dim", "value")
 
 
+def conversion_sets(
+    sessionised: DataFrame, sets: Sequence[Sequence[str]], target: str = TARGET_STAGE
+) -> DataFrame:
+    """Conversion per value of each set of dimensions, in one pass: a row per set and values.
+
+    Columns: ``dims`` (the set, comma-joined), each dimension as text (null where the set is
+    without it), ``sessions``, ``converted``, ``rate``. Dimensions are columns of events or
+    ``hour``, of day in the session time zone, in which the session starts. A session
+    counts once under each combination of values that one of its events has.
+
+    Events are combined by session on the partitioning that the windows leave; what is
+    shuffled are counts per set and values.
+    """
+    dims = list(dict.fromkeys(d for one in sets for d in one))
+    of_events = [d for d in dims if d != HOUR]
+    seen = F.collect_set(F.struct(F.lit(1), *[quoted(d).cast("string").alias(d) for d in of_events]))
+    session = sessionised.groupBy("user_id", "session_id").agg(
+        (F.count_if(F.col("current_page") == F.lit(target)) > 0).alias("reached"),
+        F.hour(F.min("event_timestamp")).cast("string").alias(HOUR),
+        seen.alias("seen"),
+    )
+
+    def values(one: Sequence[str]) -> Column:
+        def of(x: Column) -> Column:
+            parts = [
+                (F.lit(None).cast("string") if d not in one else F.col(d) if d == HOUR else x[d])
+                for d in dims
+            ]
+            named = [part.alias(d) for part, d in zip(parts, dims, strict=True)]
+            return F.struct(F.lit(",".join(one)).alias("dims"), *named)
+
+        return F.array_distinct(F.transform("seen", of))
+
+    rows = session.select("reached", F.inline(F.concat(*[values(one) for one in sets])))
+    return _rates(rows, "dims", *dims)
+
+
 def dimension(rates: DataFrame, dim: str) -> DataFrame:
     """The rows of one dimension, with its name for the values."""
     return rates.filter(F.col("dim") == dim).drop("dim").withColumnRenamed("value", dim)

@@ -15,6 +15,7 @@ from pagetrail.functions.columns import (
 )
 from pagetrail.operators.busy_users import MAX_USER_ROWS, busy_users, split_users
 from pagetrail.schema import GAP_SECONDS, METRIC_COLUMNS
+from pagetrail.sources.scratch import scratch_table
 
 EVENT_ID = "event_id"
 # Width of the time slices a busy user's instants are spread over.
@@ -113,9 +114,12 @@ def _number_in_order(
     return flagged.withColumn("session_id", F.sum(opened).over(so_far)).filter(has_time)
 
 
-def _tie_order(tie: str) -> Column:
-    """Sorts like the tie column in a window, nulls first, and is never null itself."""
-    return F.struct(quoted(tie).isNotNull().alias("known"), quoted(tie).alias("tie"))
+def _tie_order(*ties: str) -> Column:
+    """Sorts like the tie columns in a window, nulls first, and is never null itself."""
+    parts = []
+    for n, tie in enumerate(ties):
+        parts += [quoted(tie).isNotNull().alias(f"known_{n}"), quoted(tie).alias(f"tie_{n}")]
+    return F.struct(*parts)
 
 
 def _number_by_instant(
@@ -129,31 +133,32 @@ def _number_by_instant(
     """The same columns without ever sorting all of one user's events in one task.
 
     Only the first event of an instant can open a session, so sessions are found
-    on the distinct instants and joined back to the events by (user, instant).
+    on the distinct instants and joined back to the events by (user, instant). The first
+    event of an instant is the least of its events, found by partial minima, and is known
+    again after the join by its tie or, where ties are not unique, by its row number.
     """
+    columns, ties = timed.columns, [tie] if tie else []
     if not keep_null_times:
         timed = timed.filter(F.col("event_timestamp").isNotNull())
-    instants = _numbered_instants(timed, gap_seconds, user, tie, keep_null_times)
+    if not (tie and tie_is_unique):
+        # Written, as the numbers must be the same wherever the rows are read again.
+        numbered = timed.withColumn("at_row", F.monotonically_increasing_id())
+        timed, ties = scratch_table(numbered, "busy-events"), [*ties, "at_row"]
+    order = _tie_order(*ties)
+    instants = _numbered_instants(timed, gap_seconds, user, order, keep_null_times)
     joined = timed.join(
         instants,
         quoted(user).eqNullSafe(F.col("at_user"))
         & F.col("event_timestamp").eqNullSafe(F.col("at_instant")),
     )
-    if tie and tie_is_unique:
-        is_first = _tie_order(tie).eqNullSafe(F.col("at_first"))
-    else:
-        same = Window.partitionBy(user, "event_timestamp").orderBy(
-            quoted(tie or "event_timestamp")
-        )
-        joined = joined.withColumn("at_row", F.row_number().over(same))
-        is_first = F.col("at_row") == 1
+    is_first = order.eqNullSafe(F.col("at_first"))
     previous = F.when(is_first, F.col("at_previous")).otherwise(F.col("event_timestamp"))
     return (
         joined.filter("at_session > 0")  # 0 for events without a time unless they are kept
         .withColumn("prev_time", previous)
         .withColumns(_gap_columns(gap_seconds))
         .select(
-            *[quoted(c) for c in timed.columns],
+            *[quoted(c) for c in columns],
             "prev_time",
             "time_diff_seconds",
             "is_new_session",
@@ -163,7 +168,7 @@ def _number_by_instant(
 
 
 def _numbered_instants(
-    timed: DataFrame, gap_seconds: int, user: str, tie: str | None, keep_null_times: bool
+    timed: DataFrame, gap_seconds: int, user: str, order: Column, keep_null_times: bool
 ) -> DataFrame:
     """Previous instant and session number of each distinct (user, instant).
 
@@ -181,15 +186,13 @@ def _numbered_instants(
         )
         .agg(
             F.count(F.lit(1)).alias("copies"),
-            (F.min(_tie_order(tie)) if tie else F.lit(None)).alias("at_first"),
+            F.min(order).alias("at_first"),
         )
         .withColumn("slice", slice_no)
     )
     # Instants are distinct, so ``at_first`` orders nothing; with it both uses of
     # ``marked`` need the same columns and Spark runs their common shuffle once.
-    in_slice = Window.partitionBy("at_user", "slice").orderBy(
-        "at_instant", *(["at_first"] if tie else [])
-    )
+    in_slice = Window.partitionBy("at_user", "slice").orderBy("at_instant", "at_first")
     before = F.lag("at_instant").over(in_slice)
     # Events without a time open one session each, or none if they are left out; the
     # first instant of a slice is judged below, once the slice before it is known.

@@ -126,13 +126,13 @@ def widened(
 def page_reach(gold: DataFrame) -> DataFrame:
     """``page``, ``sessions`` that reached it, ``pct`` of all sessions, ``hits``: every page.
 
-    One row per (session, page) is combined before the shuffle; the number of sessions, one
-    row, is joined to every page.
+    Sessions are counted per page before the shuffle; the number of all sessions is a scalar
+    subquery.
     """
-    total = gold.agg(F.count(F.lit(1)).alias("total"))
+    total = gold.agg(F.count(F.lit(1)).alias("total")).scalar()
     reached = gold.select(F.explode("hits").alias("page", "hits")).groupBy("page").agg(
         F.count(F.lit(1)).alias("sessions"), F.sum("hits").alias("hits")
     )
-    return reached.join(F.broadcast(total)).select(
-        "page", "sessions", percent(F.col("sessions"), F.col("total")).alias("pct"), "hits"
+    return reached.select(
+        "page", "sessions", percent(F.col("sessions"), total).alias("pct"), "hits"
     )

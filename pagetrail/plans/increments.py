@@ -4,6 +4,7 @@
     <root>/quarantine/, <root>/corrections/     rejected rows, and corrected ones
     <root>/silver/upto=<n>/day=<start day>/     the events of a run by their session's day
     <root>/gold/upto=<n>/day=<start day>/       the sessions that the run has closed
+    <root>/durations/upto=<n>/day=<start day>/  sessions per duration, of those it has closed
     <root>/carry/upto=<n>/                      a row per user, for the next run
 
 A run goes up to a day, whose date it is named after. It takes the days of Bronze after
@@ -24,6 +25,7 @@ from pyspark.sql import functions as F
 from pagetrail.functions.columns import event_time
 from pagetrail.operators.busy_users import MAX_USER_ROWS
 from pagetrail.operators.carry_over import carried_on, continued, no_carry, sessions_with_carry
+from pagetrail.operators.durations import daily_duration_counts, merged_counts
 from pagetrail.operators.sparse import finished
 from pagetrail.schema import CORRUPT_COLUMN, GAP_SECONDS, RAW_COLUMNS, VALUE_COUNTERS
 from pagetrail.sources.layers import read_layer, read_layer_if_present, write_days, write_layer
@@ -39,6 +41,8 @@ SILVER_SCHEMA = (
     " is_new_session int, session_id bigint, unique_session_id string, session_start timestamp"
 )
 
+DURATIONS = "duration_seconds bigint, sessions bigint, upto date, day date"
+
 
 @dataclass(frozen=True)
 class Increment:
@@ -165,6 +169,7 @@ def run_increment(
     write_layer(
         closed.withColumn("day", F.to_date("start_time")), _path(root, "gold", upto), by=["day"]
     )
+    write_layer(daily_duration_counts(closed), _path(root, "durations", upto), by=["day"])
     write_layer(carried_on(sessions, carry, counters), _path(root, "carry", upto))
     changed = old_digest != _digest(read_layer(spark, _path(root, "carry", upto)))
     _mark(spark, root, upto, done=True)
@@ -207,6 +212,19 @@ def read_gold(
     return closed.unionByName(still)
 
 
+def read_duration_counts(
+    spark: SparkSession, root: str, first: dt.date | None = None, last: dt.date | None = None
+) -> DataFrame:
+    """Sessions per duration of those that start on the days from ``first`` to ``last``.
+
+    Merged from the counts that the runs keep, by day, and the sessions still open; Gold is not read.
+    """
+    kept = _of_runs(spark, root, "durations", DURATIONS).drop("upto")
+    carry = read_layer(spark, _path(root, "carry", increments(spark, root)[-1]))
+    still = daily_duration_counts(finished(carry.filter("open"), {}))
+    return merged_counts(kept.unionByName(still), first, last)
+
+
 def _of_runs(spark: SparkSession, root: str, layer: str, schema: str) -> DataFrame:
     done = increments(spark, root)
     rows = spark.read.schema(schema).parquet(_path(root, layer))

@@ -180,7 +180,7 @@ def _reports(
 ) -> dict[str, DataFrame]:
     if not present_stages(sessions, [target]):
         sessions = sessions.withColumn(target, F.lit(0).cast("bigint"))
-    counts = scratch_table(duration_counts(sessions), "durations")
+    counts = duration_counts(sessions)
     rates = scratch_table(conversions(silver, ["device", "browser"], target), "conversions")
     return {
         "total_sessions": total_sessions(sessions),

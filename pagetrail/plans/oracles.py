@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pagetrail.plans.queries import WIDE_GAP
+from pagetrail.plans.queries import CONVERSION_SETS, WIDE_GAP
 from pagetrail.schema import EXTRA_STAGES, FUNNEL_STAGES, REPORT_STAGES
 
 CLICKS = """clicks AS (
@@ -135,8 +135,8 @@ SELECT {dim}, count(DISTINCT unique_session_id) AS sessions,
 FROM silver JOIN gold USING (unique_session_id) GROUP BY {dim}"""
 
 
-def _histogram(per: float) -> str:
-    return f"""{_gold_ctes()}, ends AS (
+def _histogram(per: float, ctes: str | None = None) -> str:
+    return f"""{ctes or _gold_ctes()}, ends AS (
   SELECT min(duration_seconds) AS a, max(duration_seconds) AS b FROM gold
 ), binned AS (
   SELECT least((duration_seconds - a) * 30 // (b - a), 29) AS bin, count(*) AS n
@@ -182,6 +182,23 @@ SELECT {_stats()}, count(*) FILTER (current_page = 'Home') AS Home,
 FROM silver GROUP BY unique_session_id"""
 
 
+def _conversion_set(dims: tuple[str, ...]) -> str:
+    values = ", ".join(
+        f"CAST({d} AS VARCHAR) AS {d}" if d in dims else f"NULL AS {d}"
+        for d in ("device", "browser", "hour")
+    )
+    return f"""SELECT '{",".join(dims)}' AS dims, {values}, count(DISTINCT unique_session_id) AS sessions,
+  count(DISTINCT CASE WHEN confirmation > 0 THEN unique_session_id END) AS converted,
+  100.0::DOUBLE * count(DISTINCT CASE WHEN confirmation > 0 THEN unique_session_id END)
+    / count(DISTINCT unique_session_id) AS rate
+FROM silver JOIN hours USING (unique_session_id) GROUP BY {", ".join(dims)}"""
+
+
+VIEWS = f"""{_gold_ctes()}, scored AS (
+  SELECT least(page_views, 10) / 10.0::DOUBLE AS score, confirmation > 0 AS converted FROM gold
+)"""
+
+
 ORACLES: dict[str, str] = {
     "sessionise_ties": TIES,
     "sessionise_ties_busy_users": TIES,
@@ -259,6 +276,22 @@ FROM gold GROUP BY 1""",
     "duration_histogram": _histogram(1.0),
     "duration_histogram_minutes": _histogram(60.0),
     "duration_density": DENSITY,
+    "duration_histogram_merged": _histogram(1.0),
+    "incremental_histogram": _histogram(1.0, _logged()),
+    "conversion_sets": f"""{_gold_ctes()}, hours AS (
+  SELECT unique_session_id, confirmation, CAST(hour(start_time) AS INTEGER) AS hour FROM gold
+) {" UNION ALL ".join(_conversion_set(dims) for dims in CONVERSION_SETS)}""",
+    "rank_auc_of_views": f"""{VIEWS}, ranked AS (
+  SELECT converted, rank() OVER (ORDER BY score) + (count(*) OVER (PARTITION BY score) - 1) / 2.0
+    AS mid FROM scored
+)
+SELECT round((sum(mid) FILTER (converted) - p * (p + 1) / 2.0) / (p * n), 9)::DOUBLE AS auc
+FROM ranked, (SELECT (count(*) FILTER (converted))::DOUBLE AS p,
+  (count(*) FILTER (NOT converted))::DOUBLE AS n FROM scored) GROUP BY p, n""",
+    "reliability_of_views": f"""{VIEWS}
+SELECT CAST(least(floor(score * 10), 9) AS INTEGER) AS bin, count(*) AS sessions,
+  round(avg(score), 9) AS mean_score, round(avg(CAST(converted AS INTEGER)), 9) AS rate
+FROM scored GROUP BY 1""",
     "ingest_valid": f"WITH {LOG} SELECT {RAW} FROM log WHERE {VALID}",
     "ingest_rejected": f"WITH {LOG} SELECT {RAW}, _corrupt_record FROM log WHERE NOT ({VALID})",
     "ingest_counts": f"""WITH {LOG} SELECT count(*) AS events,

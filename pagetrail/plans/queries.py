@@ -9,7 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pagetrail.operators.durations import duration_density, duration_histogram
+from pagetrail.operators.durations import (
+    daily_duration_counts,
+    duration_density,
+    duration_histogram,
+    merged_counts,
+)
 from pagetrail.operators.gold import (
     funnel_matrix,
     gold,
@@ -19,12 +24,14 @@ from pagetrail.operators.gold import (
 )
 from pagetrail.operators.model import (
     conversion_quality,
-    conversion_scores,
-    train_conversion_model,
+    held_out_scores,
+    rank_auc,
+    reliability,
 )
 from pagetrail.operators.reports import (
     conversion_by,
     conversion_by_hour,
+    conversion_sets,
     funnel_lines,
     funnel_report,
     total_sessions,
@@ -34,6 +41,7 @@ from pagetrail.operators.sparse import page_reach, sparse_funnel, sparse_gold, w
 from pagetrail.plans.increments import (
     ingest_days,
     read_bronze_days,
+    read_duration_counts,
     read_gold,
     read_silver,
     run_increment,
@@ -48,6 +56,7 @@ from pagetrail.sources.layers import (
     preview,
     read_csv,
     read_layer,
+    write_days,
     write_layer,
 )
 from pagetrail.sources.quarantine import read_quarantine, reason_counts, replay
@@ -60,6 +69,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 # The test events lie hours apart; at this timeout sessions have several of them.
 WIDE_GAP = 21_600
+CONVERSION_SETS = [("device",), ("browser",), ("hour",), ("device", "hour")]
 
 
 def plain_times(df: DataFrame) -> DataFrame:
@@ -218,7 +228,7 @@ def stream_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def model_held_out(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the model is measured on; whether it is right is tested, not compared."""
     sessions = scratch_table(_gold(spark, sf_dir), "gold")
-    return conversion_quality(sessions).select("held_out", "converted")
+    return conversion_quality(sessions).drop("right")
 
 
 def preview_is_part(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -278,8 +288,43 @@ def replayed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def model_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sessions = scratch_table(_gold(spark, sf_dir), "gold")
-    return conversion_scores(train_conversion_model(sessions), sessions)
+    """The sessions that the model was not trained on, with their scores."""
+    return held_out_scores(scratch_table(_gold(spark, sf_dir), "gold"))
+
+
+def model_reliability(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reliability(model_scores(spark, sf_dir))
+
+
+def _views_as_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A score for every session that needs no training: its page views, a tenth each."""
+    views = F.least(F.col("page_views"), F.lit(10)) / 10
+    return _gold(spark, sf_dir).select(
+        views.alias("score"), (F.col("confirmation") > 0).alias("converted")
+    )
+
+
+def rank_auc_of_views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    auc = rank_auc(_views_as_score(spark, sf_dir))
+    return auc.select(F.round("auc", 9).alias("auc"))
+
+
+def reliability_of_views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = reliability(_views_as_score(spark, sf_dir))
+    return rows.withColumns({c: F.round(c, 9) for c in ("mean_score", "rate")})
+
+
+def duration_histogram_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From counts kept by day, merged over all days."""
+    path = scratch_path(spark, "durations")
+    write_days(daily_duration_counts(_gold(spark, sf_dir)), path)
+    return duration_histogram(None, counts=merged_counts(read_layer(spark, path)))
+
+
+def incremental_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From the counts that two runs over halves of the log have kept."""
+    root = _two_increments(spark, sf_dir)
+    return duration_histogram(None, counts=read_duration_counts(spark, root))
 
 
 QUERIES: dict[str, Query] = {
@@ -337,7 +382,12 @@ QUERIES: dict[str, Query] = {
     "conversion_by_hour": lambda s, d: conversion_by_hour(_gold(s, d)),
     "duration_histogram": lambda s, d: duration_histogram(_gold(s, d)),
     "duration_histogram_minutes": lambda s, d: duration_histogram(_gold(s, d), unit="minutes"),
+    "duration_histogram_merged": duration_histogram_merged,
+    "incremental_histogram": incremental_histogram,
     "duration_density": density_rounded,
+    "conversion_sets": lambda s, d: conversion_sets(_sessionised(s, d), CONVERSION_SETS),
+    "rank_auc_of_views": rank_auc_of_views,
+    "reliability_of_views": reliability_of_views,
     # Sources, layers and exports.
     "ingest_valid": ingest_valid,
     "ingest_rejected": ingest_rejected,
@@ -358,6 +408,7 @@ QUERIES: dict[str, Query] = {
     "preview_is_part": preview_is_part,
     "model_held_out": model_held_out,
     "model_scores": model_scores,
+    "model_reliability": model_reliability,
     "preview_gold": lambda s, d: preview(_gold(s, d)),
 }
 

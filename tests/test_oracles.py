@@ -25,9 +25,15 @@ def test_query_equals_sql(spark, con, name):
 def test_queries_without_sql(spark):
     found = queries()
     own = {n for n in found if not n.startswith("op") and n != "pipeline"}
-    assert own - set(oracle_sql()) == {"preview_gold", "model_scores", "model_held_out"}
+    model = {"model_scores", "model_held_out", "model_reliability"}
+    assert own - set(oracle_sql()) == {"preview_gold", *model}
     assert found["preview_gold"](spark, SF_DIR).count() == 5
-    assert found["model_scores"](spark, SF_DIR).count() == found["gold"](spark, SF_DIR).count()
+    measured = found["model_held_out"](spark, SF_DIR).first()
+    scored = found["model_scores"](spark, SF_DIR)
+    assert scored.count() == measured.held_out < found["gold"](spark, SF_DIR).count()
+    assert scored.filter("converted").count() == measured.converted and 0 <= measured.auc <= 1
+    bins = found["model_reliability"](spark, SF_DIR).collect()
+    assert sum(r.sessions for r in bins) == measured.held_out
 
 
 def test_entry(spark):
