@@ -2,14 +2,16 @@
 
 The documents become segments: rows of a table that hold, for some megabytes of text,
 the positions of every word of the test items. A phrase is searched in each segment by
-intersecting the position lists of its words, shifted by their places in the phrase,
-from the word that is rarest in the whole corpus onwards. A segment holds whole
-documents, so a search needs no shuffle, and no word's list is ever gathered in one task.
+taking the positions of the word that is rarest in the whole corpus, shifted by its place in
+the phrase, and intersecting them with the shifted positions of its other words, the
+rarer ones first. All phrases of a block are intersected together, as arrays. A segment
+holds whole documents, so a search needs no shuffle, and no word's list is ever gathered
+in one task. Words are told apart by 64-bit hashes.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -19,11 +21,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pagetrail.llm.batches import SLICE_BYTES, lists, slices
+from pagetrail.llm.hashing import word_hashes
 from pagetrail.llm.text import LOWER_ALNUM, as_bytes
 from pagetrail.sources.scratch import scratch_table
 
 WINDOW = 13
 BLOCK_WORDS = 1_000_000  # words of items that are searched for, and broadcast, at a time
+MAX_TERMS = 8_000_000  # distinct words of items that are broadcast; beyond, all words are indexed
+CANDIDATES = 1 << 18  # places that are intersected at a time
 GAP = 1 << 20  # between the documents of a segment; no phrase or width is larger
 
 SEARCH_FIELDS = [
@@ -33,34 +38,72 @@ SEARCH_FIELDS = [
 ]
 
 
-def words_of(text: bytes) -> list[bytes]:
-    """Runs of ASCII letters, digits and non-ASCII characters, A-Z in lower case."""
-    return text.translate(LOWER_ALNUM).split()
+def words_of(text: bytes) -> np.ndarray:
+    """A hash for each run of ASCII letters, digits and non-ASCII characters, A-Z in lower case."""
+    return word_hashes(text.translate(LOWER_ALNUM)).view(np.int64)
 
 
 @dataclass
 class Phrases:
-    """Distinct word sequences and what they stand for, over a numbered vocabulary."""
+    """Sequences of words, of which every run of ``size`` words is searched for its owner."""
 
-    vocabulary: dict[bytes, int] = field(default_factory=dict)
     names: dict[str, int] = field(default_factory=dict)
-    owners: dict[tuple[int, ...], set[int]] = field(default_factory=dict)
+    words: list[np.ndarray] = field(default_factory=list)
+    sizes: list[int] = field(default_factory=list)
+    owners: list[int] = field(default_factory=list)
 
-    def add(self, words: list[bytes], owner: str) -> None:
-        terms = tuple(self.vocabulary.setdefault(w, len(self.vocabulary)) for w in words)
-        number = self.names.setdefault(owner, len(self.names))
-        self.owners.setdefault(terms, set()).add(number)
+    def add(self, words: np.ndarray, owner: str, size: int | None = None) -> None:
+        """Every run of ``size`` words; all words, where they are fewer or no size is given."""
+        if len(words):
+            self.words.append(words)
+            self.sizes.append(min(size or len(words), len(words)))
+            self.owners.append(self.names.setdefault(owner, len(self.names)))
 
-    def add_windows(self, words: list[bytes], owner: str, size: int = WINDOW) -> None:
-        """Every run of ``size`` words; all words, where they are fewer."""
-        for i in range(max(1, len(words) - size + 1) if words else 0):
-            self.add(words[i : i + size], owner)
+    @property
+    def n_words(self) -> int:
+        return sum(map(len, self.words))
+
+    @property
+    def vocabulary(self) -> np.ndarray:
+        """The distinct words, sorted."""
+        return np.unique(np.concatenate([np.empty(0, np.int64), *self.words]))
+
+
+@dataclass
+class Searched:
+    """Runs of words as places in one array, each with its rarest word; eight bytes a word."""
+
+    words: np.ndarray
+    seen: np.ndarray  # how often each of the words occurs in the corpus
+    starts: np.ndarray
+    sizes: np.ndarray
+    rarest: np.ndarray  # the offset of the run's rarest word
+    owners: np.ndarray
+
+    @classmethod
+    def of(cls, phrases: Phrases, seen_of) -> Searched:
+        """The runs of which every word occurs; ``seen_of`` tells how often words do."""
+        words = np.concatenate([np.empty(0, np.int64), *phrases.words])
+        seen = seen_of(words)
+        begins = np.cumsum([0, *map(len, phrases.words)])
+        runs = []
+        for begin, part, size, owner in zip(
+            begins, phrases.words, phrases.sizes, phrases.owners, strict=False
+        ):
+            counts = np.lib.stride_tricks.sliding_window_view(seen[begin : begin + len(part)], size)
+            at = np.flatnonzero(counts.min(axis=1) > 0)
+            if len(at):
+                rarest = counts[at].argmin(axis=1)
+                runs.append((begin + at, np.full(len(at), size), rarest, np.full(len(at), owner)))
+        columns = zip(*runs, strict=True) if runs else [[np.empty(0)]] * 4
+        return cls(words, seen, *(np.concatenate(c).astype(np.int32) for c in columns))
 
 
 def build_index(
-    docs: DataFrame, vocabulary: dict[bytes, int], key: str = "doc_id", text: str = "text"
+    docs: DataFrame, vocabulary: np.ndarray | None, key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
-    """One row per segment: its documents, and the positions of each word of ``vocabulary``.
+    """One row per segment: its documents, and the positions of each word of ``vocabulary``,
+    or of all words, if that is None.
 
     ``key`` may be any column and null; a null text has no words. ``terms`` is sorted;
     the positions of ``terms[i]`` end at ``ends[i]`` and are sorted by document.
@@ -69,7 +112,7 @@ def build_index(
     shared = context.broadcast(vocabulary)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        numbers = shared.value.get
+        wanted = shared.value
         keys, n_words, terms, places = [], [], [], []
         held = 0
 
@@ -80,7 +123,7 @@ def build_index(
             owner = np.repeat(np.arange(len(n_words), dtype=np.int32), [len(t) for t in terms])
             columns = [
                 (n_words, pa.int32()),
-                (distinct, pa.int32()),
+                (distinct, pa.int64()),
                 (np.cumsum(counts), pa.int64()),
                 (owner[order], pa.int32()),
                 (np.concatenate(places)[order], pa.int32()),
@@ -95,9 +138,8 @@ def build_index(
             keys.append(batch.column("_key"))
             for data in batch.column("_text").to_pylist():
                 words = words_of(data)
-                numbered = np.fromiter((numbers(w, -1) for w in words), np.int32, len(words))
-                at = np.flatnonzero(numbered >= 0)
-                terms.append(numbered[at])
+                at = np.flatnonzero(_among(words, wanted))
+                terms.append(words[at])
                 places.append(at.astype(np.int32))
                 n_words.append(len(words))
                 held += len(data)
@@ -113,7 +155,7 @@ def build_index(
         [
             T.StructField("keys", T.ArrayType(source.schema["_key"].dataType)),
             T.StructField("n_words", T.ArrayType(T.IntegerType())),
-            T.StructField("terms", T.ArrayType(T.IntegerType())),
+            T.StructField("terms", T.ArrayType(T.LongType())),
             T.StructField("ends", T.ArrayType(T.LongType())),
             T.StructField("owners", T.ArrayType(T.IntegerType())),
             T.StructField("positions", T.ArrayType(T.IntegerType())),
@@ -122,9 +164,20 @@ def build_index(
     return source.mapInArrow(run, index_schema)
 
 
-def term_counts(index: DataFrame, n_terms: int) -> np.ndarray:
-    """Occurrences of each word in the whole corpus; at most one row per word is fetched."""
-    counted = index.select(
+def _among(words: np.ndarray, wanted: np.ndarray | None) -> np.ndarray:
+    """Which of the words are in a sorted array; all, if that is None."""
+    if wanted is None:
+        return np.ones(len(words), bool)
+    if not len(wanted):
+        return np.zeros(len(words), bool)
+    at = np.searchsorted(wanted, words)
+    at[at == len(wanted)] = 0
+    return wanted[at] == words
+
+
+def term_counts(index: DataFrame) -> DataFrame:
+    """``term`` and ``n``: occurrences of each word in the whole corpus."""
+    each = index.select(
         F.explode(
             F.transform(
                 F.col("terms"),
@@ -135,10 +188,26 @@ def term_counts(index: DataFrame, n_terms: int) -> np.ndarray:
             )
         ).alias("x")
     )
-    total = np.zeros(n_terms, np.int64)
-    for row in counted.groupBy("x.term").agg(F.sum("x.n").alias("n")).collect():
-        total[row["term"]] = row["n"]
-    return total
+    return each.groupBy(F.col("x.term").alias("term")).agg(F.sum("x.n").alias("n"))
+
+
+def _seen(counts: DataFrame, phrases: Phrases):
+    """How often words occur, as a function; a row for each distinct word of a block is fetched."""
+    terms = phrases.vocabulary
+    wanted = counts.sparkSession.createDataFrame(pa.table({"term": terms}))
+    found = counts.join(wanted, "term", "left_semi").toArrow()
+    known, numbers = found["term"].to_numpy(), found["n"].to_numpy()
+    order = np.argsort(known)
+    known, numbers = known[order], numbers[order]
+
+    def seen_of(words: np.ndarray) -> np.ndarray:
+        if not len(known):
+            return np.zeros(len(words), np.int64)
+        at = np.searchsorted(known, words)
+        at[at == len(known)] = 0
+        return np.where(known[at] == words, numbers[at], 0)
+
+    return seen_of
 
 
 class Segment:
@@ -147,34 +216,66 @@ class Segment:
     def __init__(self, n_words, terms, ends, owners, positions):
         self.n_words = n_words.astype(np.int64)
         self.base = np.concatenate([[0], np.cumsum(self.n_words + GAP)]) + GAP
-        self.terms, self.ends = terms, ends
+        self.terms, self.ends = terms, np.concatenate([[0], ends])
         self.places = self.base[owners] + positions
-
-    def occurrences(self, term: int) -> np.ndarray:
-        i = np.searchsorted(self.terms, term)
-        if i == len(self.terms) or self.terms[i] != term:
-            return self.places[:0]
-        return self.places[self.ends[i - 1] if i else 0 : self.ends[i]]
-
-    def phrase(self, terms: tuple[int, ...], rarest_first: np.ndarray) -> np.ndarray:
-        """Where the phrase starts: lists shifted by offset, intersected from the rarest."""
-        starts = None
-        for offset in rarest_first:
-            places = self.occurrences(terms[offset])
-            if starts is None:
-                starts = places - offset
-            else:
-                at = np.searchsorted(places, starts + offset)
-                at[at == len(places)] = 0
-                starts = starts[places[at] == starts + offset] if len(places) else starts[:0]
+        order = np.argsort(self.places)
+        # The word at each place, to tell whether a shifted place is in that word's list.
+        self.by_place = self.places[order]
+        self.word_at = np.repeat(terms, np.diff(self.ends))[order]
+
+    def _lists(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where the position lists of the words begin and end."""
+        if not len(self.terms):
+            return np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
+        at = np.searchsorted(self.terms, words)
+        at[at == len(self.terms)] = 0
+        known = self.terms[at] == words
+        return np.where(known, self.ends[at], 0), np.where(known, self.ends[at + 1], 0)
+
+    def occurrences(self, word: int) -> np.ndarray:
+        (start,), (stop,) = self._lists(np.array([word]))
+        return self.places[start:stop]
+
+    def _has(self, words: np.ndarray, places: np.ndarray) -> np.ndarray:
+        """Whether each word's list holds the place beside it."""
+        at = np.searchsorted(self.by_place, places)
+        at[at == len(self.by_place)] = 0
+        return (self.by_place[at] == places) & (self.word_at[at] == words)
+
+    def phrases(self, searched: Searched) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(starts, numbers of runs) of all occurrences: shifted lists intersected from the
+        rarest word on, for a bounded number of places at a time."""
+        rarest = searched.words[searched.starts + searched.rarest]
+        begins, ends = self._lists(rarest)
+        runs = np.flatnonzero(ends > begins)
+        for size in np.unique(searched.sizes[runs]):
+            of_size = runs[searched.sizes[runs] == size]
+            lengths = (ends - begins)[of_size]
+            group = np.cumsum(lengths) // CANDIDATES
+            cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(of_size)]
+            for a, b in zip(cuts, cuts[1:], strict=False):
+                yield from self._together(searched, of_size[a:b], int(size), begins, lengths[a:b])
+
+    def _together(self, searched, runs, size, begins, lengths):
+        """The occurrences of runs of one size."""
+        which = np.repeat(np.arange(len(runs)), lengths)
+        skipped = np.arange(len(which)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+        words_at = searched.starts[runs][:, None] + np.arange(size)
+        order = np.argsort(searched.seen[words_at], axis=1, kind="stable")
+        words = np.take_along_axis(searched.words[words_at], order, axis=1)
+        starts = self.places[begins[runs][which] + skipped] - searched.rarest[runs][which]
+        for rank in range(size):
             if not len(starts):
-                break
-        return starts
+                return
+            held = self._has(words[which, rank], starts + order[which, rank])
+            starts, which = starts[held], which[held]
+        if len(starts):
+            yield starts, runs[which]
 
-    def near(self, terms: tuple[int, ...], width: int) -> tuple[np.ndarray, np.ndarray]:
+    def near(self, terms: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
         """Starts and ends of runs of at most ``width`` words that hold all the words and
         begin with one of them."""
-        found = [(self.occurrences(t)) for t in dict.fromkeys(terms)]
+        found = [self.occurrences(t) for t in np.unique(terms)]
         starts, ends = [], []
         if all(len(x) for x in found):
             for left in found:
@@ -246,38 +347,40 @@ def _search(index: DataFrame, phrases: Phrases, hits_of) -> DataFrame:
     return index.mapInArrow(run, schema)
 
 
-def find_phrases(index: DataFrame, phrases: Phrases) -> DataFrame:
-    """Exact matches of all phrases, as rows of ``_search``."""
-    counts = term_counts(index, len(phrases.vocabulary))
-    searched = []
-    for terms, owners in phrases.owners.items():
-        seen = counts[list(terms)]
-        if seen.min() > 0:
-            searched.append((terms, np.argsort(seen, kind="stable"), sorted(owners)))
+def find_phrases(
+    index: DataFrame, phrases: Phrases, counts: DataFrame | None = None
+) -> DataFrame:
+    """Exact matches of all phrases, as rows of ``_search``. ``counts`` are ``term_counts``,
+    where they are written already."""
+    counts = term_counts(index) if counts is None else counts
+    searched = Searched.of(phrases, _seen(counts, phrases))
     shared = index.sparkSession.sparkContext.broadcast(searched)
 
     def hits_of(segment: Segment):
-        hits = []
-        for terms, rarest_first, owners in shared.value:
-            starts = segment.phrase(terms, rarest_first)
-            for owner in owners if len(starts) else ():
-                hits.append((starts, starts + len(terms), np.full(len(starts), owner)))
-        return hits
+        wanted = shared.value
+        return [
+            (starts, starts + wanted.sizes[runs], wanted.owners[runs])
+            for starts, runs in segment.phrases(wanted)
+        ]
 
     return _search(index, phrases, hits_of)
 
 
 def find_near(index: DataFrame, phrases: Phrases, width: int) -> DataFrame:
-    """Runs of at most ``width`` words that hold all words of a phrase, in any order."""
+    """Runs of at most ``width`` words that hold all words of a phrase, in any order.
+
+    A word that a phrase has twice is needed once. Null, empty and long texts, repeated rows
+    and empty tables are as in ``build_index``: a row for every document, with what it has.
+    """
     if width > GAP:
         raise ValueError(f"width is at most {GAP}")
-    shared = index.sparkSession.sparkContext.broadcast(phrases.owners)
+    shared = index.sparkSession.sparkContext.broadcast((phrases.words, phrases.owners))
 
     def hits_of(segment: Segment):
         hits = []
-        for terms, owners in shared.value.items():
-            starts, ends = segment.near(terms, width)
-            for owner in sorted(owners) if len(starts) else ():
+        for words, owner in zip(*shared.value, strict=True):
+            starts, ends = segment.near(words, width)
+            if len(starts):
                 hits.append((starts, ends, np.full(len(starts), owner)))
         return hits
 
@@ -285,23 +388,21 @@ def find_near(index: DataFrame, phrases: Phrases, width: int) -> DataFrame:
 
 
 def item_blocks(
-    items: DataFrame, key: str, text: str, block_words: int
-) -> Iterator[list[tuple[str, list[bytes]]]]:
+    items: DataFrame, key: str, text: str, block_words: int, size: int
+) -> Iterator[Phrases]:
     """The items with words, in blocks of about ``block_words`` words; one block is held."""
     rows = items.select(
         F.coalesce(F.col(key).cast("string"), F.lit("null")), as_bytes(F.col(text))
     )
-    block, held = [], 0
+    block, held = Phrases(), 0
     for name, data in rows.toLocalIterator():
         words = words_of(bytes(data))
-        if not words:
-            continue
-        if block and held + len(words) > block_words:
+        if held and held + len(words) > block_words:
             yield block
-            block, held = [], 0
-        block.append((name, words))
+            block, held = Phrases(), 0
+        block.add(words, name, size)
         held += len(words)
-    if block:
+    if held:
         yield block
 
 
@@ -338,16 +439,27 @@ def contaminated_documents(
     document's word is hit if it lies in an occurrence of a window. ``items`` are the ids
     as sorted strings; a null id counts as ``null``, items with one id count as one.
     ``contaminated``: at least a twentieth of the words are hit. Null and empty texts,
-    and empty tables, give no hits; repeated rows are judged each. Items of more than
-    ``block_words`` words are searched for in blocks, each with an index of its own.
+    and empty tables, give no hits; repeated rows are judged each. The corpus is indexed
+    once, by the distinct words of all items, or by all words if these are more than
+    ``MAX_TERMS``. Items are read twice, for their words and then in blocks of
+    ``block_words`` words, which are searched for one after the other.
     """
     if size >= GAP:
         raise ValueError(f"a window is shorter than {GAP} words")
     identity = F.struct(F.col(key).alias("id"), F.xxhash64(F.col(text)).alias("hash"))
     rows = docs.select(identity.alias("_row"), F.col(text).alias("_text"))
-    blocks = item_blocks(items, item_key, item_text, block_words)
-    parts = [_block_result(rows, block, size) for block in blocks]
-    parts = parts or [_block_result(rows, [], size)]
+    read = (items, item_key, item_text, block_words, size)
+    vocabulary: np.ndarray | None = np.empty(0, np.int64)
+    for block in item_blocks(*read):
+        vocabulary = np.union1d(vocabulary, block.vocabulary)
+        if len(vocabulary) > MAX_TERMS:
+            vocabulary = None
+            break
+    index = scratch_table(build_index(rows, vocabulary, "_row", "_text"), "postings")
+    counts = scratch_table(term_counts(index), "counts")
+    parts = [find_phrases(index, block, counts) for block in item_blocks(*read)]
+    parts = parts or [find_phrases(index, Phrases(), counts)]
+    parts = [part.withColumnRenamed("found", "items") for part in parts]
     result = parts[0]
     if len(parts) > 1:
         for part in parts[1:]:
@@ -374,13 +486,3 @@ def contaminated_documents(
         F.sort_array("items").alias("items"),
         "spans",
     ).withColumn("contaminated", contaminated)
-
-
-def _block_result(
-    rows: DataFrame, block: Iterable[tuple[str, list[bytes]]], size: int
-) -> DataFrame:
-    phrases = Phrases()
-    for name, words in block:
-        phrases.add_windows(words, name, size)
-    index = scratch_table(build_index(rows, phrases.vocabulary, "_row", "_text"), "postings")
-    return find_phrases(index, phrases).withColumnRenamed("found", "items")

@@ -1,8 +1,11 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 
 import numpy as np
+import pytest
+from pyspark.sql import functions as F
 
 from pagetrail.llm import decontaminate
 from pagetrail.sources.scratch import scratch_table
@@ -72,25 +75,87 @@ def test_empty_tables(spark, edges):
     assert decontaminate.contaminated_documents(edges.limit(0), some).count() == 0
 
 
-def test_proximity(spark):
+def test_proximity(spark, edges):
     docs = [(1, "red x x blue"), (2, "blue x x x red"), (3, "red"), (4, "blue red x red")]
     phrases = decontaminate.Phrases()
-    phrases.add([b"red", b"blue"], "pair")
+    phrases.add(decontaminate.words_of(b"red blue"), "pair")
     df = spark.createDataFrame(docs, DOCS)
     index = scratch_table(decontaminate.build_index(df, phrases.vocabulary), "postings")
     got = {r["key"]: r for r in decontaminate.find_near(index, phrases, width=4).collect()}
     assert [got[i]["found"] for i in (1, 2, 3, 4)] == [["pair"], [], [], ["pair"]]
     assert got[1]["spans"] == [[0, 4]] and got[4]["spans"] == [[0, 2]]
+    words = decontaminate.Phrases()
+    words.add(decontaminate.words_of(b"three one one"), "both")
+    for rows, n in ((edges, 10), (edges.limit(0), 0)):
+        index = scratch_table(decontaminate.build_index(rows, words.vocabulary), "postings")
+        found = decontaminate.find_near(index, words, 3).collect()
+        assert len(found) == n and {r.key for r in found if r.found} <= {1, None}
+
+
+@pytest.mark.parametrize("candidates", [1, 7, 1 << 18])
+def test_phrases_of_a_segment_equal_plain_search(monkeypatch, candidates):
+    """Whatever words are rarest, and however few places are intersected at a time."""
+    monkeypatch.setattr(decontaminate, "CANDIDATES", candidates)
+    rnd = np.random.default_rng(candidates)
+    docs = [rnd.integers(0, 4, n) for n in (0, 1, 50, 200, 3)]
+    phrases = decontaminate.Phrases()
+    for owner, (n, size) in enumerate([(1, 1), (3, 3), (6, 3), (9, 4), (2, 5), (0, 3)]):
+        phrases.add(rnd.integers(0, 4, n), str(owner), size)
+    terms = np.concatenate(docs)
+    order = np.argsort(terms, kind="stable")
+    distinct, counts = np.unique(terms, return_counts=True)
+    segment = decontaminate.Segment(
+        np.array([len(d) for d in docs]),
+        distinct,
+        np.cumsum(counts),
+        np.repeat(np.arange(5), [len(d) for d in docs])[order],
+        np.concatenate([np.arange(len(d)) for d in docs])[order],
+    )
+    for _ in range(3):
+        counts = rnd.integers(1, 9, 4)
+        searched = decontaminate.Searched.of(phrases, lambda words, c=counts: c[words])
+        found = set()
+        for starts, runs in segment.phrases(searched):
+            for start, run in zip(starts.tolist(), runs.tolist(), strict=True):
+                doc = int(segment.documents(np.array([start]))[0])
+                found.add((run, doc, start - int(segment.base[doc])))
+        want = set()
+        for run, (start, size) in enumerate(zip(searched.starts, searched.sizes, strict=True)):
+            words = searched.words[start : start + size]
+            for d, doc in enumerate(docs):
+                for i in range(len(doc) - size + 1):
+                    if (doc[i : i + size] == words).all():
+                        want.add((run, d, i))
+        assert found == want and len(want) > 50
+
+
+def test_all_words_are_indexed_where_items_have_too_many(spark, vocabulary, monkeypatch):
+    monkeypatch.setattr(decontaminate, "MAX_TERMS", 20)
+    docs, items = random_case(vocabulary, 3)
+    check(spark, docs, items, block_words=60)
 
 
-def test_rarest_word_first_does_not_change_matches():
-    segment = decontaminate.Segment(
-        np.array([6]),
-        np.array([0, 1]),
-        np.array([4, 6]),
-        np.zeros(6, np.int32),
-        np.array([0, 1, 3, 4, 2, 5]),
+def test_three_million_item_words_in_one_index(spark, monkeypatch):
+    """Blocks of a million words over one index, in a bounded driver."""
+    words = F.transform(
+        F.sequence(F.lit(1), F.lit(1000)),
+        lambda k: F.concat(F.lit("w"), F.pmod(F.xxhash64(F.col("id"), k), F.lit(300_000))),
+    )
+    items = spark.range(3000).select(
+        F.col("id").alias("item_id"), F.array_join(words, " ").alias("text")
+    )
+    docs = items.filter("item_id % 100 = 7").select(
+        F.col("item_id").alias("doc_id"), F.substring("text", 200, 2000).alias("text")
+    )
+    built = []
+    plain = decontaminate.build_index
+    monkeypatch.setattr(
+        decontaminate, "build_index", lambda *a, **k: built.append(len(a[1])) or plain(*a, **k)
     )
-    for order in ([0, 1, 2], [2, 0, 1], [1, 2, 0]):
-        starts = segment.phrase((0, 0, 1), np.array(order))
-        assert (starts - segment.base[0]).tolist() == [0, 3]
+    tracemalloc.start()
+    got = decontaminate.contaminated_documents(docs, items).collect()
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert len(got) == 30 and all(r["items"] == [str(r["doc_id"])] for r in got)
+    assert all(r["n_hit"] >= r["n_words"] - 2 for r in got)
+    assert built == [pytest.approx(300_000, rel=0.01)] and peak < 500e6
