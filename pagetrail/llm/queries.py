@@ -58,9 +58,10 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     archives, index = scratch_path(spark, "archives"), scratch_path(spark, "captures")
-    warc.write_archives(table(spark, sf_dir, "pages"), archives)
+    pages = table(spark, sf_dir, "pages")
+    warc.write_archives(pages, archives)
     warc.write_index(warc.captures(spark, archives), index)
-    return warc.read_back(spark, index)
+    return warc.read_back(pages, index)
 
 
 def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -25,6 +25,8 @@ from pyspark.sql import types as T
 from pagetrail.sources.scratch import scratch_table
 
 RECORDS_PER_FILE = 2000
+WINDOW_BYTES = 1 << 20  # of an archive read at a time while its records are listed
+BATCH_BYTES = 8 << 20  # of payloads held before they are passed on
 CAPTURES_PER_BLOCK = 256
 DIRECTORY_ROWS = 200_000  # rows of the directory that are searched, and broadcast, at a time
 LEAST_SHARED_BYTES = 100  # payloads below are never stored as revisits
@@ -35,6 +37,11 @@ CAPTURE = """page_id long, url string, kind string, digest string, refers_to lon
 file string, offset long, length long"""
 
 
+def _one_line(url: Column) -> Column:
+    """As it stands in a header."""
+    return F.replace(F.replace(url, F.lit("\r"), F.lit("%0D")), F.lit("\n"), F.lit("%0A"))
+
+
 def _record_id(page_id: Column, digest: Column) -> Column:
     hashed = F.md5(F.concat_ws("|", page_id.cast("string"), digest).cast("binary"))
     parts = [F.substring(hashed, a, n) for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))]
@@ -52,10 +59,9 @@ def records(
     """
     payload = F.coalesce(F.col(html), F.lit(""))
     digest = F.sha2(payload.cast("binary"), 256)
-    one_line = F.replace(F.replace(F.col(url), F.lit("\r"), F.lit("%0D")), F.lit("\n"), F.lit("%0A"))
     page = pages.select(
         F.col(key).cast("long").alias("page_id"),
-        one_line.alias("url"),
+        _one_line(F.col(url)).alias("url"),
         payload.alias("payload"),
         digest.alias("digest"),
     )
@@ -109,20 +115,47 @@ def write_archives(
     writer.option("maxRecordsPerFile", RECORDS_PER_FILE).text(folder)
 
 
-def parse(data: bytes) -> Iterator[tuple[int, int, dict[str, str], bytes]]:
-    """(offset, length, headers, block) of each record of an archive."""
-    at = 0
-    while at < len(data):
-        stop = data.index(b"\r\n\r\n", at) + 4
-        lines = data[at : stop - 4].decode().split("\r\n")
-        if not lines[0].startswith("WARC/"):
-            raise ValueError(f"no record at byte {at}")
-        headers = dict(line.split(": ", 1) for line in lines[1:])
-        end = stop + int(headers["Content-Length"])
-        if data[end : end + 4] != b"\r\n\r\n":
+def _headers(data: bytes, at: int) -> dict[str, str]:
+    lines = data.decode().split("\r\n")
+    if not lines[0].startswith("WARC/"):
+        raise ValueError(f"no record at byte {at}")
+    return dict(line.split(": ", 1) for line in lines[1:])
+
+
+def parse(data: bytes) -> tuple[dict[str, str], bytes]:
+    """Headers and block of one whole record."""
+    stop = data.index(b"\r\n\r\n") + 4
+    headers = _headers(data[: stop - 4], 0)
+    end = stop + int(headers["Content-Length"])
+    if data[end:] != b"\r\n\r\n":
+        raise ValueError("the record does not end where it says")
+    return headers, data[stop:end]
+
+
+def listed(file, size: int) -> Iterator[tuple[int, int, dict[str, str]]]:
+    """(offset, length, headers) of each record of an archive, read in windows.
+
+    Blocks that do not fit the window are skipped, not read, so memory does not depend on
+    the size of records or archives.
+    """
+    at, start, window = 0, 0, b""
+    while at < size:
+        stop, more = -1, WINDOW_BYTES
+        while stop < 0:
+            if start <= at < start + len(window):
+                stop = window.find(b"\r\n\r\n", at - start)
+            if stop < 0:
+                if start == at and len(window) == size - at:
+                    raise ValueError(f"no record at byte {at}")
+                if start == at and window:
+                    more *= 2  # a header longer than the window
+                window, start = file.read_at(min(more, size - at), at), at
+        headers = _headers(window[at - start : stop], at)
+        length = start + stop + 4 + int(headers["Content-Length"]) + 4 - at
+        if at + length > size:
             raise ValueError(f"the record at byte {at} does not end where it says")
-        yield at, end + 4 - at, headers, data[stop:end]
-        at = end + 4
+        yield at, length, headers
+        at += length
 
 
 def body(block: bytes) -> bytes:
@@ -131,15 +164,21 @@ def body(block: bytes) -> bytes:
 
 
 def captures(spark: SparkSession, folder: str) -> DataFrame:
-    """A row per record of the archives in a folder, found by reading them through once."""
+    """A row per record of the archives in a folder, of which the headers are read.
+
+    Spark lists the archives and deals them out by their sizes; tasks open them by byte
+    ranges, so no archive and no payload is ever a row. The folder is one that the executors
+    can open.
+    """
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(folder)
     schema = T._parse_datatype_string(CAPTURE)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i in range(batch.num_rows):
+            sizes = batch.column("length").to_pylist()
+            for path, size in zip(batch.column("path").to_pylist(), sizes, strict=True):
                 rows = []
-                for offset, length, headers, _ in parse(batch.column("content")[i].as_py()):
+                for offset, length, headers in listed(_opened(path), size):
                     page, first = headers.get("X-Page-ID"), headers.get("X-Refers-To-Page")
                     rows.append(
                         {
@@ -148,17 +187,20 @@ def captures(spark: SparkSession, folder: str) -> DataFrame:
                             "kind": headers["WARC-Type"],
                             "digest": headers["WARC-Payload-Digest"].removeprefix("sha256:"),
                             "refers_to": None if first is None else int(first),
-                            "file": batch.column("path")[i].as_py(),
+                            "file": path,
                             "offset": offset,
                             "length": length,
                         }
                     )
+                    if len(rows) == RECORDS_PER_FILE:
+                        yield pa.RecordBatch.from_pylist(rows, arrow_schema)
+                        rows = []
                 if rows:
                     yield pa.RecordBatch.from_pylist(rows, arrow_schema)
 
     kinds = {T.LongType(): pa.int64(), T.StringType(): pa.string()}
     arrow_schema = pa.schema([(f.name, kinds[f.dataType]) for f in schema.fields])
-    return files.select("path", "content").mapInArrow(run, schema)
+    return files.select("path", "length").mapInArrow(run, schema)
 
 
 def url_key(url: Column) -> Column:
@@ -237,7 +279,9 @@ def look_up(urls: DataFrame, folder: str, url: str = "url") -> DataFrame:
     """The captures of each of the given URLs, each URL once.
 
     The directory is searched in sorted parts of ``DIRECTORY_ROWS`` blocks, so it may be
-    of any size; only blocks whose range holds a wanted key are read.
+    of any size; only blocks whose range holds a wanted key are read. URLs count by their
+    keys: null ones and those without a host find the captures without one. A URL with no
+    capture gives no row, nor does an empty index or an empty table; repeated rows are one.
     """
     spark = urls.sparkSession
     wanted = urls.select(url_key(F.col(url)).alias("wanted")).distinct()
@@ -293,7 +337,8 @@ def read_records(found: DataFrame) -> DataFrame:
     """The captures with ``payload`` (binary), read as byte ranges of the archives.
 
     Captures are sorted by place in the archive, and an archive's are read by one task,
-    which holds one payload at a time. The folder is one that the executors can open.
+    which holds payloads of some megabytes at a time, one at least. The folder is one that
+    the executors can open.
     """
     source = found.repartition("file").sortWithinPartitions("file", "offset")
     schema = T.StructType([*found.schema.fields, T.StructField("payload", T.BinaryType())])
@@ -301,26 +346,40 @@ def read_records(found: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         name, file = None, None
         for batch in batches:
-            for start in range(0, batch.num_rows, 256):
-                part, bodies = batch.slice(start, 256), []
-                columns = (part.column(c).to_pylist() for c in ("file", "offset", "length"))
-                places = zip(*columns, strict=True)
-                for path, offset, length in places:
-                    if path != name:
-                        name, file = path, _opened(path)
-                    ((_, _, _, block),) = parse(file.read_at(length, offset))
-                    bodies.append(body(block))
-                yield pa.RecordBatch.from_arrays(
-                    [*part.columns, pa.array(bodies, pa.binary())], schema.names
-                )
+            columns = (batch.column(c).to_pylist() for c in ("file", "offset", "length"))
+            start, held, bodies = 0, 0, []
+            for i, (path, offset, length) in enumerate(zip(*columns, strict=True)):
+                if path != name:
+                    name, file = path, _opened(path)
+                _, block = parse(file.read_at(length, offset))
+                bodies.append(body(block))
+                held += length
+                if held >= BATCH_BYTES or i + 1 == batch.num_rows:
+                    part = batch.slice(start, len(bodies))
+                    yield pa.RecordBatch.from_arrays(
+                        [*part.columns, pa.array(bodies, pa.binary())], schema.names
+                    )
+                    start, held, bodies = i + 1, 0, []
 
     return source.mapInArrow(run, schema)
 
 
-def read_back(spark: SparkSession, index: str) -> DataFrame:
-    """Every page as the archives have it: page_id, payload_bytes, payload_digest,
-    record_type and refers_to. A revisit has the size of the response it stands for."""
-    read = read_records(indexed_captures(spark, index)).select(
+def read_back(
+    pages: DataFrame, index: str, key: str = "page_id", url: str = "url"
+) -> DataFrame:
+    """The pages as the archives have them: page_id, payload_bytes, payload_digest,
+    record_type and refers_to. A revisit has the size of the response it stands for.
+
+    Captures are found by looking the pages' URLs up in the index; a page without one is an
+    error. Null URLs are found like others; repeated rows are a record each; an empty table
+    gives no rows.
+    """
+    found = scratch_table(look_up(pages.select(_one_line(F.col(url)).alias("url")), index), "found")
+    ids = pages.select(F.col(key).cast("long").alias("_id"))
+    missed = ids.join(found, F.col("_id").eqNullSafe(F.col("page_id")), "left_anti")
+    if not missed.isEmpty():
+        raise LookupError(f"the index has no capture of page {missed.first()[0]} and maybe others")
+    read = read_records(found).select(
         "page_id",
         F.col("kind").alias("record_type"),
         "refers_to",

@@ -2,6 +2,9 @@ from __future__ import annotations
 
 import hashlib
 import random
+import subprocess
+import sys
+from pathlib import Path
 
 import pytest
 
@@ -56,7 +59,7 @@ def expected(rows):
 
 def test_read_back_equals_the_pages(spark, archived):
     rows, _, index = archived
-    got = warc.read_back(spark, index).collect()
+    got = warc.read_back(spark.createDataFrame(rows, PAGES), index).collect()
     assert {r["page_id"]: tuple(r)[1:] for r in got} == expected(rows) and len(got) == len(rows)
 
 
@@ -99,7 +102,7 @@ def test_edges_and_empty(spark):
     ]
     df = spark.createDataFrame(rows, PAGES).selectExpr("*", "1 AS payload", "2 AS digest", "3 AS block")
     _, index = archive(spark, df)
-    got = warc.read_back(spark, index).collect()
+    got = warc.read_back(df, index).collect()
     kinds = sorted((str(r["page_id"]), r["record_type"], str(r["refers_to"])) for r in got)
     assert kinds == sorted(
         [
@@ -112,8 +115,70 @@ def test_edges_and_empty(spark):
         ]
     )
     assert {r["payload_bytes"] for r in got} == {200, 0, 400_000}
-    _, none = archive(spark, spark.createDataFrame([], PAGES))
-    assert warc.read_back(spark, none).count() == 0
+    nothing = spark.createDataFrame([], PAGES)
+    _, none = archive(spark, nothing)
+    assert warc.read_back(nothing, none).count() == 0
+    assert warc.look_up(df, none).count() == 0 and warc.look_up(nothing, index).count() == 0
+    assert warc.look_up(df.select("url").filter("url is null"), index).count() == 3
+    with pytest.raises(LookupError):
+        warc.read_back(spark.createDataFrame([(9, "http://elsewhere/", "")], PAGES), index)
+
+
+class Held:
+    """An archive in memory that notes what is read of it."""
+
+    def __init__(self, data):
+        self.data, self.most = data, 0
+
+    def read_at(self, n, at):
+        self.most = max(self.most, n)
+        return self.data[at : at + n]
+
+
+def record(i, size, url="http://x/"):
+    block = b"HTTP/1.1 200 OK\r\n\r\n" + b"x" * size
+    head = f"WARC/1.1\r\nWARC-Target-URI: {url}\r\nX-Page-ID: {i}\r\nContent-Length: {len(block)}"
+    return head.encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
+
+
+def test_listing_skips_what_does_not_fit_the_window(monkeypatch):
+    monkeypatch.setattr(warc, "WINDOW_BYTES", 200)
+    parts = [record(0, 10), record(1, 100_000), record(2, 0, "http://x/" + "y" * 900), record(3, 5)]
+    file = Held(b"".join(parts))
+    found = list(warc.listed(file, len(file.data)))
+    assert [int(h["X-Page-ID"]) for _, _, h in found] == [0, 1, 2, 3]
+    assert [file.data[at : at + n] for at, n, _ in found] == parts and file.most < 4000
+    for broken in (file.data[:-9], file.data + b"more", b"no record\r\n\r\n"):
+        with pytest.raises(ValueError):
+            list(warc.listed(Held(broken), len(broken)))
+    with pytest.raises(ValueError):
+        warc.parse(parts[0][:-1])
+
+
+LARGE = """
+import sys
+from pyspark.sql import SparkSession, functions as F
+from pagetrail.llm import warc
+spark = (SparkSession.builder.master("local[4]").config("spark.ui.enabled", "false")
+    .config("spark.driver.memory", "1800m").config("spark.checkpoint.dir", sys.argv[1]).getOrCreate())
+pages = spark.range(600, numPartitions=4).select(F.col("id").alias("page_id"),
+    F.concat(F.lit("http://x.org/"), F.col("id") % 50).alias("url"),
+    F.concat(F.repeat(F.lit("0123456789"), 100_000), F.col("id")).alias("html"))
+warc.write_archives(pages, sys.argv[1] + "/archives")
+warc.write_index(warc.captures(spark, sys.argv[1] + "/archives"), sys.argv[1] + "/index")
+got = warc.read_back(pages, sys.argv[1] + "/index")
+row = got.agg(F.count("*"), F.min("payload_bytes"), F.countDistinct("payload_digest")).first()
+print("found", *row)
+"""
+
+
+def test_large_pages_on_a_small_heap(tmp_path):
+    """600 pages of a megabyte, 150 of them in each archive, on a heap of 1,800 MB."""
+    done = subprocess.run(
+        [sys.executable, "-c", LARGE, str(tmp_path)],
+        capture_output=True, text=True, timeout=300, cwd=Path(warc.__file__).parents[2],
+    )
+    assert "found 600 1000001 600" in done.stdout, done.stderr[-2000:]
 
 
 def test_url_key(spark):
