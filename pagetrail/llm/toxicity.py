@@ -10,6 +10,7 @@ mention of a group does not count against a text.
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -26,11 +27,11 @@ from pagetrail.llm.text import LOWER, LOWER_ALNUM, as_bytes
 FEATURES = 1 << 20
 PREFIXES = (4, 6)  # bytes of a word's beginning, besides the whole word
 SAMPLED_ROWS = 2500  # of each label, at most, that the classifier is fitted on
-SAMPLED_CHARACTERS = 8000  # longer texts are not in the sample
+SENTENCES = 8  # of each text of the sample that counterfactuals may be made from
 ROUNDS = 150
 SPARSITY = 0.0012  # weight, for each text, of the absolute values of the weights
 FAIRNESS = 1.0  # weight of the squared score changes of counterfactual pairs
-PAIRS = 600
+PAIRS = 600  # counterfactual pairs of each of two kinds that training sees, at most
 SLICE = 2 << 20
 
 # Terms for groups of people, in sets whose members replace each other.
@@ -58,6 +59,18 @@ def features(text: bytes) -> np.ndarray:
     return np.unique(np.concatenate(numbered)).astype(np.int64)
 
 
+# Fixed values end here. A term as a word of its own, in lower case.
+_GROUPS = {t.encode(): terms for terms in IDENTITY_TERMS for t in terms}
+_EDGE = rb"[\w\x80-\xff]"
+_TERM = re.compile(rb"(?<!%b)(%b)(?!%b)" % (_EDGE, b"|".join(sorted(_GROUPS)), _EDGE))
+
+
+def sentences(text: bytes, most: int = SENTENCES) -> list[bytes]:
+    """Of the sentences of a whole text some, those with an identity term first, by hash."""
+    found = {s for s in re.split(rb"[.!?\n]+", text.translate(LOWER)) if s.strip()}
+    return sorted(found, key=lambda s: (not _TERM.search(s), zlib.crc32(s), s))[:most]
+
+
 @dataclass
 class Classifier:
     weights: np.ndarray
@@ -75,45 +88,56 @@ def _flat(rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(rows) if rows else np.empty(0, np.int64), owner
 
 
-def counterfactuals(sentences: list[bytes], seed: int = 11) -> list[tuple[bytes, bytes]]:
-    """Pairs that differ in an identity term, at most ``PAIRS`` of each of two kinds."""
+def counterfactuals(
+    given: list[bytes], pairs: int = PAIRS, seed: int = 11
+) -> list[tuple[bytes, bytes]]:
+    """Pairs of sentences that differ in an identity term, at most ``pairs`` of each of two kinds."""
     rng = np.random.Generator(np.random.PCG64(seed))
-    group = {t.encode(): terms for terms in IDENTITY_TERMS for t in terms}
-    edge = rb"[\w\x80-\xff]"
-    any_term = b"|".join(sorted(group))
-    pattern = re.compile(rb"(?<!%b)(%b)(?!%b)" % (edge, any_term, edge))
     swapped, added = [], []
-    for i in rng.permutation(len(sentences)):
-        lower = sentences[i].translate(LOWER)
-        if (found := pattern.search(lower)) and len(swapped) < PAIRS:
-            others = [t for t in group[found[1]] if t.encode() != found[1]]
+    for i in rng.permutation(len(given)):
+        lower = given[i].translate(LOWER)
+        if (found := _TERM.search(lower)) and len(swapped) < pairs:
+            others = [t for t in _GROUPS[found[1]] if t.encode() != found[1]]
             other = others[rng.integers(len(others))].encode()
             swapped.append((lower, lower[: found.start()] + other + lower[found.end() :]))
-        if len(added) < PAIRS:
+        if len(added) < pairs:
             terms = IDENTITY_TERMS[rng.integers(len(IDENTITY_TERMS))]
             mention = MENTIONS[rng.integers(len(MENTIONS))].format(terms[rng.integers(len(terms))])
             added.append((lower, lower + b" " + mention.encode()))
     return swapped + added
 
 
-def fit(texts: list[bytes], labels: np.ndarray, rounds: int = ROUNDS) -> Classifier:
+def fit(
+    texts: list[bytes], labels: np.ndarray, rounds: int = ROUNDS, pairs: int = PAIRS
+) -> Classifier:
+    """``fit_features`` for texts at hand."""
+    given = [s for t in texts for s in sentences(t)]
+    return fit_features([features(t) for t in texts], given, labels, rounds, pairs)
+
+
+def fit_features(
+    rows: list[np.ndarray],
+    given: list[bytes],
+    labels: np.ndarray,
+    rounds: int = ROUNDS,
+    pairs_of_a_kind: int = PAIRS,
+) -> Classifier:
     """Logistic loss, absolute weights and squared counterfactual differences, by
-    proximal steps whose size adapts to each weight."""
-    rows = [features(t) for t in texts]
+    proximal steps whose size adapts to each weight. ``rows`` are features of whole texts,
+    ``given`` sentences to make counterfactuals from."""
     flat, owner = _flat(rows)
-    sentences = [s for t in texts for s in re.split(rb"[.!?\n]+", t) if s.strip()]
-    pairs = [(features(a), features(b)) for a, b in counterfactuals(sentences)]
+    pairs = [(features(a), features(b)) for a, b in counterfactuals(given, pairs_of_a_kind)]
     changed, pair = _flat([np.setxor1d(a, b, assume_unique=True) for a, b in pairs])
     gained, gainer = _flat([np.setdiff1d(b, a, assume_unique=True) for a, b in pairs])
     used, flat = np.unique(np.concatenate([flat, changed, gained]), return_inverse=True)
     flat, changed, gained = np.split(flat, np.cumsum([len(owner), len(pair)]))
     # Both labels weigh the same, however often they occur in the sample.
     share = np.where(labels > 0, labels.mean(), 1 - labels.mean())
-    importance, sparsity = 0.5 / np.maximum(share, 1e-9), SPARSITY * len(texts)
+    importance, sparsity = 0.5 / np.maximum(share, 1e-9), SPARSITY * len(rows)
     weights, squares = np.zeros(len(used)), np.full(len(used), 1e-8)
     intercept, intercept_square = 0.0, 1e-8
     for _ in range(rounds):
-        logits = np.bincount(owner, weights[flat], len(texts)) + intercept
+        logits = np.bincount(owner, weights[flat], len(rows)) + intercept
         error = (1 / (1 + np.exp(-np.clip(logits, -30, 30))) - labels) * importance
         gradient = np.bincount(flat, error[owner], len(used))
         if len(pairs):
@@ -142,12 +166,15 @@ def train(
     text: str = "text",
     label: str = "toxic",
     rows: int = SAMPLED_ROWS,
+    pairs: int = PAIRS,
 ) -> Classifier:
     """Fitted on at most ``rows`` labelled rows of each label where ``learns(key)`` holds.
 
-    These are the ones with the smallest hashes of their keys; texts over
-    ``SAMPLED_CHARACTERS`` are left out of the sample. Of several labels for a key the
-    highest counts; null labels do not. Without labelled rows every score is a half.
+    These are the ones with the smallest hashes of their keys; of each the whole text
+    counts, however long. Of several labels for a key the highest counts, of several texts
+    the one with the smallest hash; null labels do not. Texts are turned into features by
+    tasks: the driver gets the sample's features and some of its sentences, of which at most
+    ``pairs`` of each kind become counterfactuals. Without labelled rows every score is a half.
     """
     known = labels.filter(F.col(label).isNotNull() & F.col(key).isNotNull() & learns)
     known = known.groupBy(key).agg(F.max(label).alias("_label"))
@@ -155,18 +182,35 @@ def train(
     sides = [known.filter(side) for side in (F.col("_label") > 0, F.col("_label") <= 0)]
     first, second = (side.orderBy(*order).limit(rows) for side in sides)
     chosen = first.union(second)
-    short = docs.filter(F.length(text) <= SAMPLED_CHARACTERS)
     found = (
-        short.select(key, as_bytes(F.col(text)).alias("_text"))
+        docs.select(key, as_bytes(F.col(text)).alias("_text"))
         .join(F.broadcast(chosen), key)  # two times ``rows`` at most
-        .dropDuplicates([key])
-        .orderBy(key)
-        .collect()
+        .groupBy(key)
+        .agg(F.min(F.struct(F.xxhash64("_text").alias("h"), "_text", "_label")).alias("x"))
+        .select(F.xxhash64(key).alias("at"), "x._text", (F.col("x._label") > 0).alias("toxic"))
     )
-    if not found:
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "_text", SLICE):
+            texts = batch.column("_text").to_pylist()
+            arrays = [
+                batch.column("at"),
+                batch.column("toxic"),
+                pa.array([features(t).astype("<u4").tobytes() for t in texts], pa.binary()),
+                pa.array([sentences(t) for t in texts], pa.list_(pa.binary())),
+            ]
+            yield pa.RecordBatch.from_arrays(arrays, ["at", "toxic", "features", "sentences"])
+
+    fields = "at long, toxic boolean, features binary, sentences array<binary>"
+    examples = found.mapInArrow(run, fields).orderBy("at", "features").collect()
+    if not examples:
         return Classifier(np.zeros(FEATURES, np.float32))
-    texts = [bytes(r["_text"]) for r in found]
-    return fit(texts, np.array([float(r["_label"] > 0) for r in found]))
+    return fit_features(
+        [np.frombuffer(bytes(r["features"]), "<u4").astype(np.int64) for r in examples],
+        [bytes(s) for r in examples for s in r["sentences"]],
+        np.array([float(r["toxic"]) for r in examples]),
+        pairs_of_a_kind=pairs,
+    )
 
 
 def score(

@@ -51,6 +51,56 @@ def test_swaps_change_one_term_only():
     assert not any(a == b"womenfolk" and len(b.split()) == 1 for a, b in pairs)
 
 
+def test_sample_has_whole_long_texts_and_one_row_of_each_id(spark):
+    """The only insult stands at the end of long texts, and the model learns it."""
+    rows = [(i, "calm words here " * 2000 + ("zzidiot" if i % 2 else "friend")) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = docs.selectExpr("doc_id", "doc_id % 2 AS toxic")
+    model = toxicity.train(docs, labels, F.lit(True))
+    assert model.score(b"you zzidiot") > 0.5 > model.score(b"a friend")
+    other = docs.withColumn("text", F.concat("text", F.lit(" again")))
+    twice = docs.union(other).union(docs)
+    first = toxicity.train(twice.repartition(7), labels, F.lit(True))
+    second = toxicity.train(twice.orderBy("text").repartition(3), labels, F.lit(True))
+    assert np.array_equal(first.weights, second.weights) and first.intercept == second.intercept
+
+
+def test_fit_equals_plain_sums(vocabulary):
+    """The same proximal steps written with plain sums over texts and pairs."""
+    texts, labels = biased_sample(vocabulary, 20)
+    given = [s for t in texts for s in toxicity.sentences(t)]
+    pairs = [
+        (set(toxicity.features(a)), set(toxicity.features(b)))
+        for a, b in toxicity.counterfactuals(given)
+    ]
+    rows = [set(toxicity.features(t)) for t in texts]
+    w, sq, bias, bias_sq = {}, {}, 0.0, 1e-8
+    share = [labels.mean() if y > 0 else 1 - labels.mean() for y in labels]
+    for _ in range(5):
+        gradient = {f: 0.0 for row in rows for f in row}
+        gradient |= {f: 0.0 for a, b in pairs for f in a ^ b}
+        errors = []
+        for row, y, part in zip(rows, labels, share, strict=True):
+            z = sum(w.get(f, 0.0) for f in row) + bias
+            errors.append((1 / (1 + np.exp(-np.clip(z, -30, 30))) - y) * 0.5 / part)
+            for f in row:
+                gradient[f] += errors[-1]
+        for a, b in pairs:
+            change = sum(w.get(f, 0.0) for f in b - a) - sum(w.get(f, 0.0) for f in a - b)
+            for f in a ^ b:
+                gradient[f] += 2 * toxicity.FAIRNESS * change * (1 if f in b else -1)
+        for f, g in gradient.items():
+            sq[f] = sq.get(f, 1e-8) + g * g
+            rate = 0.3 / np.sqrt(sq[f])
+            moved = w.get(f, 0.0) - rate * g
+            w[f] = np.sign(moved) * max(abs(moved) - rate * toxicity.SPARSITY * len(texts), 0)
+        bias_sq += sum(errors) ** 2
+        bias -= 0.3 * sum(errors) / np.sqrt(bias_sq)
+    model = toxicity.fit(texts, labels, rounds=5)
+    assert abs(model.intercept - bias) < 1e-9
+    assert all(abs(model.weights[f] - v) < 1e-5 for f, v in w.items()) and len(w) > 100
+
+
 def test_held_out_accuracy(spark):
     got = QUERIES["op7_toxicity"](spark, SF_DIR).cache()
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
