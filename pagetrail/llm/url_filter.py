@@ -18,7 +18,6 @@ from pagetrail.llm.text import ascii_lower
 from pagetrail.sources.scratch import scratch_table
 
 DAMPING = 0.85
-ITERATIONS = 10
 TOLERANCE = 1e-6  # by which a host's value may still change, in parts of it, when steps end
 THRESHOLD = 0.8  # the share of distrust from which a host is blocked
 
@@ -95,7 +94,7 @@ def host_edges(pages: DataFrame, url: str = "url", html: str = "html") -> DataFr
 def propagate(
     edges: DataFrame,
     seeds: DataFrame,
-    iterations: int | None = ITERATIONS,
+    iterations: int | None = None,
     damping: float = DAMPING,
 ) -> DataFrame:
     """``node``, ``trust`` and ``distrust`` of every host that any of it reaches.

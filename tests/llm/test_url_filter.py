@@ -83,6 +83,7 @@ def test_propagation_equals_brute_force(spark):
     got = url_filter.propagate(
         spark.createDataFrame(edges, "src string, dst string, n long"),
         spark.createDataFrame(seeds, "node string, allowed long, blocked long"),
+        iterations=10,
     ).collect()
     for side, column in (("trust", 1), ("distrust", 2)):
         want = propagated(edges, {s[0]: s[column] for s in seeds}, side)
