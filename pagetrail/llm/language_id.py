@@ -210,25 +210,27 @@ def train(
     lang: str = "lang",
     key: str = "doc_id",
     texts: int = SAMPLED_TEXTS,
+    characters: int = SAMPLED_CHARACTERS,
 ) -> Network | None:
     """A network for the languages of the rows where ``learns`` holds; None without any.
 
-    It sees at most ``texts`` rows of each language, those with the smallest hashes of
-    key and text that have letters, and a stretch of ``SAMPLED_CHARACTERS`` of each, from a hashed place on.
+    It is fitted on a bounded sample: of each language the ``texts`` rows with the smallest
+    hashes of key and text among those with letters, all if they are fewer, and of each
+    a stretch of ``characters``, from a hashed place on. Languages are a row each in the driver.
     """
-    labelled = docs.filter(learns & F.col(lang).isNotNull())
+    labelled = docs.filter(learns & F.col(lang).isNotNull() & F.col(text).rlike(r"\p{L}"))
     order = F.xxhash64(F.col(key), F.col(text))
-    # The smallest hashes lie in a share of their range that yields some times as many.
+    # Only a share of the hashes' range is ranked, one that yields some times as many rows.
     counted = labelled.groupBy(F.col(lang).alias("lang")).agg(F.count("*").alias("n")).collect()
     near = F.lit(False)
     for row in counted:
         share = min(1.0, SPARE * texts / row["n"])
         low = F.lit(int(-(2**63) + share * (2**64 - 1)) if share < 1 else 2**63 - 1)
         near = near | ((F.col(lang) == row["lang"]) & (order <= low))
-    usable = labelled.filter(near & F.col(text).rlike(r"\p{L}"))
-    room = F.greatest(F.lit(1), F.length(text) - SAMPLED_CHARACTERS)
+    usable = labelled.filter(near)
+    room = F.greatest(F.lit(1), F.length(text) - characters)
     first = F.pmod(order, room.cast("long")).cast("int") + 1
-    part = F.substr(F.col(text), first, F.lit(SAMPLED_CHARACTERS))
+    part = F.substr(F.col(text), first, F.lit(characters))
     ranked = usable.select(F.col(lang).alias("lang"), order.alias("o"), part.alias("part"))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("o", "part"))
     rows = ranked.withColumn("rank", rank).filter(F.col("rank") <= texts).collect()
