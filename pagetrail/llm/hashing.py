@@ -62,13 +62,18 @@ def _chunk(data: np.ndarray, prefix: int | None) -> np.ndarray:
     return mix(np.add.reduceat(values, firsts) + lengths)
 
 
-def word_endings(text: bytes) -> np.ndarray:
-    """The last two bytes of each word as one number; a space before a single byte."""
+def word_endings(text: bytes, size: int) -> np.ndarray:
+    """The last ``size`` bytes of each word as one number; spaces before a shorter word."""
     data = np.frombuffer(text, np.uint8)
     inside = ~_SPACE[data]
     last = np.flatnonzero(inside & ~np.append(inside[1:], False))
-    before = np.where((last > 0) & inside[last - 1], data[last - 1], 32)
-    return before.astype(np.uint64) * np.uint64(256) + data[last]
+    ending, within = np.zeros(len(last), np.uint64), np.ones(len(last), bool)
+    for back in range(size):
+        at = last - back
+        within &= (at >= 0) & inside[at]
+        byte = np.where(within, data[at], 32).astype(np.uint64)
+        ending += byte << np.uint64(8 * back)
+    return ending
 
 
 def run_hashes(words: np.ndarray, size: int) -> np.ndarray:

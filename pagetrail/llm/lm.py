@@ -1,10 +1,12 @@
 """Hashed maximum-entropy language model with a class-factored softmax.
 
 ``p(word | history) = p(class | history) * p(word | class)``. The first factor is a
-softmax over classes whose features are the hashed previous word, the pair of previous
-words, and the words two and three back (skips). Frequent words are classes of their
-own, the others are classed by their endings. Within a class the features are the words
-themselves, for which the optimum is known: smoothed relative frequency.
+softmax over classes. Its features are the hashed previous word, the pair of previous words
+and the word two back (a skip), and the endings of the last four words, which also speak for
+words that training has not seen. Frequent words are classes of their own. The others are
+classed by their endings, and endings that occur in the same texts are one class: they are
+clustered by what else the training texts with them hold. Within a class the features
+are the words themselves, for which the optimum is known: smoothed relative frequency.
 
 Texts are first cut into blocks of numbered tokens, which all later steps read. Word
 counts are summed over all blocks and joined back to each block's own words, so no task
@@ -31,37 +33,46 @@ from pagetrail.llm.hashing import mix, word_endings, word_hashes
 from pagetrail.llm.text import LOWER, as_bytes
 from pagetrail.sources.scratch import scratch_path, scratch_table
 
-CLASSES = 32
-FREQUENT = 15  # words that are classes of their own, besides the end of the text
+CLASSES = 24
+FREQUENT = 3  # words that are classes of their own, besides the end of the text
 END_CLASS = FREQUENT
-ENDINGS = CLASSES - FREQUENT - 1  # classes for all other words, by their last two bytes
+CLUSTERS = CLASSES - FREQUENT - 1  # classes for all other words, by their endings
+ENDING_BYTES = 3
+ENDINGS = 4096  # numbers that endings are hashed to
+ANCHORS = 128  # groups of endings whose share in a text describes it
+TEXTS = 256  # described at a time
 BUCKET_BITS = 15
-BUCKETS = 1 << BUCKET_BITS  # rows of hashed features
-ROUNDS = 1
-BATCH = 65536
-RATE = 0.1
+HASHED = 1 << BUCKET_BITS  # rows of hashed features of words
+BACK = 3  # words whose endings are features
+BUCKETS = HASHED + BACK * (ENDINGS + 1)  # all rows; an ending may be missing
+ROUNDS = 1  # passes over the training texts
+EXCHANGES = 2  # parts of a pass after which the tasks' weights are averaged
+BLOCKS_A_TASK = 16  # at least, so that a task sees enough to learn from
+BATCH = 65536  # tokens of an update, and of what is scored at a time
+FIRST_BATCH = 4096  # of a task's first updates; it doubles after every eight
+RATE = 0.15
 BLOCK_BYTES = 4 << 20
 END = np.uint64(0x5EED0FE4D0F7E875)
 COUNT_BITS = 40  # of a packed (position, count)
 
 _KIND_STEPS = np.array(
-    [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64
+    [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64
 )
 
 
 def tokenise(text: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the words (A-Z lower-cased) and of the end, and each one's ending class."""
+    """Hashes of the words (A-Z lower-cased) and of the end, and each one's numbered ending.
+
+    The end has the number after the last.
+    """
     lower = text.translate(LOWER)
-    groups = (mix(word_endings(lower)) % np.uint64(ENDINGS)).astype(np.int32)
-    return (
-        np.append(word_hashes(lower), END),
-        np.append(groups + END_CLASS + 1, END_CLASS).astype(np.int32),
-    )
+    endings = mix(word_endings(lower, ENDING_BYTES)) % np.uint64(ENDINGS)
+    return np.append(word_hashes(lower), END), np.append(endings, ENDINGS).astype(np.int32)
 
 
 def blocks(docs: DataFrame, learns: Column, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Rows of some megabytes of text: keys, whether they train, lengths, and their tokens
-    as numbers into the block's own distinct ``words``, with classes and training counts.
+    as numbers into the block's own distinct ``words``, with endings and training counts.
 
     ``block`` numbers the rows of one run of this plan, so write it before using it twice.
     """
@@ -78,7 +89,7 @@ def blocks(docs: DataFrame, learns: Column, key: str = "doc_id", text: str = "te
             T.StructField("lengths", T.ArrayType(T.IntegerType())),
             T.StructField("tokens", T.BinaryType()),
             T.StructField("words", T.ArrayType(T.LongType())),
-            T.StructField("classes", T.ArrayType(T.IntegerType())),
+            T.StructField("endings", T.ArrayType(T.IntegerType())),
             T.StructField("counts", T.ArrayType(T.IntegerType())),
         ]
     )
@@ -91,10 +102,10 @@ def blocks(docs: DataFrame, learns: Column, key: str = "doc_id", text: str = "te
             words, first, tokens = np.unique(
                 np.concatenate([c[0] for c in coded]), return_index=True, return_inverse=True
             )
-            classes = np.concatenate([c[1] for c in coded])[first]
+            endings = np.concatenate([c[1] for c in coded])[first]
             # Frequent words get small numbers, which take less room when compressed.
             order = np.argsort(-np.bincount(tokens, minlength=len(words)), kind="stable")
-            words, classes = words[order], classes[order]
+            words, endings = words[order], endings[order]
             tokens = np.argsort(order, kind="stable")[tokens]
             learns = batch.column("_learns").to_numpy(zero_copy_only=False)
             counts = np.bincount(tokens[np.repeat(learns, lengths)], minlength=len(words))
@@ -107,7 +118,7 @@ def blocks(docs: DataFrame, learns: Column, key: str = "doc_id", text: str = "te
                 one(lengths, pa.int32()),
                 pa.array([packed(tokens)], pa.binary()),
                 one(words.view(np.int64), pa.int64()),
-                one(classes, pa.int32()),
+                one(endings, pa.int32()),
                 one(counts, pa.int32()),
             ]
             yield pa.RecordBatch.from_arrays(arrays, schema.names)
@@ -127,15 +138,91 @@ def unpacked(data: bytes) -> np.ndarray:
 
 
 def word_counts(coded: DataFrame) -> DataFrame:
-    """``word``, ``n`` and ``class`` (by ending) of every word of the training texts."""
-    each = coded.select(F.explode(F.arrays_zip("words", "classes", "counts")).alias("x"))
+    """``word``, ``n`` and ``ending`` of every word of the training texts."""
+    each = coded.select(F.explode(F.arrays_zip("words", "endings", "counts")).alias("x"))
     return (
         each.filter("x.counts > 0")
         .groupBy(F.col("x.words").alias("word"))
-        .agg(F.sum("x.counts").alias("n"), F.min("x.classes").alias("class"))
+        .agg(F.sum("x.counts").alias("n"), F.min("x.endings").alias("ending"))
     )
 
 
+def company(coded: DataFrame) -> np.ndarray:
+    """For each ending the mean description of the training texts around it (ENDINGS x ANCHORS).
+
+    A text is described by the shares of groups of endings in it; each of its words adds
+    that to its own ending's row. One matrix a task, added up in a tree.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((ENDINGS, ANCHORS))
+        for batch in batches:
+            for row in _rows(batch):
+                endings = row["endings"][row["tokens"]]
+                text = np.repeat(np.arange(len(row["lengths"])), row["lengths"])
+                used = np.repeat(row["learns"], row["lengths"]) & (endings < ENDINGS)
+                endings, text = endings[used], text[used].astype(np.int64)
+                cuts = np.searchsorted(text, np.arange(0, len(row["lengths"]) + TEXTS, TEXTS))
+                for k, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)):
+                    at = (text[a:b] - k * TEXTS) * ENDINGS + endings[a:b]
+                    held = np.bincount(at, minlength=TEXTS * ENDINGS).astype(np.float32)
+                    held = held.reshape(TEXTS, ENDINGS)
+                    shares = held.reshape(TEXTS, -1, ANCHORS).sum(axis=1)
+                    shares /= np.maximum(shares.sum(axis=1, keepdims=True), 1)
+                    total += held.T @ shares
+        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["sums"])
+
+    used = coded.select("learns", "lengths", "tokens", "words", "endings")
+    sums = used.mapInArrow(run, "sums binary").rdd.map(lambda r: np.frombuffer(r["sums"]))
+    if used.isEmpty():
+        return np.zeros((ENDINGS, ANCHORS))
+    return sums.treeReduce(np.add, depth=3).reshape(ENDINGS, ANCHORS)
+
+
+def clustered(company: np.ndarray) -> np.ndarray:
+    """The class of each ending: weighted k-means of their descriptions, by the distance
+    that compares each share with its overall value. Rare endings follow the nearest centre,
+    those never seen the largest class."""
+    weight = company.sum(axis=1)
+    out = np.zeros(ENDINGS, np.int32)
+    seen = np.flatnonzero(weight > 0)
+    if not len(seen):
+        return out + END_CLASS + 1
+    overall = np.maximum(company.sum(axis=0) / weight.sum(), 1e-12)
+    weight = weight[seen]
+    points = (company[seen] / weight[:, None] - overall) / np.sqrt(overall)
+    # Few directions tell texts apart; the others are noise of rare endings.
+    _, _, axes = np.linalg.svd(points * np.sqrt(weight)[:, None], full_matrices=False)
+    points = points @ axes[:CLUSTERS].T
+
+    def distances(centres: np.ndarray) -> np.ndarray:
+        return ((points[:, None, :] - centres) ** 2).sum(axis=2)
+
+    # Centres one by one where weight and distance from those before are the greatest.
+    centres = points[[weight.argmax()]]
+    while len(centres) < min(CLUSTERS, len(seen)):
+        far = weight * distances(centres).min(axis=1)
+        if far.max() <= 1e-9 * (weight * (points**2).sum(axis=1)).max():
+            break
+        centres = np.vstack([centres, points[far.argmax()]])
+    for _ in range(50):
+        nearest = distances(centres).argmin(axis=1)
+        moved = np.stack(
+            [
+                np.average(points[nearest == k], axis=0, weights=weight[nearest == k])
+                if (nearest == k).any()
+                else centre
+                for k, centre in enumerate(centres)
+            ]
+        )
+        if np.allclose(moved, centres):
+            break
+        centres = moved
+    out += int(np.bincount(nearest, weight).argmax())
+    out[seen] = nearest
+    return out + END_CLASS + 1
+
+
 @dataclass
 class Vocabulary:
     """What the model knows of all words together; its size does not grow with the data."""
@@ -143,43 +230,51 @@ class Vocabulary:
     tokens: int
     distinct: int
     frequent: dict[int, int]  # the classes of the most frequent words
+    of_ending: np.ndarray  # the classes of all others, and of the end
     class_tokens: np.ndarray
     class_words: np.ndarray
 
-    def classes(self, words: np.ndarray, by_ending: np.ndarray) -> np.ndarray:
-        out = by_ending.copy()
+    def classes(self, words: np.ndarray, endings: np.ndarray) -> np.ndarray:
+        out = self.of_ending[endings]
         for word, number in self.frequent.items():
             out[words == word] = number
         return out
 
 
-def vocabulary(counts: DataFrame) -> Vocabulary:
-    """At most ``FREQUENT`` words and ``CLASSES`` sums are fetched."""
+def vocabulary(counts: DataFrame, of_ending: np.ndarray) -> Vocabulary:
+    """At most ``FREQUENT`` words and a sum for each ending are fetched."""
+    of_ending = np.append(of_ending, END_CLASS).astype(np.int32)
     end = F.lit(int(END.astype(np.int64)))
-    top = counts.filter(F.col("word") != end).orderBy(F.desc("n"), "word").limit(FREQUENT)
-    frequent = {r["word"]: i for i, r in enumerate(top.collect())}
-    number = F.col("class")
-    for word, i in frequent.items():
-        number = F.when(F.col("word") == word, i).otherwise(number)
-    sums = counts.groupBy(number.alias("c")).agg(F.sum("n").alias("n"), F.count("*").alias("v"))
+    top = counts.filter(F.col("word") != end).orderBy(F.desc("n"), "word").limit(FREQUENT).collect()
+    frequent = {r["word"]: i for i, r in enumerate(top)}
+    sums = counts.groupBy("ending").agg(F.sum("n").alias("n"), F.count("*").alias("v"))
     tokens, words = np.zeros(CLASSES), np.zeros(CLASSES)
     for row in sums.collect():
-        tokens[row["c"]], words[row["c"]] = row["n"], row["v"]
-    return Vocabulary(int(tokens.sum()), int(words.sum()), frequent, tokens, words)
+        tokens[of_ending[row["ending"]]] += row["n"]
+        words[of_ending[row["ending"]]] += row["v"]
+    for i, row in enumerate(top):
+        tokens[of_ending[row["ending"]]] -= row["n"]
+        words[of_ending[row["ending"]]] -= 1
+        tokens[i], words[i] = row["n"], 1
+    return Vocabulary(int(tokens.sum()), int(words.sum()), frequent, of_ending, tokens, words)
 
 
-def histories(words: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """The feature rows of each token (four kinds x tokens), from up to three words before it."""
+def histories(words: np.ndarray, endings: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The feature rows of each token (seven kinds x tokens), from up to four words before it."""
     place = np.arange(len(words)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-    before = []
-    for back in (1, 2, 3):
-        shifted = np.concatenate([np.zeros(min(back, len(words)), np.uint64), words[:-back]])
-        before.append(np.where(place >= back, shifted, np.uint64(0)))
-    one, two, three = before
-    first, second, third, fourth = _KIND_STEPS
-    pair = one * first + two * second
-    hashed = np.stack([one * first, pair * second, two * third, three * fourth])
-    return (hashed >> np.uint64(64 - BUCKET_BITS)).astype(np.uint16)
+
+    def before(values: np.ndarray, back: int, none) -> np.ndarray:
+        shifted = np.concatenate([values[: min(back, len(values))], values[:-back]])
+        return np.where(place >= back, shifted, values.dtype.type(none))
+
+    one, two = before(words, 1, 0), before(words, 2, 0)
+    first, second, third = _KIND_STEPS
+    hashed = np.stack([one * first, (one * first + two * second) * second, two * third])
+    rows = [(hashed >> np.uint64(64 - BUCKET_BITS)).astype(np.int32)]
+    for back in range(1, BACK + 1):
+        ending = before(endings, back, ENDINGS)
+        rows.append((ending + (HASHED + (back - 1) * (ENDINGS + 1)))[None].astype(np.int32))
+    return np.concatenate(rows)
 
 
 class Weights:
@@ -205,7 +300,7 @@ class Weights:
         """One step on a batch of tokens, its size adapted to each weight."""
         error = np.exp(self.log_probabilities(features))
         error[np.arange(len(classes)), classes] -= 1
-        rows = [kind.astype(np.int64) for kind in features]
+        rows = features.astype(np.int64)
         gradient = np.empty_like(self.table)
         for number, column in enumerate(np.ascontiguousarray(error.T)):
             gradient[:, number] = sum(np.bincount(r, column, BUCKETS) for r in rows)
@@ -225,40 +320,48 @@ def _rows(batch: pa.RecordBatch) -> Iterator[dict[str, np.ndarray]]:
 
 
 def train(coded: DataFrame, vocab: Vocabulary, rounds: int = ROUNDS) -> Weights:
-    """Rounds of updates over all training tokens; only sums of weights reach the driver."""
+    """Passes of updates over all training tokens; only sums of weights reach the driver.
+
+    A pass is made in parts, each over other blocks, after which the tasks' weights are
+    averaged and all go on from there. A task has several blocks, so the weights depend
+    little on how the texts were partitioned.
+    """
     context = coded.sparkSession.sparkContext
     weights = Weights.zero(vocab)
-    used = coded.select("learns", "lengths", "tokens", "words", "classes")
-    for number in range(rounds):
+    used = coded.select("block", "learns", "lengths", "tokens", "words", "endings")
+    tasks = max(1, used.count() // EXCHANGES // BLOCKS_A_TASK)
+    for number in range(rounds * EXCHANGES):
         shared = context.broadcast((weights.table, weights.bias, vocab))
-        rate = RATE / (1 + number)
+        rate = RATE / (1 + number // EXCHANGES)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared, rate=rate):
             table, bias, known = shared.value
             own = Weights(table.copy(), bias)
             squares = np.full(table.shape, 1e-4, np.float32)
-            seen = np.zeros(BUCKETS, np.int64)
+            seen, updates = np.zeros(BUCKETS, np.int64), 0
             for batch in batches:
                 for row in _rows(batch):
                     learns = np.repeat(row["learns"], row["lengths"])
-                    numbers = known.classes(row["words"].view(np.int64), row["classes"])
-                    features = histories(row["words"][row["tokens"]], row["lengths"])[:, learns]
+                    numbers = known.classes(row["words"].view(np.int64), row["endings"])
+                    words, endings = (row[c][row["tokens"]] for c in ("words", "endings"))
+                    features = histories(words, endings, row["lengths"])[:, learns]
                     classes = numbers[row["tokens"]][learns]
-                    for start in range(0, len(classes), BATCH):
-                        part = slice(start, start + BATCH)
+                    start = 0
+                    while start < len(classes):
+                        part = slice(start, start + min(BATCH, FIRST_BATCH << updates // 8))
                         own.update(features[:, part], classes[part], squares, rate)
+                        start, updates = part.stop, updates + 1
                     seen += np.bincount(features.ravel(), minlength=BUCKETS)
             change = (own.table - table) * seen[:, None]
             sums = np.concatenate([change.ravel(), seen.astype(np.float64)]).astype(np.float32)
             yield pa.RecordBatch.from_arrays([pa.array([sums.tobytes()], pa.binary())], ["sums"])
 
-        sums = used.mapInArrow(run, "sums binary").rdd.map(
+        part = F.pmod(F.xxhash64("block"), F.lit(EXCHANGES)) == number % EXCHANGES
+        sums = used.filter(part).coalesce(tasks).mapInArrow(run, "sums binary").rdd.map(
             lambda r: np.frombuffer(r["sums"], np.float32)
         )
-        total = sums.treeReduce(np.add, depth=3) if not used.isEmpty() else None
+        total = sums.treeReduce(np.add, depth=3)
         shared.unpersist()
-        if total is None:
-            break
         seen = np.maximum(total[-BUCKETS:], 1)[:, None]
         weights.table += total[:-BUCKETS].reshape(BUCKETS, CLASSES) / seen
     return weights
@@ -284,7 +387,7 @@ def score(
     cut.write.option("compression", "zstd").parquet(path)
     coded = spark.read.schema(cut.schema).parquet(path)
     counts = scratch_table(word_counts(coded), "word-counts")
-    vocab = vocabulary(counts)
+    vocab = vocabulary(counts, clustered(company(coded)))
     weights = train(coded, vocab, rounds) if vocab.tokens else Weights.zero(vocab)
 
     asked = coded.select("block", F.posexplode("words").alias("at", "word"))
@@ -294,7 +397,7 @@ def score(
         "block", placed.alias("packed")
     )
     found = found.groupBy("block").agg(F.sort_array(F.collect_list("packed")).alias("packed"))
-    ready = coded.select("block", "keys", "learns", "lengths", "tokens", "words", "classes")
+    ready = coded.select("block", "keys", "learns", "lengths", "tokens", "words", "endings")
     ready = ready.join(found, "block")
 
     shared = docs.sparkSession.sparkContext.broadcast((weights.table, weights.bias, vocab))
@@ -317,12 +420,12 @@ def score(
             for i, row in enumerate(_rows(batch)):
                 n = (row["packed"] & (scale - 1)).astype(np.float64)
                 base = np.log10((n + 0.5) / (known.tokens + 0.5 * (known.distinct + 1)))
-                classes = known.classes(row["words"].view(np.int64), row["classes"])
+                classes = known.classes(row["words"].view(np.int64), row["endings"])
                 inside = np.log10(
                     (n + 0.5) / (known.class_tokens + 0.5 * (known.class_words + 1))[classes]
                 )
                 tokens, lengths = row["tokens"], row["lengths"]
-                features = histories(row["words"][tokens], lengths)
+                features = histories(row["words"][tokens], row["endings"][tokens], lengths)
                 by_class = np.empty(len(tokens))
                 for start in range(0, len(tokens), BATCH):
                     part = slice(start, start + BATCH)
