@@ -1,14 +1,18 @@
-"""Command line: ``python -m pagetrail run SOURCE ROOT`` and ``report ROOT``."""
+"""Command line: ``python -m pagetrail run SOURCE ROOT`` and ``report ROOT`` for whole logs;
+``deliver SOURCE ROOT LOG`` and ``advance ROOT DAY`` for one that grows by days."""
 
 from __future__ import annotations
 
 import argparse
+import datetime as dt
 
 from pyspark.sql import SparkSession
 
+from pagetrail.plans.increments import increments, ingest_days, read_gold, run_increment
 from pagetrail.plans.layered_run import read_bronze, run_layers, show_reports
 from pagetrail.schema import GAP_SECONDS
 from pagetrail.sources.layers import preview, read_layer
+from pagetrail.sources.quarantine import reason_counts, still_rejected
 from pagetrail.sources.runs import layer_path
 
 
@@ -26,11 +30,30 @@ def main(argv: list[str] | None = None) -> int:
     report = commands.add_parser("report", help="print the funnel and durations of a run")
     report.add_argument("root")
     report.add_argument("--run-id", type=int, help="as of this run; default: the last one")
+    deliver = commands.add_parser("deliver", help="sort JSON lines into days and the quarantine")
+    deliver.add_argument("source")
+    deliver.add_argument("root")
+    deliver.add_argument("log", help="name of the delivery; one of the same name is replaced")
+    advance = commands.add_parser("advance", help="add the days up to DAY to the layers")
+    advance.add_argument("root")
+    advance.add_argument("day", type=dt.date.fromisoformat)
+    advance.add_argument("--gap-seconds", type=int, default=GAP_SECONDS)
     args = parser.parse_args(argv)
 
     spark = SparkSession.builder.appName("pagetrail").getOrCreate()
     if args.command == "report":
         return 0 if show_reports(spark, args.root, args.run_id) else 1
+    if args.command == "deliver":
+        ingest_days(spark, args.source, args.root, args.log)
+        reason_counts(still_rejected(spark, args.root)).show(truncate=False)
+        return 0
+    if args.command == "advance":
+        done = run_increment(spark, args.root, args.day, args.gap_seconds)
+        if done.carry_changed:
+            for upto in [d for d in increments(spark, args.root) if d > args.day]:
+                print(f"repeat the run up to {upto}")
+        preview(read_gold(spark, args.root)).show()
+        return 0
     counts = run_layers(
         spark,
         args.source,

@@ -21,6 +21,8 @@ from pagetrail.schema import CORRUPT_COLUMN, FUNNEL_STAGES, GAP_SECONDS, VALUE_C
 from pagetrail.sources.raw import READ_SCHEMA
 from pagetrail.sources.scratch import scratch_path
 
+COUNTED = "counted_stages"
+
 
 def read_raw_stream(
     spark: SparkSession, path: str, files_per_batch: int | None = None
@@ -48,13 +50,15 @@ def append_seconds(
 
     Progress is kept in ``checkpoint``; give the same folder to go on after a stop.
     With ``once`` the query ends when it has read what is there now. Events whose time
-    does not parse are left out, as in ``gold_from_events``.
+    does not parse are left out, as in ``gold_from_events``. Each row tells the stages it has
+    hits of, so batches may be appended with others.
     """
     columns = {stage: stage for stage in check_stages(stages, counters)}
 
     def write(batch: DataFrame, number: int) -> None:
         timed = with_event_timestamp(batch).filter(F.col("event_timestamp").isNotNull())
         rows = second_rows(timed, columns, counters)
+        rows = rows.withColumn(COUNTED, F.array(*[F.lit(s) for s in columns]).cast("array<string>"))
         rows.write.mode("overwrite").parquet(f"{path}/batch={number}")
 
     writer = events.writeStream.foreachBatch(write)
@@ -71,9 +75,19 @@ def sessions_so_far(
     gap_seconds: int = GAP_SECONDS,
     counters: Mapping[str, tuple[str, str]] = VALUE_COUNTERS,
 ) -> DataFrame:
-    """Gold's fields of every session of the events appended up to now."""
+    """Gold's fields of every session of the events appended up to now.
+
+    Refused if some of them were appended without one of the ``stages``, as their hits are
+    not known.
+    """
     columns = {stage: stage for stage in check_stages(stages, counters)}
-    seconds = spark.read.parquet(path).drop("batch")
+    seconds = spark.read.option("mergeSchema", "true").parquet(path).drop("batch")
+    wanted = F.array(*[F.lit(s) for s in columns]).cast("array<string>")
+    without = seconds.select(F.array_except(wanted, COUNTED).alias("missing"))
+    unknown = without.filter(F.size("missing") > 0).first()
+    if unknown:
+        raise ValueError(f"events were appended without the stages {unknown.missing}")
+    seconds = seconds.drop(COUNTED)
     return sessions_from_seconds(seconds, columns, gap_seconds, counters).select(
         "user_id",
         "start_time",

@@ -11,6 +11,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
+from pagetrail.__main__ import main
 from pagetrail.operators.carry_over import carried_on, late_events, no_carry, sessions_with_carry
 from pagetrail.operators.sessions import sessionise
 from pagetrail.operators.sparse import sparse_gold
@@ -285,3 +286,16 @@ def test_a_new_delivery_drops_its_corrections(spark, tmp_path, dirty):
     assert inc.read_bronze_days(spark, dirty, None, DAYS[4]).count() == 1
     with pytest.raises(ValueError):
         inc.ingest_days(spark, str(tmp_path / "dirty"), dirty, "../up")
+
+
+def test_command_line(spark, tmp_path, capsys):
+    root, log = str(tmp_path / "root"), write_log(tmp_path / "log", random_events(11, n=40))
+    assert main(["deliver", log, root, "first"]) == 0
+    for day in (DAYS[0], DAYS[4], DAYS[4]):
+        assert main(["advance", root, str(day)]) == 0
+    assert inc.increments(spark, root) == [DAYS[0], DAYS[4]]
+    assert "unique_session_id" in capsys.readouterr().out
+    late = [("new", f"{DAYS[0]} 23:59:59", "home", None)]
+    inc.ingest_days(spark, write_log(tmp_path / "late", late), root, "late")
+    assert main(["advance", root, str(DAYS[0])]) == 0
+    assert f"repeat the run up to {DAYS[4]}" in capsys.readouterr().out

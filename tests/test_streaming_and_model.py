@@ -62,6 +62,27 @@ def test_stream_equals_batch_for_all_sessions(spark, tmp_path):
     go_on()
 
 
+def test_batches_with_other_stages_are_not_misread(spark, tmp_path):
+    log = tmp_path / "log"
+    log.mkdir()
+
+    def add(name, page, stages):
+        line = {"user_id": "u", "event_time": "2024-01-01 10:00:00", "current_page": page}
+        (log / name).write_text(json.dumps(line))
+        events = valid_events(read_raw_stream(spark, str(log)))
+        append_seconds(
+            events, str(tmp_path / "seconds"), stages, checkpoint=str(tmp_path / "progress")
+        ).awaitTermination()
+
+    add("1.json", "home", ["home", "search"])
+    add("2.json", "help", ["home", "help"])
+    found = sessions_so_far(spark, str(tmp_path / "seconds"), ["home"]).collect()
+    assert [(r.page_views, r.home) for r in found] == [(2, 1)]
+    for stages in (["search"], ["home", "help"], ["nowhere"]):
+        with pytest.raises(ValueError):
+            sessions_so_far(spark, str(tmp_path / "seconds"), stages)
+
+
 @pytest.fixture(scope="module")
 def sessions(spark):
     rows = [(f"u_{i}", i % 2, i % 7, (i % 2) * 2) for i in range(60)]
