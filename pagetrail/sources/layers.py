@@ -12,7 +12,6 @@ from pyspark.sql import types as T
 from pagetrail.functions.columns import quoted
 
 DEFAULT_FORMAT = "parquet"
-FILES_A_DAY = 64  # at most
 NULL = "\\N"
 EMPTY = "\\E"
 # CSV options: a header, times with all their digits, and text exactly as it is.
@@ -51,10 +50,10 @@ def write_layer(
 def write_days(df: DataFrame, path: str, day: str = "day") -> None:
     """Replace the days that ``df`` has rows of, and leave all others as they are.
 
-    A day's rows are dealt to a bounded number of files by their content, so that neither a
-    task writes a file per day nor a large day is one task's.
+    Rows are shuffled by day, so that not every task writes a file for every day; adaptive
+    execution splits a large day among tasks by its size and joins small ones.
     """
-    dealt = df.repartition(day, F.pmod(F.xxhash64(*df.columns), F.lit(FILES_A_DAY)))
+    dealt = df.hint("rebalance", quoted(day))
     writer = dealt.write.format(DEFAULT_FORMAT).mode("overwrite")
     writer.option("partitionOverwriteMode", "dynamic").partitionBy(day).save(path)
 

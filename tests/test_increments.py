@@ -16,6 +16,7 @@ from pagetrail.operators.carry_over import carried_on, late_events, no_carry, se
 from pagetrail.operators.sessions import sessionise
 from pagetrail.operators.sparse import sparse_gold
 from pagetrail.plans import increments as inc
+from pagetrail.sources.layers import write_days
 from pagetrail.sources.quarantine import read_quarantine, reason_counts, replay, still_rejected
 
 START = dt.datetime(2024, 3, 1)
@@ -299,3 +300,22 @@ def test_command_line(spark, tmp_path, capsys):
     inc.ingest_days(spark, write_log(tmp_path / "late", late), root, "late")
     assert main(["advance", root, str(DAYS[0])]) == 0
     assert f"repeat the run up to {DAYS[4]}" in capsys.readouterr().out
+
+
+def test_a_large_day_is_written_by_several_tasks(spark, tmp_path):
+    rows = spark.range(400_000, numPartitions=8).select(
+        F.sha2(F.col("id").cast("string"), 256).alias("x"),
+        F.when(F.col("id") % 100 == 0, F.lit("2024-03-02")).otherwise("2024-03-01").cast("date").alias("day"),
+    )
+    settings = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "2m"}
+    before = {key: spark.conf.get(key, None) for key in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        write_days(rows, str(tmp_path / "days"))
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+    files = {d.name: len(list(d.glob("*.parquet"))) for d in (tmp_path / "days").glob("day=*")}
+    assert files["day=2024-03-01"] > 4 and files["day=2024-03-02"] <= 2
+    assert spark.read.parquet(str(tmp_path / "days")).count() == 400_000
