@@ -39,6 +39,14 @@ def test_equals_brute_force(spark, vocabulary, percent):
     assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in got)
 
 
+def test_text_ids(spark, vocabulary):
+    docs = [(f"doc-{i}", text) for i, text in copies(vocabulary, 5)]
+    got = near_dedup.near_duplicates(spark.createDataFrame(docs, "doc_id string, text string"))
+    want = near_duplicates(docs, 85)
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got.collect()} == want
+    assert len({c for _, c in want.values()}) < len(docs)
+
+
 def test_one_id_with_several_texts_is_one_document(spark):
     rows = [(1, "a b c d e f"), (2, "a b c d e f"), (2, "u v w x y z"), (3, "u v w x y z")]
     got = near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))

@@ -78,6 +78,39 @@ def test_edges_pass_every_stage(spark, edges):
     assert corpus_pipeline.distinct(spark, docs, SF_DIR).count() == 9
 
 
+def test_one_row_of_each_id_stays_and_always_the_same(spark):
+    words = "one two three four five six seven"
+    rows = [(1, words, "b"), (1, words, "a"), (1, words + " eight", "c"), (2, words, "d")]
+    rows += [(3, "u v w x y z", "e"), (None, words, "f"), (None, words, "f"), (4, None, "g")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    want = None
+    for parts in (1, 5):
+        got = corpus_pipeline.distinct(spark, docs.repartition(parts), SF_DIR).collect()
+        ids = sorted((r.doc_id for r in got), key=str)
+        assert ids == [1, 3, 4, None, None]
+        one = [tuple(r) for r in got if r.doc_id == 1]
+        assert want is None or one == want
+        want = one
+    assert want[0] in (rows[1], rows[2])  # of one text the first in the order of the columns
+
+
+def test_documents_without_an_id_are_judged_too(spark):
+    item = spark.read.parquet(f"{SF_DIR}/benchmark.parquet").first().text
+    rows = [(None, item), (None, "nothing of it"), (7, item), (7, "other text"), ("8", None)]
+    docs = spark.createDataFrame([(None if i is None else int(i), t) for i, t in rows], "doc_id long, text string")
+    got = corpus_pipeline.uncontaminated(spark, docs, SF_DIR).collect()
+    assert sorted(map(str, got)) == sorted(map(str, (docs.filter(
+        "text is null or text in ('nothing of it', 'other text')").collect())))
+
+
+def test_encoded_edges(spark, edges):
+    got = corpus_pipeline.encoded(spark, edges, SF_DIR)
+    assert got.columns == ["doc_id", "n_tokens", "ids", "decoded"]
+    rows = got.collect()
+    assert len(rows) == 10 and all(r.n_tokens == len(r.ids) for r in rows)
+    assert {r.n_tokens for r in rows if r.doc_id in (2, 3, 4)} == {0}
+
+
 def test_vocabulary_is_not_in_the_repository():
     assert bpe.__file__ and not corpus_pipeline.public_tokenizers.path("word_bpe_49k.json").startswith(
         "/root/repo"
