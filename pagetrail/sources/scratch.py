@@ -9,7 +9,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
-ROWS_PER_FILE = 500_000  # of a table whose size is known; rows of some numbers each
+ROWS_PER_FILE = 200_000  # of a table whose size is known; rows of some numbers each
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
