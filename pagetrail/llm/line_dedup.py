@@ -113,18 +113,19 @@ def repeated_runs(
     rows with such runs are returned.
     """
     found = scratch_table(_windows(docs, key, text, min_words), "windows")
+    most = found.count()
     places = found.groupBy("fingerprint").agg(
         F.min(F.struct("row", "at")).alias("low"), F.max(F.struct("row", "at")).alias("high")
     )
     # Written, so that adaptive execution can split a hot key of the join below.
-    shared = scratch_table(places.filter("low <> high").select("fingerprint"), "shared")
+    shared = scratch_table(places.filter("low <> high").select("fingerprint"), "shared", most)
     candidates = scratch_table(
-        found.join(shared, "fingerprint").drop("fingerprint", "at"), "shared-windows"
+        found.join(shared, "fingerprint").drop("fingerprint", "at"), "shared-windows", most
     )
     content = ["content_1", "content_2"]
     span = F.struct("row", "start", "stop")
     firsts = candidates.groupBy(content).agg(F.min(span).alias("first"), F.max(span).alias("last"))
-    firsts = scratch_table(firsts.filter("first <> last").select(*content, "first"), "firsts")
+    firsts = scratch_table(firsts.filter("first <> last").select(*content, "first"), "firsts", most)
     later = candidates.join(firsts, content).filter(
         (F.col("row") != F.col("first.row")) | (F.col("start") > F.col("first.stop"))
     )

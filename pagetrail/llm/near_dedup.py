@@ -31,6 +31,8 @@ SAMPLES = ROWS * BANDS
 PARTS = 12  # the odd sketch has a sample of each of 2 ** PARTS parts of the hash range
 BITS = 4096
 ROUNDS = 1  # of looking for links to other components before all pairs left are checked
+SKETCHES_PER_FILE = 20_000  # about half a kilobyte each, some tens of MB for a task that joins two
+PAIRS_PER_TASK = 2_000
 DEVIATIONS = 5.0  # by which a pair may differ more than expected and still be checked
 
 _RANDOM = np.random.Generator(np.random.PCG64(85))
@@ -204,7 +206,14 @@ def near_duplicates(
     linked = rows.filter((F.col("n_shingles") > 0) & F.col("key").isNotNull())
     columns = ("key", "text_hash", "n_shingles", "bands", "codes", "sketch")
     first = F.min(F.struct(*columns)).alias("x")
-    classes = scratch_table(linked.groupBy("set_id").agg(first).select("set_id", "x.*"), "classes")
+    classes = scratch_table(
+        linked.groupBy("set_id").agg(first).select("set_id", "x.*"),
+        "classes",
+        rows.count(),
+        SKETCHES_PER_FILE,
+    )
+    n_classes = classes.count()
+    most = BANDS * n_classes  # places of sets in buckets
 
     buckets = classes.select(
         "set_id", F.col("key").alias("class_key"), F.posexplode("bands").alias("number", "band")
@@ -213,11 +222,12 @@ def near_duplicates(
         F.min(F.struct("class_key", "set_id")).alias("first"), F.count("*").alias("n")
     )
     shared = scratch_table(
-        shared.filter("n > 1").select("band", F.col("first.set_id").alias("b")), "buckets"
+        shared.filter("n > 1").select("band", F.col("first.set_id").alias("b")), "buckets", most // 2
     )
     members = scratch_table(
         buckets.join(shared, "band").select("number", "band", "b", F.col("set_id").alias("a")),
         "members",
+        most,
     )
     sketches = classes.select("set_id", "n_shingles", "sketch")
 
@@ -246,8 +256,11 @@ def near_duplicates(
         for side, end in (("a", "src"), ("b", "dst"))
     ]
 
-    def edges_of(pairs: DataFrame) -> DataFrame:
-        return pairs.join(ends[0], "a").join(ends[1], "b").select("src", "dst")
+    def links(pairs: DataFrame, at_most: int | None = None) -> DataFrame:
+        """The edges that the pairs give which are similar, written by a task for some pairs."""
+        pairs = scratch_table(pairs, "pairs", at_most, SKETCHES_PER_FILE)
+        found = _verified(pairs, texts, percent).join(ends[0], "a").join(ends[1], "b")
+        return scratch_table(found.select("src", "dst"), "links", pairs.count(), PAIRS_PER_TASK)
 
     # Rows of one key with different texts are one document.
     firsts = linked.select("key", "set_id").join(
@@ -269,32 +282,32 @@ def near_duplicates(
 
     # Each set against one of the first in its buckets, then of another component.
     first = closest(members.filter("a <> b").select("a", "b"))
-    edges = scratch_table(edges_of(_verified(first, texts, percent)).union(same), "links")
+    edges = links(first, n_classes).union(same)
+    edges = scratch_table(edges, "links", n_classes + rows.count())
     labels = components(edges)
     for _ in range(ROUNDS):
         other = F.when(F.col("component") == F.col("low.component"), F.col("high.a"))
         found = closest(
             in_mixed_buckets(labels).select("a", other.otherwise(F.col("low.a")).alias("b"))
         )
-        found = scratch_table(edges_of(_verified(found, texts, percent)), "links")
+        found = links(found, n_classes)
         if found.isEmpty():
             break
-        edges = scratch_table(edges.union(found), "links")
+        edges = edges.union(found)
         labels = components(edges)
 
     # All pairs of a bucket whose sets are still in different components.
     mixed = in_mixed_buckets(labels).select("number", "band", "a", "component")
     full = classes.select(*sketches.columns, "codes")
     undecided = mixed.withColumnRenamed("a", "set_id").join(full, "set_id")
-    undecided = scratch_table(undecided, "undecided")
+    undecided = scratch_table(undecided, "undecided", members.count(), SKETCHES_PER_FILE)
     left, right = _side(undecided, "a"), _side(undecided, "b")
     on = (F.col("band_a") == F.col("band_b")) & (F.col("component_a") < F.col("component_b"))
     on &= _promising(percent)
     # Each pair once, in the first bucket it shares.
     equal = F.zip_with("codes_a", "codes_b", lambda x, y: x == y)
     on &= F.array_position(equal, True) == F.col("number_a") + 1
-    rest = scratch_table(left.join(right, on).select("a", "b"), "pairs")
-    more = scratch_table(edges_of(_verified(rest, texts, percent)), "links")
+    more = links(left.join(right, on).select("a", "b"))
     if not more.isEmpty():
         labels = components(edges.union(more))
 
