@@ -11,6 +11,7 @@ from pagetrail.llm.text import SPACES, table
 from pagetrail.sources.scratch import scratch_table
 
 SIMILARITY_PERCENT = 80
+FEW_IDS = 500_000  # some tens of MB where they are broadcast
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,29 +36,46 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each group of near copies; one row of each id.
 
-    Of rows with one id the text with the smallest hash stays. Rows without an id take
-    no part and stay.
+    Of rows with one id the text with the smallest hash stays, of several with that text
+    the first in the order of all columns. Rows without an id take no part and stay.
     """
     judged = near_dedup.near_duplicates(docs.select("doc_id", "text"), SIMILARITY_PERCENT)
-    ids = judged.filter("kept and doc_id is not null").select("doc_id")
-    ids = scratch_table(ids.groupBy("doc_id").agg(F.count("*").alias("_rows")), "kept-ids")
-    left = docs.join(ids.select("doc_id"), "doc_id")
-    if not ids.filter("_rows > 1").isEmpty():
-        hashed = left.withColumn("_hash", F.xxhash64("text"))
-        least = hashed.groupBy("doc_id").agg(F.min("_hash").alias("_hash"))
-        left = hashed.join(least, ["doc_id", "_hash"]).dropDuplicates(["doc_id"])
-    return left.select(*docs.columns).union(docs.filter("doc_id is null"))
+    judged = judged.filter("doc_id is not null").groupBy("doc_id")
+    judged = judged.agg(F.first("kept").alias("kept"), F.count("*").alias("_rows"))
+    judged = scratch_table(judged, "judged-ids", docs.count())
+    left = _without(docs, judged.filter("not kept").select("doc_id"), ["doc_id"])
+    again = judged.filter("kept and _rows > 1").select("doc_id")
+    if again.isEmpty():
+        return left.select(*docs.columns)
+    columns = F.struct(F.xxhash64("text").alias("_hash"), *docs.columns)
+    least = left.join(again, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(columns).alias("_x"))
+    single = _without(left, again, ["doc_id"])
+    return single.select(*docs.columns).union(least.select(*[f"_x.`{c}`" for c in docs.columns]))
 
 
 def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of which less than a twentieth lies in windows of benchmark items."""
+    """Documents of which less than a twentieth lies in windows of benchmark items.
+
+    Rows are told apart by id and a hash of the text, so rows without an id are judged too,
+    and equal rows alike.
+    """
     row = F.struct(F.col("doc_id").alias("id"), F.xxhash64("text").alias("hash"))
-    named = docs.withColumn("_row", row)
     benchmark = table(spark, sf_dir, "benchmark")
+    named = docs.select("text", row.alias("_row"))
     judged = decontaminate.contaminated_documents(named, benchmark, key="_row")
-    bad = judged.filter("contaminated").select(F.col("_row").alias("_bad")).distinct()
-    same = F.col("_row").eqNullSafe(F.col("_bad"))
-    return named.join(bad, same, "left_anti").select(*docs.columns)
+    bad = judged.filter("contaminated").select("_row").distinct()
+    bad = scratch_table(bad, "contaminated", docs.count())
+    return _without(docs.withColumn("_row", row), bad, ["_row"]).select(*docs.columns)
+
+
+def _without(docs: DataFrame, gone: DataFrame, on: list[str]) -> DataFrame:
+    """The documents that are not among ``gone``, a written table of ids.
+
+    Where these are few, by their count, each executor gets them all and no text is
+    shuffled; otherwise both sides are.
+    """
+    few = gone.count() <= FEW_IDS
+    return docs.join(F.broadcast(gone) if few else gone, on, "left_anti")
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
