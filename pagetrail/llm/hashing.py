@@ -62,18 +62,20 @@ def _chunk(data: np.ndarray, prefix: int | None) -> np.ndarray:
     return mix(np.add.reduceat(values, firsts) + lengths)
 
 
-def word_endings(text: bytes, size: int) -> np.ndarray:
-    """The last ``size`` bytes of each word as one number; spaces before a shorter word."""
+def word_endings(text: bytes, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Where the last byte of each word is, and its last ``size`` bytes as one number;
+    spaces before a shorter word."""
     data = np.frombuffer(text, np.uint8)
     inside = ~_SPACE[data]
     last = np.flatnonzero(inside & ~np.append(inside[1:], False))
     ending, within = np.zeros(len(last), np.uint64), np.ones(len(last), bool)
     for back in range(size):
-        at = last - back
-        within &= (at >= 0) & inside[at]
+        within &= last >= back
+        at = np.maximum(last - back, 0)
+        within &= inside[at]
         byte = np.where(within, data[at], 32).astype(np.uint64)
         ending += byte << np.uint64(8 * back)
-    return ending
+    return last, ending
 
 
 def run_hashes(words: np.ndarray, size: int) -> np.ndarray:

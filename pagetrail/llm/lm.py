@@ -17,7 +17,6 @@ the tasks in a tree, for each feature by how often a task has seen it.
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -48,26 +47,42 @@ BUCKETS = HASHED + BACK * (ENDINGS + 1)  # all rows; an ending may be missing
 ROUNDS = 1  # passes over the training texts
 EXCHANGES = 2  # parts of a pass after which the tasks' weights are averaged
 BLOCKS_A_TASK = 16  # at least, so that a task sees enough to learn from
+BLOCKS_A_FILE = 32  # whose word counts are written by one task
 BATCH = 65536  # tokens of an update, and of what is scored at a time
 FIRST_BATCH = 4096  # of a task's first updates; it doubles after every eight
 RATE = 0.15
+AT_ONCE = 2048  # tokens or feature rows whose numbers are worked on at a time
 BLOCK_BYTES = 4 << 20
+JOINED_BYTES = 1 << 16  # of texts that are cut into words together
 END = np.uint64(0x5EED0FE4D0F7E875)
 COUNT_BITS = 40  # of a packed (position, count)
 
+_CODEC = pa.Codec("zstd", 1)
 _KIND_STEPS = np.array(
     [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64
 )
 
 
-def tokenise(text: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the words (A-Z lower-cased) and of the end, and each one's numbered ending.
+def tokenise(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of the words (A-Z lower-cased) and of each text's end, their numbered endings,
+    and how many each text has.
 
-    The end has the number after the last.
+    The end has the number after the last. White space between texts lets many short ones
+    be cut at once.
     """
-    lower = text.translate(LOWER)
-    endings = mix(word_endings(lower, ENDING_BYTES)) % np.uint64(ENDINGS)
-    return np.append(word_hashes(lower), END), np.append(endings, ENDINGS).astype(np.int32)
+    sizes = np.array([len(t) + 1 for t in texts])
+    group = np.cumsum(sizes) // JOINED_BYTES
+    cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(texts)]
+    parts = []
+    for start, stop in zip(cuts, cuts[1:], strict=False):
+        joined = b"\n".join(texts[start:stop]).translate(LOWER)
+        places, endings = word_endings(joined, ENDING_BYTES)
+        endings = (mix(endings) % np.uint64(ENDINGS)).astype(np.int32)
+        ends = np.searchsorted(places, np.cumsum(sizes[start:stop]))
+        hashes = np.insert(word_hashes(joined), ends, END)
+        parts.append((hashes, np.insert(endings, ends, ENDINGS), np.diff(ends, prepend=0) + 1))
+    hashes, endings, lengths = (np.concatenate(p) for p in zip(*parts, strict=True))
+    return hashes, endings, lengths
 
 
 def blocks(docs: DataFrame, learns: Column, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -97,16 +112,17 @@ def blocks(docs: DataFrame, learns: Column, key: str = "doc_id", text: str = "te
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first_block = TaskContext.get().partitionId() << 32
         for number, batch in enumerate(slices(batches, "_text", BLOCK_BYTES)):
-            coded = [tokenise(t) for t in batch.column("_text").to_pylist()]
-            lengths = np.array([len(c[0]) for c in coded])
-            words, first, tokens = np.unique(
-                np.concatenate([c[0] for c in coded]), return_index=True, return_inverse=True
-            )
-            endings = np.concatenate([c[1] for c in coded])[first]
+            hashes, token_endings, lengths = tokenise(batch.column("_text").to_pylist())
+            numbered = pa.array(hashes).dictionary_encode()
+            words, tokens = numbered.dictionary.to_numpy(), numbered.indices.to_numpy()
+            endings = np.empty(len(words), np.int32)
+            endings[tokens] = token_endings
             # Frequent words get small numbers, which take less room when compressed.
             order = np.argsort(-np.bincount(tokens, minlength=len(words)), kind="stable")
             words, endings = words[order], endings[order]
-            tokens = np.argsort(order, kind="stable")[tokens]
+            ranks = np.empty(len(order), np.int32)
+            ranks[order] = np.arange(len(order))
+            tokens = ranks[tokens]
             learns = batch.column("_learns").to_numpy(zero_copy_only=False)
             counts = np.bincount(tokens[np.repeat(learns, lengths)], minlength=len(words))
             one = lambda values, kind: lists(values, np.array([len(values)]), kind)
@@ -127,13 +143,16 @@ def blocks(docs: DataFrame, learns: Column, key: str = "doc_id", text: str = "te
 
 
 def packed(numbers: np.ndarray) -> bytes:
-    """Numbers below 2 ** 32, compressed byte plane by byte plane."""
+    """Numbers below 2 ** 32, compressed byte plane by byte plane, after how many they are."""
     planes = numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T
-    return zlib.compress(np.ascontiguousarray(planes).tobytes(), 1)
+    size = len(numbers).to_bytes(8, "little")
+    return size + _CODEC.compress(np.ascontiguousarray(planes).tobytes(), asbytes=True)
 
 
 def unpacked(data: bytes) -> np.ndarray:
-    planes = np.frombuffer(zlib.decompress(data), np.uint8).reshape(4, -1)
+    size = int.from_bytes(data[:8], "little")
+    planes = _CODEC.decompress(data[8:], decompressed_size=4 * size, asbytes=True)
+    planes = np.frombuffer(planes, np.uint8).reshape(4, -1)
     return np.ascontiguousarray(planes.T).view("<u4").ravel().astype(np.int32)
 
 
@@ -260,7 +279,7 @@ def vocabulary(counts: DataFrame, of_ending: np.ndarray) -> Vocabulary:
 
 
 def histories(words: np.ndarray, endings: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """The feature rows of each token (seven kinds x tokens), from up to four words before it."""
+    """The feature rows of each token (six kinds x tokens), from up to four words before it."""
     place = np.arange(len(words)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
 
     def before(values: np.ndarray, back: int, none) -> np.ndarray:
@@ -287,27 +306,41 @@ class Weights:
         return cls(np.zeros((BUCKETS, CLASSES), np.float32), np.log(share).astype(np.float32))
 
     def log_probabilities(self, features: np.ndarray) -> np.ndarray:
-        """Natural logarithms of the probability of each class (tokens x CLASSES)."""
-        out = self.table[features[0]]
-        for rows in features[1:]:
-            out += self.table[rows]
-        out += self.bias
-        out -= out.max(axis=1, keepdims=True)
-        out -= np.log(np.exp(out).sum(axis=1, keepdims=True))
-        return out
+        """Natural logarithms of the probability of each class (tokens x CLASSES).
+
+        Laid out class by class; a few tokens at a time, whose arrays stay in the cache.
+        """
+        out = np.empty((CLASSES, features.shape[1]), np.float32)
+        for start in range(0, out.shape[1], AT_ONCE):
+            columns = features[:, start : start + AT_ONCE].astype(np.intp)
+            sums = self.table.take(columns[0], axis=0)
+            for rows in columns[1:]:
+                sums += self.table.take(rows, axis=0)
+            sums += self.bias
+            sums -= sums.max(axis=1, keepdims=True)
+            sums -= np.log(np.exp(sums).sum(axis=1, keepdims=True))
+            out[:, start : start + AT_ONCE] = sums.T
+        return out.T
 
     def update(self, features: np.ndarray, classes: np.ndarray, squares: np.ndarray, rate: float):
         """One step on a batch of tokens, its size adapted to each weight."""
-        error = np.exp(self.log_probabilities(features))
-        error[np.arange(len(classes)), classes] -= 1
-        rows = features.astype(np.int64)
-        gradient = np.empty_like(self.table)
-        for number, column in enumerate(np.ascontiguousarray(error.T)):
-            gradient[:, number] = sum(np.bincount(r, column, BUCKETS) for r in rows)
-        squares += gradient * gradient
-        gradient /= np.sqrt(squares)
-        gradient *= rate
-        self.table -= gradient
+        error = np.exp(self.log_probabilities(features).T)
+        error[classes, np.arange(len(classes))] -= 1
+        firsts = features.min(axis=1)  # of each kind, whose rows lie together
+        kinds = (features - firsts[:, None]).astype(np.intp)
+        gradient, column = np.zeros((CLASSES, BUCKETS)), np.empty(len(classes))
+        for values, sums in zip(error, gradient, strict=True):
+            column[:] = values
+            for first, rows in zip(firsts, kinds, strict=True):
+                found = np.bincount(rows, column)
+                sums[first : first + len(found)] += found
+        for start in range(0, BUCKETS, AT_ONCE):
+            part = slice(start, start + AT_ONCE)
+            step = gradient[:, part].T.astype(np.float32, order="C")
+            squares[part] += step * step
+            step /= np.sqrt(squares[part])
+            step *= rate
+            self.table[part] -= step
 
 
 def _rows(batch: pa.RecordBatch) -> Iterator[dict[str, np.ndarray]]:
@@ -386,7 +419,8 @@ def score(
     cut = blocks(docs, learns, key, text)
     cut.write.option("compression", "zstd").parquet(path)
     coded = spark.read.schema(cut.schema).parquet(path)
-    counts = scratch_table(word_counts(coded), "word-counts")
+    files = max(1, -(-coded.count() // BLOCKS_A_FILE))
+    counts = scratch_table(word_counts(coded).coalesce(files), "word-counts")
     vocab = vocabulary(counts, clustered(company(coded)))
     weights = train(coded, vocab, rounds) if vocab.tokens else Weights.zero(vocab)
 

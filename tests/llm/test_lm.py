@@ -3,6 +3,7 @@ from __future__ import annotations
 import collections
 import math
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -198,6 +199,64 @@ def test_updates_follow_the_gradient():
         assert gradient[row, column] == pytest.approx((ends[0] - ends[1]) / 0.1, abs=0.02)
 
 
+def test_updates_equal_a_plain_version():
+    """Two steps of adapted size, with more tokens than are worked on at a time."""
+    rng = np.random.Generator(np.random.PCG64(7))
+    table = rng.normal(0, 0.1, (lm.BUCKETS, lm.CLASSES)).astype(np.float32)
+    bias = rng.normal(0, 1, lm.CLASSES).astype(np.float32)
+    words, endings = rng.integers(0, 2**63, 5000, np.uint64), rng.integers(0, lm.ENDINGS, 5000)
+    features = lm.histories(words, endings, np.array([3000, 0, 2000]))
+    classes = rng.integers(0, lm.CLASSES, 5000)
+    model, squares = lm.Weights(table.copy(), bias), np.full(table.shape, 1e-4, np.float32)
+    plain, plain_squares = table.astype(float), np.full(table.shape, 1e-4)
+    for _ in range(2):
+        model.update(features, classes, squares, 0.15)
+        sums = np.exp(bias + plain[features].sum(axis=0))
+        error = sums / sums.sum(axis=1, keepdims=True) - np.eye(lm.CLASSES)[classes]
+        gradient = np.zeros(table.shape)
+        for rows in features:
+            np.add.at(gradient, rows, error)
+        plain_squares += gradient**2
+        plain -= 0.15 * gradient / np.sqrt(plain_squares)
+    assert np.allclose(model.table, plain, atol=1e-3)
+    assert np.allclose(squares, plain_squares, atol=1e-3)
+
+
+def test_probabilities_take_little_room_besides_the_result():
+    rng = np.random.Generator(np.random.PCG64(8))
+    weights = lm.Weights(
+        rng.normal(0, 1, (lm.BUCKETS, lm.CLASSES)).astype(np.float32),
+        np.zeros(lm.CLASSES, np.float32),
+    )
+    features = rng.integers(0, lm.BUCKETS, (6, lm.BATCH)).astype(np.int32)
+    tracemalloc.start()
+    try:
+        found = weights.log_probabilities(features)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 1.5 * found.nbytes
+
+
+def test_short_texts_are_cut_together_as_they_are_alone(monkeypatch):
+    rnd = random.Random(9)
+    alphabet = ["a", "B", "é", "語", " ", "\n", "\t", "\x0b"]
+    some = ["".join(rnd.choices(alphabet, k=rnd.randrange(40))) for _ in range(2000)]
+    texts = [t.encode() for t in ["", " ", "\n", "x" * (lm.JOINED_BYTES + 1), *some, ""]]
+    calls = []
+    cut = lm.word_hashes
+    monkeypatch.setattr(lm, "word_hashes", lambda text: calls.append(1) or cut(text))
+    hashes, endings, lengths = lm.tokenise(texts)
+    assert len(calls) < 10
+    alone = [lm.tokenise([t]) for t in texts]
+    assert lengths.tolist() == [len(a[0]) for a in alone] == [len(tokens(t.decode())) for t in texts]
+    assert (hashes == np.concatenate([a[0] for a in alone])).all()
+    assert (endings == np.concatenate([a[1] for a in alone])).all()
+    stops = np.cumsum(lengths) - 1
+    assert (np.flatnonzero(hashes == lm.END) == stops).all()
+    assert (np.flatnonzero(endings == lm.ENDINGS) == stops).all()
+
+
 def test_endings_of_the_same_texts_are_one_class():
     rng = np.random.Generator(np.random.PCG64(6))
     company = np.zeros((lm.ENDINGS, lm.ANCHORS))
