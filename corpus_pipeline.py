@@ -1,4 +1,8 @@
-"""Documents to clean, distinct, uncontaminated and encoded ones, stage by stage."""
+"""Documents to clean, distinct, uncontaminated and encoded ones, stage by stage.
+
+Each stage gives its rows in as many partitions as their texts need (``text_files``), for it
+is written before the next one reads it.
+"""
 
 from __future__ import annotations
 
@@ -8,7 +12,7 @@ from pyspark.sql import functions as F
 
 from pagetrail.llm import bpe, decontaminate, line_dedup, near_dedup, quality_rules
 from pagetrail.llm.text import SPACES, table
-from pagetrail.sources.scratch import scratch_table
+from pagetrail.sources.scratch import scratch_table, text_files
 
 SIMILARITY_PERCENT = 80
 FEW_IDS = 500_000  # some tens of MB where they are broadcast
@@ -16,7 +20,8 @@ FEW_IDS = 500_000  # some tens of MB where they are broadcast
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the quality rules; null, empty and short texts do not."""
-    return quality_rules.judge(docs).filter("kept").select(*docs.columns)
+    good = quality_rules.judge(docs).filter("kept").select(*docs.columns)
+    return good.coalesce(text_files(docs))
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,7 +35,7 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         length = F.length("text").cast(docs.schema["n_chars"].dataType)
         n_chars = F.when(F.col("n_removed") > 0, length).otherwise(F.col("n_chars"))
         left = left.withColumn("n_chars", n_chars)
-    return left.select(*docs.columns)
+    return left.select(*docs.columns).coalesce(text_files(docs))
 
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,11 +51,12 @@ def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     left = _without(docs, judged.filter("not kept").select("doc_id"), ["doc_id"])
     again = judged.filter("kept and _rows > 1").select("doc_id")
     if again.isEmpty():
-        return left.select(*docs.columns)
+        return left.select(*docs.columns).coalesce(text_files(docs))
     columns = F.struct(F.xxhash64("text").alias("_hash"), *docs.columns)
     least = left.join(again, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(columns).alias("_x"))
     single = _without(left, again, ["doc_id"])
-    return single.select(*docs.columns).union(least.select(*[f"_x.`{c}`" for c in docs.columns]))
+    least = least.select(*[f"_x.`{c}`" for c in docs.columns])
+    return single.select(*docs.columns).union(least).coalesce(text_files(docs))
 
 
 def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -65,7 +71,8 @@ def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     judged = decontaminate.contaminated_documents(named, benchmark, key="_row")
     bad = judged.filter("contaminated").select("_row").distinct()
     bad = scratch_table(bad, "contaminated", docs.count())
-    return _without(docs.withColumn("_row", row), bad, ["_row"]).select(*docs.columns)
+    clean = _without(docs.withColumn("_row", row), bad, ["_row"]).select(*docs.columns)
+    return clean.coalesce(text_files(docs))
 
 
 def _without(docs: DataFrame, gone: DataFrame, on: list[str]) -> DataFrame:
@@ -83,7 +90,7 @@ def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
     return bpe.encode(docs, path, decoded=True).select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", "decoded"
-    )
+    ).coalesce(text_files(docs))
 
 
 STAGES = [

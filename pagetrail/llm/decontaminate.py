@@ -456,7 +456,8 @@ def contaminated_documents(
             vocabulary = None
             break
     index = scratch_table(build_index(rows, vocabulary, "_row", "_text"), "postings")
-    counts = scratch_table(term_counts(index), "counts")
+    most = index.agg(F.sum(F.size("terms"))).first()[0] or 0
+    counts = scratch_table(term_counts(index), "counts", most)
     parts = [find_phrases(index, block, counts) for block in item_blocks(*read)]
     parts = parts or [find_phrases(index, Phrases(), counts)]
     parts = [part.withColumnRenamed("found", "items") for part in parts]

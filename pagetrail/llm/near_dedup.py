@@ -23,7 +23,7 @@ from pagetrail.llm.batches import lists, slices
 from pagetrail.llm.components import components
 from pagetrail.llm.hashing import mix, run_hashes, set_id, word_hashes
 from pagetrail.llm.text import LOWER, as_bytes
-from pagetrail.sources.scratch import scratch_table
+from pagetrail.sources.scratch import scratch_table, text_files
 
 SHINGLE = 5
 ROWS, BANDS = 5, 40  # at a similarity of 0.8 a pair shares no band once in 8 million cases
@@ -248,7 +248,7 @@ def near_duplicates(
     found = bodies.join(wanted, ["key", "text_hash"]).select("set_id", "text")
     if not rows.groupBy("key", "text_hash").count().filter("count > 1").isEmpty():
         found = found.dropDuplicates(["set_id"])  # repeated rows
-    texts = scratch_table(found, "candidate-texts")
+    texts = scratch_table(found.coalesce(text_files(docs, text)), "candidate-texts")
 
     node = classes.select("set_id", "key")
     ends = [

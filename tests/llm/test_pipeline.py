@@ -115,3 +115,20 @@ def test_vocabulary_is_not_in_the_repository():
     assert bpe.__file__ and not corpus_pipeline.public_tokenizers.path("word_bpe_49k.json").startswith(
         "/root/repo"
     )
+
+
+def test_stages_give_as_few_parts_as_the_texts_need(spark):
+    """Not one, and so one file, for every part of the input or of a shuffle."""
+    docs = [(i, f"{i} " + " ".join(f"w{i}x{k}" for k in range(30))) for i in range(80)]
+    docs = spark.createDataFrame(docs, "doc_id long, text string").repartition(40)
+    adaptive = "spark.sql.adaptive.enabled"
+    before = spark.conf.get(adaptive)
+    try:
+        spark.conf.set(adaptive, "false")
+        spark.conf.set("spark.sql.shuffle.partitions", "40")
+        for name, stage in corpus_pipeline.STAGES:
+            parts = stage(spark, docs, SF_DIR).rdd.getNumPartitions()
+            assert parts <= spark.sparkContext.defaultParallelism, name
+    finally:
+        spark.conf.set(adaptive, before)
+        spark.conf.set("spark.sql.shuffle.partitions", "8")

@@ -35,7 +35,7 @@ from pagetrail.sources.runs import (
     run_path,
     table_diff,
 )
-from pagetrail.sources.scratch import scratch_path, scratch_table
+from pagetrail.sources.scratch import BYTES_PER_FILE, scratch_path, scratch_table, text_files
 
 
 GOLD_COUNTERS = {"page_views", "mobile_sessions", "chrome_sessions", "duration_seconds"}
@@ -348,3 +348,27 @@ def test_command_line(spark, log, tmp_path, capsys):
     assert main(["report", root]) == 0
     assert "confirmation" in capsys.readouterr().out
     assert show_reports(spark, root, 1) is False
+
+
+def test_scratch_tables_have_checksums_inside_and_no_side_files(spark):
+    table = scratch_table(spark.range(1000, numPartitions=2), "x")
+    folder = Path(table.inputFiles()[0].removeprefix("file:")).parent
+    names = sorted(f.name for f in folder.iterdir())
+    assert len(names) == 3 and names[0] == "_SUCCESS", names
+    assert table.selectExpr("sum(id)").first()[0] == 499_500
+    broken = folder / names[1]
+    content = bytearray(broken.read_bytes())
+    content[100] ^= 1  # within the values
+    broken.write_bytes(content)
+    with pytest.raises(Exception, match="(?i)checksum|crc"):
+        table.selectExpr("sum(id)").collect()
+
+
+def test_text_files_follow_the_bytes_and_the_cores(spark):
+    cores = spark.sparkContext.defaultParallelism
+    texts = spark.range(1000).selectExpr("if(id % 2 = 0, 'abc', null) AS text")
+    assert text_files(texts) == text_files(texts.limit(0)) == cores
+    long = spark.range(20 * cores, numPartitions=cores).selectExpr(
+        f"repeat('ü', {BYTES_PER_FILE // 20}) AS body"
+    )
+    assert text_files(long, "body") == 2 * cores
