@@ -170,7 +170,7 @@ def remove_repeated_lines(
     schema, columns = T.StructType([*rows.schema.fields, *counts]), rows.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, text):
             texts, sizes, removed = [], [], []
             column = batch.column(text)
             pairs = zip(column.to_pylist(), batch.column("_runs").to_pylist(), strict=True)
