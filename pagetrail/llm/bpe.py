@@ -12,6 +12,7 @@ import re
 import unicodedata
 from collections.abc import Callable, Iterable, Iterator
 from functools import cached_property, lru_cache
+from itertools import islice
 from typing import Any
 
 import numpy as np
@@ -49,9 +50,10 @@ NEWER_CAPITALS = {
 
 SLICE = 2 << 20  # bytes of text in a result batch
 CACHED_WORDS = 300_000  # entries of each worker's cache
-BEGINNING = 6  # symbols of a word after which the transducer's state is remembered
-CACHED_BEGINNINGS = 100_000
-LONG_WORD = 64  # characters beyond which a result is not cached
+LONG_WORD = 64  # bytes beyond which a word has its own transducer; characters, is not cached
+FEW_WORDS = 100  # new words up to which each has a transducer of its own
+GROUP = 1 << 20  # characters whose words are looked up together
+PAIR_SLOTS = 1 << 19  # pairs of tokens of which is kept whether they may be neighbours
 
 
 def byte_alphabet() -> list[str]:
@@ -79,6 +81,8 @@ def known_characters(pattern: str) -> str:
 
 SMALL = {i: i + d for span, d in NEWER_CAPITALS.items() for r in code_points(span) for i in r}
 SMALL[ord("Σ")] = ord("σ")
+assert min(SMALL) >= NEAR
+CAPITALS = re.compile(f"[{''.join(map(chr, sorted(SMALL)))}]")
 
 
 def near_characters(pattern: str) -> str:
@@ -241,6 +245,166 @@ class Transducer:
         return tokens
 
 
+class Table:
+    """Whole numbers by whole numbers of 0 or more, looked up for many keys at once."""
+
+    def __init__(self, values: dict[int, int]):
+        self.bits = max(4, (4 * len(values)).bit_length())
+        self.keys = np.full(1 << self.bits, -1, np.int64)
+        self.values = np.full(1 << self.bits, -1, np.int32)
+        keys = np.fromiter(values.keys(), np.int64, len(values))
+        numbers = np.fromiter(values.values(), np.int32, len(values))
+        at = slots(keys, self.bits)
+        while len(keys):
+            free = self.keys[at] < 0
+            self.keys[at[free]] = keys[free]  # of several for one slot the last
+            self.values[at[free]] = numbers[free]
+            left = self.keys[at] != keys
+            keys, numbers, at = keys[left], numbers[left], self._next(at[left])
+
+    def _next(self, at: np.ndarray) -> np.ndarray:
+        return (at + 1) & (len(self.keys) - 1)
+
+    def get(self, keys: np.ndarray) -> np.ndarray:
+        """The value of each key, -1 where there is none."""
+        at = slots(keys, self.bits)
+        found = self.keys[at]
+        hit = found == keys
+        out = np.where(hit, self.values[at], -1)
+        left = np.flatnonzero(~hit & (found >= 0))
+        while len(left):
+            at[left] = self._next(at[left])
+            found = self.keys[at[left]]
+            hit = found == keys[left]
+            out[left[hit]] = self.values[at[left[hit]]]
+            left = left[~hit & (found >= 0)]
+        return out
+
+
+def slots(keys: np.ndarray, bits: int) -> np.ndarray:
+    """Where each key belongs in a table of 2 ** bits."""
+    mixed = keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    return (mixed >> np.uint64(64 - bits)).astype(np.int64)
+
+
+class Transducers:
+    """The transducer for many words at once, all of them taken a symbol further together.
+
+    What ``Merges`` holds by names is held here by numbers: the tokens as a tree of their
+    bytes from the last to the first, the merges as tables. Words of at most ``LONG_WORD``
+    bytes, so that the tokens of all their prefixes can be kept.
+    """
+
+    def __init__(self, merges: Merges, alphabet: dict[int, str]):
+        end, bytes_of = merges.end, {c: b for b, c in alphabet.items()}
+        names = {*merges.ids, *merges.made, *(t for pair in merges.parts for t in pair)}
+        numbers = {t: i for i, t in enumerate(names)}
+        self.n = len(numbers)
+        #: By token: its id, how many bytes it has, the rank of the merge that makes it, its parts.
+        self.ids, self.sizes, self.made, self.left, self.right = np.full(
+            (5, self.n), -1, np.int32
+        )
+        ranks: dict[int, int] = {}
+        for (a, b), rank in merges.ranks.items():
+            ranks[numbers[a] * self.n + numbers[b]] = rank
+        for token, rank in merges.made.items():
+            i, (a, b) = numbers[token], merges.parts[rank]
+            self.made[i], self.left[i], self.right[i] = rank, numbers[a], numbers[b]
+        self.ranks, self.n_ranks = Table(ranks), len(merges.ranks)
+        #: Nodes 0 and 1 are the roots for tokens within a word and at its end.
+        self.last_root = 1 if end else 0
+        children: dict[int, int] = {}
+        tokens: dict[int, int] = {}
+        for token in merges.tokens:
+            symbols = merges.symbols(token)
+            final = bool(end) and len(symbols[-1]) > 1
+            body = token[: -len(end)] if final else token
+            if not all(c in bytes_of for c in body):
+                continue
+            i, node = numbers[token], int(final)
+            self.ids[i], self.sizes[i] = merges.ids[token], len(symbols)
+            for c in reversed(body):
+                node = children.setdefault(node << 8 | bytes_of[c], len(children) + 2)
+            tokens[node] = i
+        self.children = Table(children)
+        self.token_at = np.full(len(children) + 2, -1, np.int32)
+        self.token_at[list(tokens.keys())] = list(tokens.values())
+        self._pairs = np.full(PAIR_SLOTS, -1, np.int64)  # 2 * pair + whether neighbours
+
+    def encode(self, words: list[bytes]) -> list[bytes]:
+        """The ids of each word, as the bytes of whole numbers."""
+        order = sorted(range(len(words)), key=lambda i: -len(words[i]))
+        lengths = np.fromiter((len(words[i]) for i in order), np.int64, len(words))
+        data = np.frombuffer(b"".join([words[i] for i in order]), np.uint8)
+        starts = np.cumsum(lengths) - lengths
+        ends = np.full(len(data), -1, np.int32)
+        for i in range(int(lengths[0]) if len(words) else 0):
+            longer, active = np.searchsorted(-lengths, (-i - 1, -i))
+            node = np.zeros(active, np.int64)
+            node[longer:] = self.last_root
+            self._step(data, ends, starts[:active] + i, node, i + 1)
+        if (ends < 0).any():
+            raise ValueError("a word has a symbol that no token of the vocabulary ends with")
+        chosen = np.zeros(len(data), bool)
+        at, first = starts + lengths - 1, starts
+        while len(at):
+            chosen[at] = True
+            at = at - self.sizes[ends[at]]
+            at, first = at[at >= first], first[at >= first]
+        raw = self.ids[ends[chosen]].tobytes()
+        stops = (4 * np.cumsum(chosen))[starts + lengths - 1].tolist()
+        out: list[bytes] = [b""] * len(words)
+        for i, a, b in zip(order, [0, *stops], stops, strict=False):
+            out[i] = raw[a:b]
+        return out
+
+    def _step(
+        self, data: np.ndarray, ends: np.ndarray, at: np.ndarray, node: np.ndarray, length: int
+    ) -> None:
+        """Sets the tokens that the prefixes of ``length`` end with, whose last bytes are ``at``."""
+        for size in range(1, length + 1):
+            node = self.children.get(node << 8 | data[at - (size - 1)])
+            going = node >= 0
+            at, node = at[going], node[going]
+            if not len(at):
+                return
+            token = self.token_at[node]
+            known = np.flatnonzero(token >= 0)
+            if size < length:
+                known = known[self.adjacent(ends[at[known] - size], token[known])]
+            ends[at[known]] = token[known]
+            going = np.ones(len(at), bool)
+            going[known] = False
+            at, node = at[going], node[going]
+
+    def adjacent(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """``Merges.adjacent`` of many pairs of tokens."""
+        pairs = left.astype(np.int64) * self.n + right
+        at = slots(pairs, PAIR_SLOTS.bit_length() - 1)
+        known = self._pairs[at]
+        out = (known & 1).astype(bool)
+        new = np.flatnonzero(known >> 1 != pairs)
+        if len(new):
+            out[new] = self._adjacent(left[new], right[new])
+            self._pairs[at[new]] = 2 * pairs[new] + out[new]
+        return out
+
+    def _adjacent(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        out = np.ones(len(a), bool)
+        rows, limit = np.arange(len(a)), np.full(len(a), self.n_ranks)
+        while len(rows):
+            rank = self.ranks.get(a.astype(np.int64) * self.n + b)
+            joined = (rank >= 0) & (rank < limit)
+            out[rows[joined]] = False
+            rank_a, rank_b = self.made[a], self.made[b]
+            going = np.flatnonzero(~joined & (np.maximum(rank_a, rank_b) >= 0))
+            rows, a, b, rank_a, rank_b = (x[going] for x in (rows, a, b, rank_a, rank_b))
+            undo = rank_a > rank_b
+            a, b = np.where(undo, self.right[a], a), np.where(undo, b, self.left[b])
+            limit = np.where(undo, rank_a, rank_b + 1)
+        return out
+
+
 class Tokenizer:
     """The tokenizer of a JSON file: normalise, split, transduce; and back to text."""
 
@@ -263,46 +427,86 @@ class Tokenizer:
         for token, i in {**vocabulary, **self.added}.items():
             self.names[i] = token
         self.special = np.isin(np.arange(len(self.names)), list(self.added.values()))
-        self._words = _Bounded(CACHED_WORDS, self._word)
-        self._beginnings = _Bounded(CACHED_BEGINNINGS, self._begun)
+        self._words = _Bounded(CACHED_WORDS, self._ids_of)
 
     @cached_property
     def merges(self) -> Merges:
         return Merges(self._merge_list, self._vocabulary, self.end)
 
+    @cached_property
+    def transducers(self) -> Transducers:
+        return Transducers(self.merges, self.alphabet)
+
     def encode(self, text: str) -> np.ndarray:
         """The ids of a whole text."""
-        ids = []
-        for chunk in chunks(text):
-            marked = any(token in chunk for token in self.added)
-            for part in self.added_pattern.split(chunk) if marked else [chunk]:
-                if part in self.added:
-                    ids.append(np.int32(self.added[part]).tobytes())
-                else:
+        return self.encode_all([text])[0]
+
+    def encode_all(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of each whole text; words are looked up ``GROUP`` characters at a time."""
+        ids: list[list[bytes]] = [[] for _ in texts]
+        found: list[bytes | None] = []  # what the words of the group give, as far as known
+        unknown: list[str] = []  # the others of its words
+        parts: list[tuple[int, int, bytes]] = []  # text, where its words end, added token after
+        characters = 0
+
+        def flush() -> None:
+            values, start = iter(self._words.computed(unknown)), 0
+            whole = [next(values) if x is None else x for x in found]
+            for i, stop, added in parts:
+                ids[i].append(b"".join(whole[start:stop]) + added)
+                start = stop
+            for done in (found, unknown, parts):
+                done.clear()
+
+        for i, text in enumerate(texts):
+            for chunk in chunks(text):
+                for part, added in self._parts(chunk):
                     plain = self.normalise(part)
-                    words = (self.words if FAR.search(plain) else self.near_words)(plain)
-                    ids += map(self._words.__getitem__, words)
-        return np.frombuffer(b"".join(ids), np.int32)
+                    near = plain.isascii() or not FAR.search(plain)
+                    words = (self.near_words if near else self.words)(plain)
+                    known = self._words.known(words)
+                    unknown += [w for w, x in zip(words, known, strict=True) if x is None]
+                    found += known
+                    parts.append((i, len(found), added))
+                characters += len(chunk)
+                if characters >= GROUP:
+                    flush()
+                    characters = 0
+        flush()
+        return [np.frombuffer(b"".join(pieces), np.int32) for pieces in ids]
+
+    def _parts(self, chunk: str) -> Iterator[tuple[str, bytes]]:
+        """What stands between added tokens, each time with the id of the token after it."""
+        if not any(token in chunk for token in self.added):
+            yield chunk, b""
+            return
+        plain = [*self.added_pattern.split(chunk), ""]
+        for part, token in zip(plain[::2], plain[1::2], strict=True):
+            yield part, np.int32(self.added[token]).tobytes() if token else b""
 
     @staticmethod
     def normalise(text: str) -> str:
         """NFC, then lower case character by character: a sigma has no final form."""
         if text.isascii():
             return text.lower()
-        return unicodedata.normalize("NFC", text).translate(SMALL).lower()
-
-    def _word(self, word: str) -> bytes:
-        symbols = word.encode("utf-8", "replace").decode("latin-1").translate(self.alphabet)
-        ids, begin = self.merges.ids, min(BEGINNING, len(symbols) - 1)
-        transducer = Transducer(self.merges, symbols[:begin], self._beginnings[symbols[:begin]])
-        tokens = transducer.feed(symbols[begin:-1]) + transducer.finish(symbols[-1])
-        return np.array([ids[t] for t in tokens], np.int32).tobytes()
-
-    def _begun(self, symbols: str) -> tuple[str | None, ...]:
-        """The transducer's state after a word's beginning, too short for a stable token."""
+        text = unicodedata.normalize("NFC", text)
+        if FAR.search(text) and CAPITALS.search(text):
+            text = text.translate(SMALL)
+        return text.lower()
+
+    def _ids_of(self, words: list[str]) -> list[bytes]:
+        """The ids of each word, those of short words together where there are many."""
+        coded = [word.encode("utf-8", "replace") for word in words]
+        if len(words) <= FEW_WORDS:
+            return [self._word(word) for word in coded]
+        short = iter(self.transducers.encode([w for w in coded if len(w) <= LONG_WORD]))
+        return [next(short) if len(w) <= LONG_WORD else self._word(w) for w in coded]
+
+    def _word(self, word: bytes) -> bytes:
+        symbols, ids = word.decode("latin-1").translate(self.alphabet), self.merges.ids
         transducer = Transducer(self.merges)
-        transducer.feed(symbols)
-        return tuple(transducer.ends)
+        tokens = transducer.feed(symbols[:-1]) + transducer.finish(symbols[-1])
+        return np.array([ids[t] for t in tokens], np.int32).tobytes()
 
     def decode(self, ids: np.ndarray) -> str:
         """What the file's decoder gives; it names none, so the tokens joined by spaces."""
@@ -337,24 +541,32 @@ class TextDecoder:
                 yield " "
 
 
-class _Bounded(dict):
+class _Bounded:
     """Results by short text, for each Python worker; when full, the older half goes."""
 
-    def __init__(self, most: int, compute: Callable[[str], Any]):
-        super().__init__()
+    def __init__(self, most: int, compute: Callable[[list[str]], list[Any]]):
         self.most, self.compute = most, compute
+        self.newer: dict[str, Any] = {}
         self.older: dict[str, Any] = {}
 
-    def __missing__(self, text: str) -> Any:
-        value = self.older.get(text)
-        if value is None:
-            value = self.compute(text)
-        if len(text) <= LONG_WORD:
-            if 2 * len(self) >= self.most:
-                self.older = dict(self)
-                self.clear()
-            self[text] = value
-        return value
+    def known(self, texts: list[str]) -> list[Any]:
+        """The result of each text, None where it is not at hand."""
+        return list(map(self.newer.get, texts))
+
+    def computed(self, texts: list[str]) -> list[Any]:
+        """The result of each text that was not at hand, all new ones computed together."""
+        values = dict.fromkeys(texts)
+        for text in values.keys() & self.older.keys():
+            values[text] = self.older[text]
+        new = [text for text, value in values.items() if value is None]
+        values.update(zip(new, self.compute(new), strict=True))
+        short = (text for text in values if len(text) <= LONG_WORD)
+        kept = {text: values[text] for text in islice(short, self.most // 2)}
+        if 2 * (len(self.newer) + len(kept)) > self.most:
+            self.older, self.newer = self.newer, kept
+        else:
+            self.newer.update(kept)
+        return [values[text] for text in texts]
 
 
 @lru_cache(maxsize=2)
@@ -393,7 +605,7 @@ def encode(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = tokenizer_of(shared.value)
         for batch in slices(batches, "_text", SLICE):
-            ids = [tokenizer.encode(t) for t in batch.column("_text").to_pylist()]
+            ids = tokenizer.encode_all(batch.column("_text").to_pylist())
             lengths = np.fromiter(map(len, ids), np.int64, len(ids))
             arrays = [batch.column(c) for c in keep]
             arrays.append(lists(np.concatenate(ids), lengths, pa.int32()))

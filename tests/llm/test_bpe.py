@@ -80,6 +80,79 @@ def test_long_word_in_bounded_memory(ours):
         assert ours.merges.adjacent(left, right)
 
 
+def words_of(letters, rnd, longest=12, n=3000):
+    return ["".join(rnd.choices(letters, k=rnd.randrange(1, longest))) for _ in range(n)]
+
+
+def test_new_words_take_their_steps_together(ours, library, monkeypatch):
+    """Many new words cost no Python step for each of their symbols."""
+    steps, ending = [], bpe.Merges.ending
+    counted = lambda self, *args: steps.append(1) or ending(self, *args)
+    monkeypatch.setattr(bpe.Merges, "ending", counted)
+    text = " ".join(words_of("bcdfghklmnopuvwyz", random.Random(21)))
+    equal(ours, library, text)
+    assert not steps
+
+
+def test_many_words_equal_library(ours, library):
+    rnd = random.Random(11)
+    far = "aeéüñßжλ日本語한국어क्षि\u0301\U0001f600ÉΣİ"
+    texts = [" ".join(words_of(letters, rnd)) for letters in ("ethaoinsr'", "aab", "x1.,-!é", far)]
+    texts += [" ".join("é" * n + "a" * m for n in range(28, 36) for m in range(20))]
+    texts += ["".join(f"{w}<|endoftext|>" for w in words_of("hijklo", rnd)), "", " \n", "a" * 5000]
+    texts += [" ".join(words_of("eta", rnd, longest=150))]
+    got = ours.encode_all(texts)
+    for text, ids in zip(texts, got, strict=True):
+        want = library.encode(text, add_special_tokens=False).ids
+        assert ids.tolist() == want, text[:80]
+    assert [ids.tolist() for ids in ours.encode_all(texts[::-1])] == [i.tolist() for i in got[::-1]]
+
+
+def test_words_in_groups_and_full_caches(library, monkeypatch):
+    monkeypatch.setattr(bpe, "GROUP", 500)
+    monkeypatch.setattr(bpe, "CHUNK", 200)
+    monkeypatch.setattr(bpe, "FEW_WORDS", 5)
+    monkeypatch.setattr(bpe, "CACHED_WORDS", 60)
+    monkeypatch.setattr(bpe, "PAIR_SLOTS", 16)
+    with open(PATH, encoding="utf-8") as file:
+        small = bpe.Tokenizer(file.read())
+    rnd, most = random.Random(13), 0
+    for _ in range(5):
+        texts = [" ".join(words_of("ethaoin", rnd, n=60, longest=6)) for _ in range(9)]
+        for text, ids in zip(texts, small.encode_all(texts), strict=True):
+            assert ids.tolist() == library.encode(text, add_special_tokens=False).ids
+        most = max(most, len(small._words.newer), len(small._words.older))
+    assert 0 < most <= 30
+
+
+def test_neighbours_of_many_pairs(ours):
+    names, rnd = sorted(ours.merges.tokens), random.Random(17)
+    merges, many = ours.merges, ours.transducers
+    number = {many.ids[i]: i for i in range(many.n)}
+    pairs = [(rnd.choice(names), rnd.choice(names)) for _ in range(3000)]
+    pairs += [merges.parts[rnd.randrange(len(merges.parts))] for _ in range(300)]
+    pairs = [(a, b) for a, b in pairs if not a.endswith("</w>") and {a, b} <= merges.tokens]
+    sides = [np.array([number[merges.ids[p[side]]] for p in pairs]) for side in (0, 1)]
+    want = [merges.adjacent(a, b) for a, b in pairs]
+    assert 0 < sum(want) < len(want)
+    for _ in range(2):  # once worked out, once remembered
+        assert many.adjacent(*sides).tolist() == want
+
+
+def test_vocabulary_without_end_mark():
+    parts = [("a", "b"), ("b", "a"), ("ab", "ab"), ("a", "a"), ("aa", "ba"), ("c", "ab")]
+    ids = {t: i for i, t in enumerate(["a", "b", "c", *(x + y for x, y in parts)])}
+    merges, rnd = bpe.Merges(parts, ids, ""), random.Random(19)
+    many = bpe.Transducers(merges, dict(enumerate(bpe.byte_alphabet())))
+    words = words_of("aabbc", rnd, longest=40, n=400)
+    got = many.encode([w.encode() for w in words])
+    for word, found in zip(words, got, strict=True):
+        assert np.frombuffer(found, np.int32).tolist() == [ids[t] for t in merges.merge(list(word))]
+    assert many.encode([]) == []
+    with pytest.raises(ValueError, match="no token"):
+        many.encode([b"abd"])
+
+
 def test_readable_text(ours):
     assert ours.text(ours.encode("Größe 日本 naïve<|endoftext|>x")) == (
         "größe 日本 naïve <|endoftext|>x "
