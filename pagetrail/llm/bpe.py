@@ -48,11 +48,11 @@ NEWER_CAPITALS = {
     "a7dc": -42561, "10d50-10d65": 32, "16ea0-16eb8": 27,
 }
 
-SLICE = 2 << 20  # bytes of text in a result batch
-CACHED_WORDS = 300_000  # entries of each worker's cache
+SLICE = 1 << 20  # bytes of text in a result batch
+CACHED_WORDS = 150_000  # entries of each worker's cache
 LONG_WORD = 64  # bytes beyond which a word has its own transducer; characters, is not cached
 FEW_WORDS = 100  # new words up to which each has a transducer of its own
-GROUP = 1 << 20  # characters whose words are looked up together
+GROUP = 1 << 19  # characters whose words are looked up together
 PAIR_SLOTS = 1 << 19  # pairs of tokens of which is kept whether they may be neighbours
 
 
