@@ -16,6 +16,18 @@ from pagetrail.sources.scratch import scratch_table, text_files
 
 SIMILARITY_PERCENT = 80
 FEW_IDS = 500_000  # some tens of MB where they are broadcast
+BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH_BYTES = 8 << 20
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Python workers get batches of some MB of rows at a time, unless the session has a limit.
+
+    By default Spark gathers 10,000 rows or 64 MB for each task: outside the heap, in buffers
+    that double as they grow, and once more in the worker. The rows stay the same.
+    """
+    if spark.conf.get(BATCH_SETTING, None) is None:
+        spark.conf.set(BATCH_SETTING, BATCH_BYTES)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,6 +41,7 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     A document that consists of such runs has nothing left and goes.
     """
+    bounded_batches(spark)
     left = line_dedup.remove_repeated_lines(docs)
     left = left.filter((F.col("n_removed") == 0) | (F.trim("text", F.lit(SPACES)) != ""))
     if "n_chars" in docs.columns:
@@ -44,6 +57,7 @@ def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Of rows with one id the text with the smallest hash stays, of several with that text
     the first in the order of all columns. Rows without an id take no part and stay.
     """
+    bounded_batches(spark)
     judged = near_dedup.near_duplicates(docs.select("doc_id", "text"), SIMILARITY_PERCENT)
     judged = judged.filter("doc_id is not null").groupBy("doc_id")
     judged = judged.agg(F.first("kept").alias("kept"), F.count("*").alias("_rows"))
@@ -65,6 +79,7 @@ def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     Rows are told apart by id and a hash of the text, so rows without an id are judged too,
     and equal rows alike.
     """
+    bounded_batches(spark)
     row = F.struct(F.col("doc_id").alias("id"), F.xxhash64("text").alias("hash"))
     benchmark = table(spark, sf_dir, "benchmark")
     named = docs.select("text", row.alias("_row"))
@@ -87,6 +102,7 @@ def _without(docs: DataFrame, gone: DataFrame, on: list[str]) -> DataFrame:
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``doc_id``, ``n_tokens``, ``ids`` and what they decode to."""
+    bounded_batches(spark)
     path = public_tokenizers.path("word_bpe_49k.json")
     return bpe.encode(docs, path, decoded=True).select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", "decoded"
@@ -108,6 +124,11 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents, each written and read again by the next."""
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        docs = scratch_table(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    limited = spark.conf.get(BATCH_SETTING, None) is not None
+    try:
+        for name, stage in STAGES:
+            docs = scratch_table(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    finally:
+        if not limited:  # the limit of the stages is not left to the session's other jobs
+            spark.conf.unset(BATCH_SETTING)
     return docs

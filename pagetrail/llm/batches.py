@@ -2,18 +2,25 @@
 
 from __future__ import annotations
 
+import ctypes
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 
 SLICE_BYTES = 8 << 20
+# Of the GNU C library only.
+TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None) if sys.platform == "linux" else None
 
 
 def slices(
     batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BYTES
 ) -> Iterator[pa.RecordBatch]:
-    """The batches cut so that ``column`` holds about ``limit`` bytes in each, one row at least."""
+    """The batches cut so that ``column`` holds about ``limit`` bytes in each, one row at least.
+
+    After each batch the worker gives back the memory that it no longer uses.
+    """
     for batch in batches:
         if batch.num_rows == 0:
             continue
@@ -22,6 +29,18 @@ def slices(
         cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), batch.num_rows]
         for start, stop in zip(cuts, cuts[1:], strict=False):
             yield batch.slice(start, stop - start)
+        give_back()
+
+
+def give_back() -> None:
+    """Hand memory that is free back to the system.
+
+    Spark keeps its Python workers for later tasks. Without this Arrow's allocator and the C
+    library's would keep some tens of MB in each for good.
+    """
+    pa.default_memory_pool().release_unused()
+    if TRIM is not None:
+        TRIM(0)
 
 
 def offsets(values: pa.Array) -> np.ndarray:

@@ -1,11 +1,12 @@
 from __future__ import annotations
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from pagetrail.llm import bpe, quality_rules
+from pagetrail.llm import batches, bpe, quality_rules
 from tests.llm.brute import contaminated, near_duplicates, without_repeats
 from tests.llm.test_quality_rules import counts
 
@@ -132,3 +133,45 @@ def test_stages_give_as_few_parts_as_the_texts_need(spark):
     finally:
         spark.conf.set(adaptive, before)
         spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
+def test_python_workers_get_batches_of_bounded_bytes(spark):
+    """However long the texts are: of these 10,000 rows would be one batch of 30 MB."""
+    long = F.repeat(F.lit("word "), 600)
+    docs = spark.range(0, 10_000, 1, 1).select(F.col("id").alias("doc_id"), long.alias("text"))
+
+    def sizes(given):
+        for batch in given:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], ["n"])
+
+    setting, small = corpus_pipeline.BATCH_SETTING, spark.createDataFrame([], docs.schema)
+    before = spark.conf.get(setting, None)
+    try:
+        for name, stage in corpus_pipeline.STAGES[1:]:
+            spark.conf.unset(setting)
+            stage(spark, small, SF_DIR)
+            got = [r.n for r in docs.mapInArrow(sizes, "n long").collect()]
+            assert sum(got) >= 30_000_000 and max(got) <= 10 << 20, name
+        spark.conf.set(setting, "1m")
+        corpus_pipeline.encoded(spark, small, SF_DIR)
+        assert spark.conf.get(setting) == "1m"
+    finally:
+        spark.conf.unset(setting)
+        if before is not None:
+            spark.conf.set(setting, before)
+
+
+def test_workers_give_back_memory_after_each_batch(monkeypatch):
+    class Pool:
+        released = 0
+
+        def release_unused(self):
+            self.released += 1
+
+    pool, trimmed = Pool(), []
+    monkeypatch.setattr(batches.pa, "default_memory_pool", lambda: pool)
+    monkeypatch.setattr(batches, "TRIM", trimmed.append)
+    given = [pa.RecordBatch.from_pydict({"t": ["ab", "cde", None]}) for _ in range(3)]
+    parts = list(batches.slices(iter(given), "t", 2))
+    assert [x for p in parts for x in p.column("t").to_pylist()] == ["ab", "cde", None] * 3
+    assert pool.released == len(trimmed) == 3
